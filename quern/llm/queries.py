@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, html_extract
+from quern.llm import bpe, decontaminate, html_extract, near_dup
 from quern.llm.tables import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
@@ -49,6 +53,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_html_extraction": op7_html_extraction,
     "op9_bpe": op9_bpe,

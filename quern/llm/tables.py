@@ -9,13 +9,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quern.session import ship
 
 #: Bytes of text that one vectorised step holds at most, unless one row alone is longer.
 PIECE_BYTES = 1 << 20
+#: Rows of a few fixed-size columns that may be sent to every executor (about 30 MB).
+SMALL_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,11 +47,17 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df``, marked for broadcast only if it has at most ``rows`` rows; counts them, so
+    ``df`` should be durable. A larger one is joined by a shuffle, whose large keys Spark splits."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; null counts as the empty text."""
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks()
-    array = pc.fill_null(array.cast(pa.large_string()), "").cast(pa.large_binary())
+    array = pc.fill_null(array.cast(pa.large_binary()), b"")
     _, offsets, data = array.buffers()
     offsets = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
