@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quern.llm.tables import pieces
 
 #: Distinct pieces whose encoding one Python worker remembers at most; then it starts anew.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 400_000
 #: Token pairs whose verdict one Python worker remembers at most.
 CACHE_PAIRS = 400_000
 
@@ -33,7 +33,6 @@ class Vocabulary:
     def __init__(self, rank_file: bytes):
         self.rank = {base64.b64decode(a): int(b) for a, b in (x.split() for x in rank_file.splitlines() if x)}
         self.bytes = dict(zip(self.rank.values(), self.rank.keys()))
-        self.longest = max(map(len, self.rank))
         self.pairs: dict[tuple[int, int], bool] = {}
         # How merging builds each token; a token that merging never builds has no entry.
         self.built: dict[int, tuple[int, int] | None] = {}
@@ -44,6 +43,10 @@ class Vocabulary:
             elif len(parts) == 2:
                 self.built[r] = (self.rank[parts[0]], self.rank[parts[1]])
         self.usable = {token: r for token, r in self.rank.items() if r in self.built}
+        #: The longest token that ends with three given bytes.
+        self.reach: dict[bytes, int] = {}
+        for token in self.usable:
+            self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 2))
 
     def merge(self, piece: bytes, below: int) -> list[bytes]:
         """Merges of rank under ``below``, lowest rank first, leftmost on ties."""
@@ -100,9 +103,9 @@ class PrefixTable:
         start = len(self.data)
         self.data += more
         data, last, v = self.data, self.last, self.vocabulary
-        token_of, may_follow, pairs, longest = v.usable.get, v.may_follow, v.pairs, v.longest
+        token_of, may_follow, pairs, reach = v.usable.get, v.may_follow, v.pairs, v.reach.get
         for end in range(start + 1, len(data) + 1):
-            for at in range(max(0, end - longest), end):
+            for at in range(max(0, end - reach(data[end - 3 : end], 2)) if end > 2 else 0, end):
                 token = token_of(data[at:end])
                 if token is not None:
                     if at == 0:
