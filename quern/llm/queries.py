@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, html_extract, near_dup
+from quern.llm import bpe, decontaminate, html_extract, line_dedup, near_dup, quality, toxicity
 from quern.llm.tables import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -19,6 +19,27 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.clean(table(spark, sf_dir, "documents"), F.col("source"))
+    return found.select("doc_id", "text", F.col("line_dedup.n_lines").alias("n_lines"), F.col("line_dedup.n_dropped").alias("n_dropped"))
+
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+each AS (SELECT source, unnest(list_distinct(list_transform(lines, lambda x: trim(x)))) AS line FROM d),
+total AS (SELECT source, count(*) AS total FROM documents GROUP BY 1),
+often AS (SELECT source, line, count(*) AS pages FROM each WHERE line <> '' GROUP BY 1, 2),
+bad AS (SELECT source, list(line) AS bad FROM often JOIN total USING (source) WHERE pages >= 5 AND pages > 0.1::DOUBLE * total GROUP BY 1),
+kept AS (SELECT doc_id, lines, list_filter(lines, lambda x: trim(x) = '' OR NOT coalesce(list_contains(bad, trim(x)), false)) AS k FROM d LEFT JOIN bad USING (source))
+SELECT doc_id, coalesce(array_to_string(k, chr(10)), '') AS text, len(lines)::BIGINT AS n_lines, (len(lines) - len(k))::BIGINT AS n_dropped FROM kept
+"""
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
@@ -52,10 +73,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_line_dedup": op2_line_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_html_extraction": op7_html_extraction,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {"op6_decontaminate": OP6_SQL}
+SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL}

@@ -45,8 +45,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def _hash_run(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of each word in ``data``; no word crosses ``borders``."""
+def _hash_run(data: np.ndarray, borders: np.ndarray, prefixes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hash, first byte and prefix hashes of each word in ``data``; no word crosses ``borders``."""
     n = len(data)
     inside = _INSIDE[data]
     first, last = inside.copy(), inside.copy()
@@ -60,19 +60,27 @@ def _hash_run(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
     total = _VALUE[data]
     total *= up[:n]
     np.cumsum(total, out=total)
-    word = total[end]
-    later = start > 0
-    word[later] -= total[start[later] - 1]
-    word *= down[start]
-    return mix(word ^ ((end - start + 1).astype(U64) * U64(0xC2B2AE3D27D4EB4F))), start
+    length = end - start + 1
+    before = np.where(start > 0, total[start - 1], U64(0)) if len(start) else np.zeros(0, U64)
 
+    def span(last: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return mix(((total[last] - before) * down[start]) ^ (n.astype(U64) * U64(0xC2B2AE3D27D4EB4F)))
 
-def hashes(data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of the rows ``offsets`` delimits in ``data``, and each row's bounds in them.
+    begun = []
+    for n in prefixes:
+        long = length > n
+        begun.append(np.where(long, span(np.where(long, start + n - 1, end), np.full(len(start), n + 1000)), U64(0)))
+    return span(end, length), start, begun
+
+
+def hashes(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = (), limit: int = 1 << 21) -> tuple[np.ndarray, ...]:
+    """Word hashes of the rows ``offsets`` delimits in ``data``, and each row's bounds in them;
+    then for each of ``prefixes`` the hashes of the words' first so many bytes, 0 for words
+    that are no longer.
 
     Rows are read in runs of ``limit`` bytes; a longer row is cut between words."""
     lo, hi = int(offsets[0]), int(offsets[-1])
-    parts, starts, at = [], [], lo
+    parts, starts, begun, at = [], [], [], lo
     while at < hi:
         end = min(hi, at + limit)
         while end < hi and _INSIDE[data[end]] and end not in offsets:
@@ -81,13 +89,15 @@ def hashes(data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 21) -> tuple
                 end = int(max(at, end - 4096) + back[-1])
                 break
             end = min(hi, end + 4096)
-        h, s = _hash_run(data[at:end], offsets[(offsets > at) & (offsets < end)] - at)
+        h, s, p = _hash_run(data[at:end], offsets[(offsets > at) & (offsets < end)] - at, prefixes)
         parts.append(h)
         starts.append(s + at)
+        begun.append(p)
         at = end
     word = np.concatenate(parts) if parts else np.zeros(0, U64)
     start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    return word, np.searchsorted(start, offsets)
+    more = [np.concatenate([p[k] for p in begun]) if begun else np.zeros(0, U64) for k in range(len(prefixes))]
+    return word, np.searchsorted(start, offsets), *more
 
 
 def multipliers(k: int) -> np.ndarray:
