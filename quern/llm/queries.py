@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, html_extract, line_dedup, near_dup, quality, toxicity
+from quern.llm import bpe, decontaminate, html_extract, line_dedup, near_dup, quality, toxicity, vptree
 from quern.llm.tables import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -35,6 +35,10 @@ SELECT doc_id, coalesce(array_to_string(k, chr(10)), '') AS text, len(lines)::BI
 """
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -81,6 +85,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_html_extraction": op7_html_extraction,
