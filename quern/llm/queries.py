@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, html_extract, line_dedup, near_dup, quality, toxicity, vptree
+from quern.llm import bpe, decontaminate, html_extract, line_dedup, near_dup, quality, secret_scan, toxicity, url_filter, vptree
 from quern.llm.tables import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -35,6 +35,15 @@ SELECT doc_id, coalesce(array_to_string(k, chr(10)), '') AS text, len(lines)::BI
 """
 
 
+#: Rules of op3: host and path, and their verdict.
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+    return found.select("page_id", *[F.col(f"judged.{c}").alias(c) for c in ("host", "path", "rule", "verdict", "p_block")])
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -72,6 +81,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.encode_decode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -85,10 +98,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_url_filter": op3_url_filter,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
     "op7_html_extraction": op7_html_extraction,
+    "op8_secret_scan": op8_secret_scan,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
