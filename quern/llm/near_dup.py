@@ -13,10 +13,10 @@ weighted Jaccard similarity.
 
 *Candidates.* Texts with equal word sequences are one node. Nodes that share a band are
 linked by a star to the node of the band that shares most bands with others, which for a
-family of copies is the text they stem from. Bands whose nodes then lie in more than one
-component are compared pair by pair across the components, except for pairs that cannot
-reach the similarity because of the shingles only one node has. So no link that a band
-shows is lost, and no family is expanded into its pairs.
+family of copies is the text they stem from. Nodes of bands that then lie in more than one
+component are compared across the components, where an exact bound from their
+rarest shingles allows the similarity at all. So no link that a band shows is lost, and no
+family is expanded into its pairs.
 
 *Verification.* Each candidate pair's similarity is computed from the whole multisets."""
 
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.llm.components import components
@@ -197,13 +198,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ban
     root = components(links)
     placed = inside.select("band", "node").join(wanted.select("node", "size"), "node").join(root, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
-    loose = durable(placed.join(split, "band"))
-    loose = durable(loose.join(_own(loose.select("node").distinct(), texts), "node"))
-    p, q = loose.alias("p"), loose.alias("q")
-    needed = SIMILARITY / (1 + SIMILARITY) * (F.col("p.size") + F.col("q.size")) - 1e-6
-    possible = (F.col("p.size") - F.col("p.own") >= needed) & (F.col("q.size") - F.col("q.own") >= needed)
-    more = p.join(q, (F.col("p.band") == F.col("q.band")) & (F.col("p.root") < F.col("q.root")) & possible).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
-    rest = durable(_linked(more, texts))
+    loose = durable(placed.join(split, "band").select("node", "size", "root").distinct())
+    rest = durable(_linked(_possible(loose, texts), texts))
     if not rest.isEmpty():
         root = components(links.union(rest))
 
@@ -215,20 +211,38 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ban
     return out.select(F.col("id").alias(id_col), "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def _own(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """How many shingles of each node no other node in question has."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "shingles"):
-                data, offsets = text_bytes(part.column("shingles"))
-                of = np.repeat(np.arange(part.num_rows), np.diff(offsets) // 8)
-                h = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h), part.column("node").take(pa.array(of))], ["h", "node"])
-
-    single = texts.join(nodes, "node", "left_semi").mapInArrow(spread, "h bigint, node binary")
-    single = single.groupBy("h").agg(F.count("*").alias("n"), F.first("node").alias("node")).filter(F.col("n") == 1)
-    return nodes.join(single.groupBy("node").agg(F.count("*").alias("own")), "node", "left").select("node", F.coalesce("own", F.lit(0)).alias("own"))
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (h, node) for each shingle of a multiset."""
+    for batch in batches:
+        for part in pieces(batch, "shingles"):
+            data, offsets = text_bytes(part.column("shingles"))
+            of = np.repeat(np.arange(part.num_rows), np.diff(offsets) // 8)
+            h = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), part.column("node").take(pa.array(of))], ["h", "node"])
+
+
+def _possible(loose: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different roots that can reach the similarity; none that does is missing.
+
+    A node can't if over a fifth of its shingles are its own. The shingles of the others are
+    ordered from rare to common; two nodes that reach the similarity share one early in both
+    orders, and from where the first shared one stands their overlap has a bound. Text that a
+    whole family shares is common and stands late, so members are not paired for it."""
+    spread = lambda nodes: texts.join(nodes.select("node"), "node", "left_semi").select("node", "shingles").mapInArrow(_spread, "h bigint, node binary")
+    single = spread(loose).groupBy("h").agg(F.count("*").alias("n"), F.first("node").alias("node")).filter(F.col("n") == 1)
+    own = single.groupBy("node").agg(F.count("*").alias("own"))
+    able = durable(loose.join(own, "node", "left").filter(F.coalesce("own", F.lit(0)) <= (1 - SIMILARITY) * F.col("size") + 1e-6).drop("own"))
+    each = durable(spread(able))
+    common = each.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    node = W.partitionBy("node")
+    placed = each.join(common, "h").withColumn("rank", F.row_number().over(node.orderBy("n", "h"))).withColumn("among", F.count("*").over(node))
+    early = placed.join(able, "node").withColumn("place", F.col("size") - F.col("among") + F.col("rank") - 1).filter(F.col("place") <= (1 - SIMILARITY) * F.col("size") + 1e-6)
+    early = durable(early.select("h", "node", "root", "size", "place"))
+    p, q = early.alias("p"), early.alias("q")
+    needed = SIMILARITY / (1 + SIMILARITY) * (F.col("p.size") + F.col("q.size")) - 1e-6
+    bound = (F.col("p.size") - F.col("p.place") >= needed) & (F.col("q.size") - F.col("q.place") >= needed)
+    pairs = p.join(q, (F.col("p.h") == F.col("q.h")) & (F.col("p.root") < F.col("q.root")) & bound)
+    return pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
