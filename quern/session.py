@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Bytes of an Arrow batch that a Python worker gets, unless the session sets its own bound.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Sends this package's source to the executors, once for each application, so that
-    Python functions in tasks can import it wherever the driver was started."""
+    Python functions in tasks can import it wherever the driver was started; and bounds Arrow
+    batches by bytes, as rows of long texts differ a thousandfold in size."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH, None) in (None, "67108864b", "64m", "64MB"):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     if not getattr(context, "_quern_shipped", False):
         root = os.path.dirname(os.path.abspath(__file__))
         path = os.path.join(tempfile.mkdtemp(prefix="quern-src-"), "quern.zip")
@@ -25,3 +33,27 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(path)
         context._quern_shipped = True
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; only where it is unset (tests) an own one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        jsc = spark.sparkContext._jsc.sc()
+        if jsc.getCheckpointDir().isEmpty():
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
+        folder = jsc.getCheckpointDir().get()
+    return folder
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back.
+
+    The copy survives lost executors, cuts the lineage, and is removed when the
+    application ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/quern-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
