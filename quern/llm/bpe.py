@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quern.llm.tables import pieces
 
 #: Distinct pieces whose encoding one Python worker remembers at most; then it starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 #: Token pairs whose verdict one Python worker remembers at most.
 CACHE_PAIRS = 400_000
 

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.session import ship
+from quern.session import durable, shared_folder, ship  # noqa: F401 - used by the operators
 
 #: Bytes of text that one vectorised step holds at most, unless one row alone is longer.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Rows of a few fixed-size columns that may be sent to every executor (about 30 MB).
 SMALL_ROWS = 500_000
 
@@ -23,30 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where it is unset (tests) an own one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        jsc = spark.sparkContext._jsc.sc()
-        if jsc.getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
-        folder = jsc.getCheckpointDir().get()
-    return folder
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back.
-
-    The copy survives lost executors, cuts the lineage, and is removed when the
-    application ends."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/quern-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """``df``, marked for broadcast only if it has at most ``rows`` rows; counts them, so
     ``df`` should be durable. A larger one is joined by a shuffle, whose large keys Spark splits."""
