@@ -40,15 +40,17 @@ def clean(docs: DataFrame, host: Column, text_col: str = "text", ratio: float =
     left without lines keep the empty text. Null texts stay null and have no lines; pages with
     a null host form one host. Repeated rows are pages of their own. Other columns stay, in
     their order; one that is named ``line_dedup`` is replaced."""
-    found = durable(boilerplate(docs, host, text_col, ratio, min_pages))
-    lists = found.groupBy(F.col("host").alias("_q_host")).agg(F.collect_set("line").alias("_q_lines"))
+    # the row travels in a struct, so that its columns' names can't clash with those used here
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), host.alias("host"), F.col(text_col).alias("text"))
+    found = durable(boilerplate(packed, F.col("host"), "text", ratio, min_pages))
+    lists = found.groupBy(F.col("host").alias("of")).agg(F.collect_set("line").alias("bad"))
     if found.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
         lists = F.broadcast(lists)
-    lines = _lines(F.col(text_col))
-    keep = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains("_q_lines", F.xxhash64(F.trim(x))))
-    kept = F.when(F.col("_q_lines").isNull(), lines).otherwise(keep)
-    joined = docs.join(lists, host.eqNullSafe(F.col("_q_host")), "left").withColumn("_q_kept", kept)
-    counts = F.struct(F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"), F.coalesce(F.size(lines) - F.size("_q_kept"), F.lit(0)).cast("bigint").alias("n_dropped"))
-    counts = F.when(F.col(text_col).isNull(), F.struct(F.lit(0).cast("bigint").alias("n_lines"), F.lit(0).cast("bigint").alias("n_dropped"))).otherwise(counts)
-    columns = [F.array_join("_q_kept", "\n").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "line_dedup"]
+    lines = _lines(F.col("text"))
+    keep = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains("bad", F.xxhash64(F.trim(x))))
+    joined = packed.join(lists, F.col("host").eqNullSafe(F.col("of")), "left").withColumn("kept", F.when(F.col("bad").isNull(), lines).otherwise(keep))
+    none = F.lit(0).cast("bigint")
+    n, dropped = F.size(lines).cast("bigint"), (F.size(lines) - F.size("kept")).cast("bigint")
+    counts = F.struct(F.when(F.col("text").isNull(), none).otherwise(n).alias("n_lines"), F.when(F.col("text").isNull(), none).otherwise(dropped).alias("n_dropped"))
+    columns = [(F.array_join("kept", "\n") if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns if c != "line_dedup"]
     return joined.select(*columns, counts.alias("line_dedup"))

@@ -30,6 +30,8 @@ def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; null counts as the empty text."""
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks()
+    if len(array) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     array = pc.fill_null(array.cast(pa.large_binary()), b"")
     _, offsets, data = array.buffers()
     offsets = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]

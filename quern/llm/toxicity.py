@@ -99,7 +99,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A chain fitted on at most ``max_labelled`` labelled rows, the first by a hash of the id.
 
     Null labels and labels without a document are left out; repeated labels of an id are
-    averaged and rounded; texts with the same words count once."""
+    averaged and rounded; texts with the same words count once. Without a toxic label
+    nothing is called toxic."""
     picked = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     picked = picked.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -133,7 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         inputs = np.column_stack([x, logit(held)])
         chain.weights.append(fit_logistic(inputs, target, L2, STEPS))
         held = np.column_stack([held, out_of_fold(inputs, target, fold, L2, STEPS)])
-    if y.any():
+    if not y.any():
+        chain.cut = 1.1  # no toxic label was seen: nothing is called toxic
+    else:
         called = [held[:, -1] >= c for c in CUTS]
         f1 = [2 * (y * p).sum() / (y.sum() + p.sum()) for p in called]
         chain.cut = CUTS[int(np.argmax(np.array(f1) > max(f1) - 1e-9))]

@@ -4,8 +4,6 @@ Columns and Spark's own tree learner only: no Python runs on the executors."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -107,9 +105,12 @@ def judge(pages: DataFrame, rules: dict[str, str], label: Column | None = None,
     "allow" otherwise. ``label`` (1 block, 0 allow, null unknown) may use the pages' columns;
     without it hosts are labelled by UNWANTED. Null URLs and URLs without ``://`` have an empty host
     and path and no rule. Repeated rows are judged each; an empty table, or labels of one
-    class, give "allow" where no rule fits. A column ``judged`` or ``_url`` of the input is replaced."""
-    found = features(pages.drop("judged"), url_col)
-    model = fit(found, weak_labels(F.col("_url.host")) if label is None else label, max_labelled)
+    class, give "allow" where no rule fits. A column ``judged`` of the input is replaced."""
+    # the row travels in a struct, so that its columns' names can't clash with those used here
+    given = weak_labels(parts(F.col(url_col))["host"]) if label is None else label
+    packed = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), F.col(url_col).alias("url"), given.cast("double").alias("_y"))
+    found = features(packed, "url")
+    model = fit(found, F.col("_y"), max_labelled)
     if model is None:
         scored = found.withColumn("_p1", F.lit(0.0))
     else:
@@ -118,4 +119,4 @@ def judge(pages: DataFrame, rules: dict[str, str], label: Column | None = None,
         scored = model.transform(VectorAssembler(inputCols=[f"_x_{c}" for c in FEATURES], outputCol="_f").transform(flat)).withColumn("_p1", vector_to_array("_q")[1])
     rule, verdict = ruled(F.col("_url.host"), F.col("_url.path"), rules)
     judged = F.struct(F.col("_url.host").alias("host"), F.col("_url.path").alias("path"), rule.alias("rule"), F.coalesce(verdict, F.when(F.col("_p1") >= 0.5, "block").otherwise("allow")).alias("verdict"), F.col("_p1").alias("p_block"))
-    return scored.select(*[F.col(f"`{c}`") for c in pages.columns if c not in ("judged", "_url")], judged.alias("judged"))
+    return scored.select(*[F.col("_row")[c].alias(c) for c in pages.columns if c != "judged"], judged.alias("judged"))
