@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from quern.functions.text import BLANK, LINE_END, TOKEN
+from quern.operators.answers import NUMBER
 from quern.operators.questions import QUANTITY_MARKERS, QUESTION_STEMS
 from quern.operators.values import EMPTY, FALSE_WORDS, SIMPLE_NUMBER, TRUE_WORDS
 from quern.queries import _STARTS
 
 NL = "chr(10)"
+HARD, UNSEEN = r"[ \x{A0}]", r"[\p{Z}\p{C}]"
 
 
 def listed(words) -> str:
@@ -180,7 +182,7 @@ SQL: dict[str, str] = {
     "tfidf_vocabulary": f"WITH {_LEX} SELECT doc, term, round(idf, 6) AS idf FROM vocab",
     "tfidf_weights": f"WITH {_LEX} SELECT doc, chunk_id, count(*) AS n_terms, round(sum(weight), 5) AS total, round(max(weight), 6) AS largest FROM weights GROUP BY 1, 2",
     "tfidf_query_cosine": f"WITH {_LEX} SELECT qid, doc, count(*) AS n, round(sum(lex), 5) AS total, round(max(lex), 6) AS best FROM lex GROUP BY 1, 2",
-    "hybrid_score": f"WITH {_HITS} SELECT qid, r AS rank, doc, chunk_id, round(dense, 6) AS dense, round(lex, 6) AS lex, round(score, 6) AS score FROM cut WHERE r <= 20",
+    "hybrid_score": f"WITH {_HITS} SELECT qid, r AS rank, doc, chunk_id, round(dense, 6) AS dense, round(lex, 6) AS lex, score FROM cut WHERE r <= 20",
     "rerank_blend": f"WITH {_HITS} SELECT qid, rank, doc, chunk_id, page, round(llm, 6) AS llm, round(final, 6) AS final FROM top",
     "unique_by_page": f"WITH {_HITS} SELECT qid, rank, doc, page FROM top QUALIFY row_number() OVER (PARTITION BY qid, doc, page ORDER BY rank) = 1",
     "context_block": f"WITH {_HITS} SELECT qid, string_agg('[' || rank || '] ' || CASE WHEN length(text) > 300 THEN left(text, 300) || '…' ELSE text END, {NL} || {NL} || '---' || {NL} || {NL} ORDER BY rank) AS context FROM top WHERE rank <= 8 GROUP BY 1",
@@ -190,12 +192,24 @@ w AS (SELECT qid, phrase, list_filter(regexp_split_to_array(phrase, '[^\p{{L}}\p
 sc AS (SELECT qid, rank, lower({compact('text')}) AS t, phrase, CASE WHEN len(words) = 0 THEN [phrase] ELSE words END AS words FROM top JOIN w USING (qid)),
 sx AS (SELECT qid, rank, CASE WHEN contains(t, phrase) THEN 2.5::DOUBLE ELSE 0.0::DOUBLE END + len(list_filter(words, lambda x: contains(t, x))) / len(words)::DOUBLE AS score FROM sc WHERE t <> '')
 SELECT qid, rank AS support FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rank) AS o FROM sx) WHERE o = 1 AND score >= 0.5""",
+    "support_numeric_nearest": rf"""WITH n AS (SELECT source AS qid, doc_id, text, {compact('text')} AS t FROM documents WHERE regexp_matches(text, '[0-9]{{2,}}')),
+a AS (SELECT qid, (arg_min(regexp_extract(text, '[0-9]{{2,9}}', 0)::BIGINT, doc_id) + 1)::VARCHAR AS answer FROM n GROUP BY 1),
+h AS (SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY doc_id) AS rank, t, answer, answer::DOUBLE AS target FROM n JOIN a USING (qid)),
+x AS (SELECT *, list_transform(regexp_extract_all(t, '{NUMBER}'), lambda m: {sub('m', HARD)}) AS found FROM h),
+y AS (SELECT *, list_filter(list_transform(found, lambda m: try_cast(CASE WHEN contains(m, '.') AND contains(m, ',') THEN replace(m, ',', '') ELSE replace(m, ',', '.') END AS DOUBLE)), lambda v: v IS NOT NULL) AS nums FROM x),
+z AS (SELECT qid, rank, target, contains(t, answer) AS exact, list_min(list_transform(nums, lambda v: abs(v - target) + 0.5::DOUBLE * (abs(v - target) / (abs(target) + 1e-9::DOUBLE)))) AS near FROM y),
+b AS (SELECT qid, any_value(target) AS target, min(rank) FILTER (exact) AS first, min(near) AS near, arg_min(rank, (near, rank)) FILTER (near IS NOT NULL) AS best FROM z GROUP BY 1)
+SELECT qid, coalesce(first, best) AS support FROM b WHERE first IS NOT NULL OR near < 0.25 OR (abs(target) >= 10 AND near < 1.5)""",
     "v2_to_v1": f"WITH {_V2} SELECT 'report_' || g || '.v1' AS doc, CASE WHEN page_number = 0 THEN doc_id ELSE page_number END AS page, text FROM g",
     "append_table_page": f"""WITH {_V2}, x AS (SELECT *, length(first_text) % 2 = 0 AS has, CASE WHEN last_number = 0 THEN last_id ELSE last_number END AS last FROM docs)
 SELECT stem || '.pdf' AS doc_name, n + has::INT AS num_pages, CASE WHEN has THEN last + 1 ELSE last_number END AS last_page, CASE WHEN has THEN 'tables_md' END AS section FROM x""",
     "ocr_select": f"""WITH o AS (SELECT doc_id, text, CASE doc_id % 3 WHEN 0 THEN text || ' read' WHEN 1 THEN left(text, 10) ELSE '' END AS ocr FROM documents),
 p AS (SELECT doc_id, ocr, CASE WHEN length({compact('text')}) < 1000 AND length({compact('ocr')}) > 0 AND length({compact('ocr')}) >= length({compact('text')}) THEN ocr ELSE coalesce(text, '') END AS t FROM o)
 SELECT doc_id, md5(t) AS text_md5, t = ocr AS is_ocr FROM p""",
+    "ocr_by_confidence": rf"""WITH o AS (SELECT doc_id, text, CASE WHEN doc_id % 2 = 0 THEN text || ' read' ELSE left(text, 50) END AS ocr, doc_id % 7 = 0 AS unsure FROM documents),
+p AS (SELECT *, length({sub('ocr', UNSEEN)}) AS seen_ocr, length({sub('text', UNSEEN)}) AS seen FROM o),
+t AS (SELECT *, (length(text) < 200 OR unsure) AND seen_ocr >= greatest(seen, 200) AS take FROM p)
+SELECT doc_id, length(CASE WHEN take THEN ocr ELSE text END) AS n, CASE WHEN take THEN 'ocr' ELSE 'parser' END AS ocr_source FROM t""",
     "cache_decision": """WITH c AS (SELECT o_orderkey AS k, epoch(o_orderdate)::BIGINT AS changed, o_orderkey % 4 <> 0 AS has, epoch(o_orderdate)::BIGINT + CASE WHEN o_orderkey % 5 = 0 THEN -1 ELSE 1 END AS cached FROM orders),
 r AS (SELECT k AS name, CASE WHEN NOT has THEN 'no cache' WHEN k % 7 = 0 THEN 'has error' WHEN k % 11 = 0 THEN 'interrupted' WHEN k % 13 = 0 THEN 'incomplete content' WHEN cached < changed THEN 'outdated' ELSE 'cached up-to-date' END AS reason FROM c)
 SELECT name, reason, reason = 'cached up-to-date' AS ok FROM r""",
@@ -227,6 +241,12 @@ SELECT event_id, CASE WHEN num IS NULL THEN 'str' WHEN num = floor(num) THEN 'in
     "coerce_answer": f"""WITH x AS (SELECT doc_id, text, ['int', 'float', 'str'][(doc_id % 3 + 1)::INT] AS want, try_cast(replace(regexp_extract(text, '[-+]?[0-9]+(?:[.,][0-9]+)?', 0), ',', '.') AS DOUBLE) AS num FROM documents),
 y AS (SELECT *, CASE WHEN want = 'str' THEN 'str' WHEN num IS NULL OR (want = 'int' AND abs(num) >= 9.2e18) THEN 'null' ELSE want END AS kind FROM x)
 SELECT doc_id, kind, CASE WHEN kind = 'int' THEN trunc(num)::BIGINT END AS i, CASE WHEN kind = 'float' THEN num END AS d, CASE WHEN kind = 'str' THEN md5({strip('text')}) END AS s_md5 FROM y""",
+    "merge_changes": f"""WITH {_SELECT},
+base AS (SELECT qid, arg_min(kind, ord) AS kind, arg_min(marker, ord) AS marker, arg_min(coalesce(i::DOUBLE, d), ord) AS num FROM v GROUP BY 1),
+c AS (SELECT qid, p.kind AS picked_kind, p.answer, CASE WHEN p.kind = 'int' THEN p.i::DOUBLE WHEN p.kind = 'float' THEN p.d WHEN p.kind = 'str' THEN {number('p.answer')} END AS num, p.reason, p.combination, nullif(base.kind, 'null') AS original_type, base.marker, base.kind AS base_kind, base.num AS base_num FROM picked p JOIN base USING (qid)),
+n AS (SELECT *, CASE WHEN original_type IS NULL OR picked_kind = 'null' THEN picked_kind WHEN original_type = 'int' AND (picked_kind IN ('int', 'float') OR num = floor(num)) THEN 'int' WHEN original_type = 'float' AND num IS NOT NULL THEN 'float' WHEN original_type = 'str' THEN 'str' ELSE picked_kind END AS coerced_type FROM c),
+s AS (SELECT *, CASE WHEN coerced_type IN ('int', 'float') AND base_kind IN ('int', 'float') THEN CASE WHEN coerced_type = 'int' THEN round_even(num, 0) ELSE num END = base_num ELSE coerced_type || ':' || CASE WHEN coerced_type = 'null' THEN '' ELSE answer END = marker END AS same FROM n)
+SELECT s.qid, (SELECT count(*) FROM many WHERE many.qid = s.qid)::INT AS n_candidates, reason, combination, original_type, coerced_type FROM s WHERE NOT same""",
     "reply_parse": """SELECT event_id, CASE WHEN event_id % 3 < 2 THEN event_type END AS answer, CASE WHEN event_id % 3 = 0 AND event_id % 9 BETWEEN 1 AND 6 THEN event_id % 9 END AS support, event_id % 3 = 2 AS refusal FROM events""",
     "dialogue_context": f"SELECT conv_id AS qid, string_agg('[' || (turn + 1) || '] ' || CASE WHEN length(text) > 120 THEN left(text, 120) || '…' ELSE coalesce(text, '') END, {NL} || {NL} || '---' || {NL} || {NL} ORDER BY turn) AS context FROM conversations WHERE turn < 8 GROUP BY 1",
 }

@@ -171,7 +171,7 @@ def _hybrid_hits(spark, sf_dir, per_doc=10):
 @query
 def hybrid_score(spark, sf_dir):
     _, hits = _hybrid_hits(spark, sf_dir)
-    return retrieve.top_k(hits, 20).select("qid", "rank", "doc", "chunk_id", F.round("dense", 6).alias("dense"), F.round("lex", 6).alias("lex"), F.round("score", 6).alias("score"))
+    return retrieve.top_k(hits, 20).select("qid", "rank", "doc", "chunk_id", F.round("dense", 6).alias("dense"), F.round("lex", 6).alias("lex"), "score")
 
 
 def _reranked(spark, sf_dir):
@@ -216,7 +216,8 @@ def support_token_overlap(spark, sf_dir):
 def support_numeric_nearest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").filter(F.col("text").rlike("[0-9]{2,}"))
     hits = docs.select(F.col("source").alias("qid"), F.row_number().over(W.partitionBy("source").orderBy("doc_id")).alias("rank"), "text")
-    said = docs.groupBy(F.col("source").alias("qid")).agg(F.concat(F.lit("1"), F.min("n_chars").cast("string")).alias("answer"))
+    number = F.regexp_extract("text", "[0-9]{2,9}", 0).cast("bigint")
+    said = docs.groupBy(F.col("source").alias("qid")).agg((F.min_by(number, "doc_id") + 1).cast("string").alias("answer"))
     return A.support_near(hits, said)
 
 

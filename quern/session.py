@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of an Arrow batch that a Python worker gets, unless the session sets its own bound.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
