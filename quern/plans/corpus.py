@@ -37,7 +37,7 @@ def search(tables: dict[str, DataFrame], questions: DataFrame, cfg: Retriever =
     lexical = index.cosine(tables["weights"], index.query_weights(questions, tables["vocabulary"])) if cfg.hybrid.enable else None
     hits = retrieve.hybrid(dense, lexical, cfg.hybrid)
     hits = retrieve.top_k(hits, depth).drop("rank")
-    full = hits.join(tables["chunks"].select("doc", "chunk_id", "page", "text"), ["doc", "chunk_id"]).join(F.broadcast(questions.select("qid", "question")), "qid")
+    full = hits.join(tables["chunks"].select("doc", "chunk_id", "page", "text"), ["doc", "chunk_id"]).join(questions.select("qid", "question"), "qid")
     ranked = retrieve.rerank(full, score(F.col("question"), F.col("text")), rerank, cfg.top_k) if rerank and rerank.enable else retrieve.top_k(full, cfg.top_k)
     return retrieve.unique_by_page(ranked) if cfg.unique_by_page else ranked
 

@@ -156,8 +156,9 @@ def _bag(spark, sf_dir):
     words = q.select("qid", F.explode(F.array_distinct(T.tokens("question"))).alias("term"))
     sizes = words.groupBy("qid").agg(F.count("*").alias("n"))
     terms = counts.select("doc", "chunk_id", "term")
-    shared = terms.join(F.broadcast(words) if n <= retrieve.MAX_QUERIES else words, "term").groupBy("qid", "doc", "chunk_id").agg(F.count("*").alias("c"))
-    return found, counts, vocab, shared.join(F.broadcast(sizes), "qid").select("qid", "doc", "chunk_id", (F.col("c") / F.col("n")).alias("dense"))
+    sized = F.broadcast if n <= retrieve.MAX_QUERIES else (lambda df: df)
+    shared = terms.join(sized(words), "term").groupBy("qid", "doc", "chunk_id").agg(F.count("*").alias("c"))
+    return found, counts, vocab, shared.join(sized(sizes), "qid").select("qid", "doc", "chunk_id", (F.col("c") / F.col("n")).alias("dense"))
 
 
 def _hybrid_hits(spark, sf_dir, per_doc=10):
