@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from quern.llm.tables import pieces
 
 #: Distinct pieces whose encoding one Python worker remembers at most; then it starts anew.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 150_000
 #: Token pairs whose verdict one Python worker remembers at most.
-CACHE_PAIRS = 400_000
+CACHE_PAIRS = 300_000
 
 
 class Vocabulary:
@@ -33,7 +33,7 @@ class Vocabulary:
     def __init__(self, rank_file: bytes):
         self.rank = {base64.b64decode(a): int(b) for a, b in (x.split() for x in rank_file.splitlines() if x)}
         self.bytes = dict(zip(self.rank.values(), self.rank.keys()))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left << 32 | right
         # How merging builds each token; a token that merging never builds has no entry.
         self.built: dict[int, tuple[int, int] | None] = {}
         for token, r in sorted(self.rank.items(), key=lambda x: x[1]):
@@ -67,11 +67,11 @@ class Vocabulary:
 
         Walks the seam back in time: of the two tokens at the seam the one made last is
         taken apart, and no merge across the seam may have come before the merge undone."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 32 | right)
         if known is None:
             if len(self.pairs) > CACHE_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._seam(left, right)
+            known = self.pairs[left << 32 | right] = self._seam(left, right)
         return known
 
     def _seam(self, left: int, right: int) -> bool:
@@ -110,8 +110,8 @@ class PrefixTable:
                 if token is not None:
                     if at == 0:
                         break
-                    pair = (last[at - 1], token)
-                    if pairs[pair] if pair in pairs else may_follow(*pair):
+                    ok = pairs.get(last[at - 1] << 32 | token)
+                    if may_follow(last[at - 1], token) if ok is None else ok:
                         break
             else:
                 raise ValueError(f"no token ends at byte {end} of {data!r}")

@@ -28,8 +28,10 @@ NEVER = frozenset("head title script style noscript template nav footer aside fo
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
 #: Words of class or id attributes that mark an element as something beside the article.
 BESIDE = re.compile(
-    r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|menus|breadcrumbs?|header|masthead|topbar|banner|footer|bottombar|sidebar|aside|rail|ads?|advert|advertisement|adverts|adsense|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|subscribe|subscription|newsletter|signup|login|share|sharing|social|related|recommended|recommendations|comments?|commentlist|disqus|replies|reply|respond|widget|toolbar|search|pagination|pager|copyright|legal|disclaimer|skip|hidden)(?:$|[^a-z])"
+    r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|menus|breadcrumbs?|footer|bottombar|sidebar|aside|rail|ads?|advert|advertisement|adverts|adsense|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|subscribe|subscription|newsletter|signup|login|share|sharing|social|related|recommended|recommendations|comments?|commentlist|disqus|replies|reply|respond|widget|toolbar|search|pagination|pager|copyright|legal|disclaimer|skip|hidden)(?:$|[^a-z])"
 )
+#: Those that mark the site's head, unless they are inside the article.
+HEAD = re.compile(r"(?:^|[^a-z])(?:header|masthead|topbar|banner)(?:$|[^a-z])")
 #: Elements a start tag closes when they are open inside the nearest of the second set.
 CLOSES = {
     "p": (frozenset({"p"}), frozenset("article section div body td th li blockquote main dd figure details".split())),
@@ -42,6 +44,11 @@ CLOSES = {
     "option": (frozenset({"option"}), frozenset({"select", "datalist"})),
 }
 BLOCK_CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Elements too small to be the content region.
+PARTS = frozenset("p span a label h1 h2 h3 h4 h5 h6 li td th tr pre blockquote dd dt".split())
+#: An element marked by its class or id that holds several lines and more than this share of the
+#: page's text is a frame around the article, if no article or main element stands outside.
+FRAME_SHARE = 0.5
 #: Share of the high cluster's text that the content region must hold.
 REGION_SHARE = 0.9
 #: Standard deviation, in lines, of the smoothing.
@@ -51,49 +58,75 @@ _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """The page as lines: text, number of tags, and the elements around it."""
+    """The page as lines: text, number of tags, and the element around it.
+
+    Elements are numbered in the order they open, so inner ones have larger numbers."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, number, set aside
-        self.parent = {0: -1}
-        self.names = {0: ""}
+        self.stack: list[tuple[str, int]] = [("", 0)]
+        self.parent, self.names, self.marks = [-1], [""], [0]  # marks: 1 never the article's, 2 beside it by class or id
         self.text: list[str] = []
         self.tags = 0
-        self.out: list[tuple[str, int, int, bool]] = []
+        self.out: list[tuple[str, int, int]] = []
 
     def cut(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text or self.tags:
-            self.out.append((text, self.tags, self.stack[-1][1], self.stack[-1][2]))
+            self.out.append((text, self.tags, self.stack[-1][1]))
         self.text, self.tags = [], 0
 
-    def beside(self, tag: str, attrs: list) -> bool:
+    def mark(self, tag: str, attrs: list) -> int:
         if tag in NEVER:
-            return True
+            return 1
+        inside = lambda: any(x[0] in ("article", "main") for x in self.stack)
         if tag == "header":
-            return not any(x[0] in ("article", "main") for x in self.stack)
+            return int(not inside())
         for key, value in attrs:
             value = (value or "").lower()
             if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
+                return 1
             if key == "style" and re.search(r"display\s*:\s*none", value):
-                return True
-            if key in ("class", "id") and tag not in ("html", "body", "article", "main") and BESIDE.search(value):
-                return True
-        return False
+                return 1
+            if key in ("class", "id") and tag not in ("html", "body", "article", "main") and (BESIDE.search(value) or HEAD.search(value) and not inside()):
+                return 2
+        return 0
 
     def pop_to(self, at: int) -> None:
         self.cut()
         del self.stack[at:]
 
+    def within(self, own: list[float]) -> list[float]:
+        """Sums over each element and all inside it."""
+        total = list(own)
+        for e in range(len(total) - 1, 0, -1):
+            total[self.parent[e]] += total[e]
+        return total
+
+    def content(self) -> list[tuple[str, int, int]]:
+        """The lines outside marked elements."""
+        n = len(self.parent)
+        size, lines, never, marked = [0.0] * n, [0.0] * n, [False] * n, [False] * n
+        for e in range(n):
+            never[e] = self.marks[e] == 1 or e > 0 and never[self.parent[e]]
+            marked[e] = self.marks[e] == 2 or e > 0 and marked[self.parent[e]]
+        for text, _, e in self.out:
+            size[e] += 0 if never[e] else len(text)
+            lines[e] += bool(text) and not never[e]
+        size, lines = self.within(size), self.within(lines)
+        clear = any(self.names[e] in ("article", "main") and size[e] and not marked[e] for e in range(n))
+        for e in range(1, n):
+            frame = not clear and lines[e] > 1 and size[e] > FRAME_SHARE * size[0]
+            never[e] = never[e] or never[self.parent[e]] or self.marks[e] == 2 and not frame
+        return [x for x in self.out if x[0] and not never[x[2]]]
+
     def handle_starttag(self, tag, attrs):
         if tag in INLINE:
             self.tags += 1
             if tag in ("br", "img", "wbr"):
                 self.text.append(" " if tag == "br" else "")
                 return
-            if tag not in ("span", "a", "label") or not self.beside(tag, attrs):
+            if tag not in ("span", "a", "label") or not self.mark(tag, attrs):
                 return
             self.cut()  # an inline element beside the article counts as a block
         else:
@@ -113,9 +146,10 @@ class Lines(HTMLParser):
                         break
         if tag in VOID:
             return
-        number = len(self.parent)
-        self.parent[number], self.names[number] = self.stack[-1][1], tag
-        self.stack.append((tag, number, self.stack[-1][2] or self.beside(tag, attrs)))
+        self.parent.append(self.stack[-1][1])
+        self.names.append(tag)
+        self.marks.append(self.mark(tag, attrs))
+        self.stack.append((tag, len(self.parent) - 1))
 
     def handle_endtag(self, tag):
         if tag in VOID:
@@ -162,27 +196,21 @@ def main_blocks(html: str | None) -> list[str]:
     page.feed(html or "")
     page.close()
     page.cut()
-    lines = [(text, tags, at) for text, tags, at, aside in page.out if text and not aside]
+    lines = page.content()
     if not lines:
         return []
     size = np.array([len(x[0]) for x in lines], float)
     ratio = smoothed(np.log1p(size / np.maximum(1, [x[1] for x in lines])))
     high = ratio >= threshold(ratio)
-    around: dict[int, float] = {}
-    for i, (_, _, at) in enumerate(lines):
-        while at >= 0:
-            around[at] = around.get(at, 0.0) + (size[i] if high[i] else 0.0)
-            at = page.parent[at]
-    need = REGION_SHARE * around[0]
-    whole = [x for x in around if around[x] >= need and page.names[x] not in ("p", "span", "a", "label", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "tr", "pre", "blockquote", "dd", "dt")]
-    region = max(whole, default=0)  # numbers grow inwards
-    kept = []
-    for text, _, at in lines:
-        while at > region:
-            at = page.parent[at]
-        if at == region:
-            kept.append(text)
-    return kept
+    own = [0.0] * len(page.parent)
+    for n, of_article, (_, _, e) in zip(size, high, lines):
+        own[e] += n if of_article else 0.0
+    around = page.within(own)
+    region = max((e for e in range(len(own)) if around[e] >= REGION_SHARE * around[0] and page.names[e] not in PARTS), default=0)
+    inside = [False] * len(own)
+    for e in range(len(own)):
+        inside[e] = e == region or e > 0 and inside[page.parent[e]]
+    return [text for text, _, e in lines if inside[e]]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

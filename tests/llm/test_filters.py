@@ -149,6 +149,12 @@ def test_main_text(tag):
     assert html_extract.main_blocks(PAGE % body) == ["The title", "First bold words é go on.", "Short.", "one", "two", "Quoted words.", "A last and longer paragraph of the text, with a link inside."]
 
 
+def test_frames_named_like_side_parts():
+    page = '<body class="has-sidebar"><div class="content-sidebar-wrap"><div class="banner">Site</div><div class="post"><div class="entry-header"><h1>T</h1></div><p>A paragraph that is long enough to count.</p></div><div class="sidebar">Side.</div></div></body>'
+    assert html_extract.main_blocks(page)[-1] == "A paragraph that is long enough to count." and "Side." not in html_extract.main_blocks(page)
+    assert html_extract.main_blocks('<article><div class="entry-header"><h1>T</h1></div><p>Text of the page, somewhat longer.</p></article>') == ["T", "Text of the page, somewhat longer."]
+
+
 def test_html_edges(spark):
     assert html_extract.main_blocks(None) == html_extract.main_blocks("") == html_extract.main_blocks("<nav>x</nav><script>y") == []
     assert html_extract.main_blocks("bare &lt;text&gt;") == ["bare <text>"] and html_extract.main_blocks("<p>a<p>b</div></p>c") == ["a", "b", "c"]
