@@ -12,6 +12,8 @@ from quern.config import CleanRules
 
 #: White space as Python's str knows it.
 BLANK = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The same as characters.
+BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: What ends a line for Python's splitlines, after control characters are gone.
 LINE_END = r"[\n\x{85}\x{2028}\x{2029}]"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -22,7 +24,7 @@ def col(x: Column | str) -> Column:
 
 
 def strip(x: Column | str) -> Column:
-    return F.regexp_replace(col(x), rf"\A{BLANK}+|{BLANK}+\z", "")
+    return F.btrim(col(x), F.lit(BLANKS))
 
 
 def is_blank(x: Column | str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.config import Chunking, CleanRules
-from quern.functions.plan import once
+from quern.functions.plan import let, once
 from quern.functions.text import LINE_END, clean, is_blank, occurrences, strip
 
 CHARS_PER_TOKEN = 4
@@ -18,20 +18,32 @@ PAGES_PER_BLOCK = 4096
 def auto_size(text: Column, cfg: Chunking) -> tuple[Column, Column]:
     """(size, overlap) in tokens for a cleaned text, by how tabular it looks and how long its lines are."""
     bullets = sum((occurrences(text, b) for b in ("•", "- ", "– ", "* ")), F.lit(0))
-    lines = F.filter(F.transform(F.split(text, LINE_END), lambda x: F.length(strip(x))), lambda n: n > 0)
-    average = F.when(F.size(lines) > 0, F.aggregate(lines, F.lit(0).cast("double"), lambda s, n: s + n) / F.size(lines)).otherwise(0.0)
-    structure = (occurrences(text, "\n") * 0.5 + occurrences(text, "|") * 3 + occurrences(text, "\t") * 2 + bullets * 1.5) / F.greatest(F.lit(1.0), F.length(text) / 1000.0)
-    size = F.when(structure >= 6, cfg.high).when(structure >= 3, (cfg.low + cfg.high) // 2).otherwise(cfg.low)
-    size = F.when(average <= 40, F.least(F.lit(cfg.high), (size * 1.2).cast("int"))).when(average >= 140, F.greatest(F.lit(cfg.low), (size * 0.85).cast("int"))).otherwise(size)
-    return size, (size * cfg.ratio).cast("int")
+    marks = occurrences(text, "\n") * 0.5 + occurrences(text, "|") * 3 + occurrences(text, "\t") * 2 + bullets * 1.5
+    lengths = F.transform(F.split(text, LINE_END), lambda x: F.length(strip(x)))
+    add = lambda s, n: F.struct((s["n"] + (n > 0).cast("int")).alias("n"), (s["total"] + n).alias("total"))
+    lines = F.aggregate(lengths, F.struct(F.lit(0).alias("n"), F.lit(0).alias("total")), add)
+    facts = F.struct(lines.alias("lines"), (marks / F.greatest(F.lit(1.0), F.length(text) / 1000.0)).alias("structure"))
+
+    def pick(f: Column) -> Column:
+        average = F.when(f["lines"]["n"] > 0, f["lines"]["total"] / f["lines"]["n"]).otherwise(0.0)
+        size = F.when(f["structure"] >= 6, cfg.high).when(f["structure"] >= 3, (cfg.low + cfg.high) // 2).otherwise(cfg.low)
+        return F.when(average <= 40, F.least(F.lit(cfg.high), (size * 1.2).cast("int"))).when(average >= 140, F.greatest(F.lit(cfg.low), (size * 0.85).cast("int"))).otherwise(size)
+
+    size = let(facts, pick)
+    return size, let(size, lambda n: (n * cfg.ratio).cast("int"))
 
 
 def spans(text: Column, size: Column, overlap: Column) -> Column:
-    """All windows of a text as an array of (start, end, text); none for a blank text."""
+    """All windows of a text as an array of (start, end, text); none for a blank text.
+
+    The text is cut once into pieces of one step; a window is its piece and what it needs of the next
+    ones. So the cost is linear in the text, which taking each window from the whole text is not."""
     wide, step, n = size * CHARS_PER_TOKEN, (size - overlap) * CHARS_PER_TOKEN, F.length(text)
     last = F.greatest(F.lit(0), F.ceil((n - wide) / step)).cast("int")
-    each = F.transform(F.sequence(F.lit(0), last), lambda k: F.struct((k * step).alias("start"), F.least(n, k * step + wide).alias("end"), F.substring(text, k * step + 1, wide).alias("text")))
-    return F.when(~is_blank(text), each)
+    pieces = F.regexp_extract_all(text, F.concat(F.lit("(?s).{1,"), step.cast("string"), F.lit("}")), F.lit(0))
+    window = lambda p, k: F.substring(F.array_join(F.slice(p, k + 1, F.ceil(wide / step).cast("int")), ""), F.lit(1), wide)
+    each = lambda p: F.transform(F.sequence(F.lit(0), last), lambda k: F.struct((k * step).alias("start"), F.least(n, k * step + wide).alias("end"), window(p, k).alias("text")))
+    return F.when(~is_blank(text), let(pieces, each))
 
 
 def split_pages(pages: DataFrame, cfg: Chunking, rules: CleanRules = CleanRules()) -> DataFrame:
