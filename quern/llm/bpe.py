@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from quern.llm.tables import pieces
 
-#: Distinct pieces whose encoding one Python worker remembers at most; then it starts anew.
-CACHE_PIECES = 150_000
+#: Distinct pieces whose encoding one Python worker remembers at most; then rare ones are forgotten.
+CACHE_PIECES = 250_000
 #: Token pairs whose verdict one Python worker remembers at most.
 CACHE_PAIRS = 300_000
 
@@ -161,8 +161,10 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
+        if len(self.known) > CACHE_PIECES:  # common pieces have few tokens and stay
+            self.known = {k: v for k, v in self.known.items() if len(v) <= 8}
+            if len(self.known) > CACHE_PIECES // 2:
+                self.known.clear()
         found = [self.find(x) for x in texts]
         self.learn(set().union(*found) - self.known.keys())
         return [b"".join(map(self.known.__getitem__, x)) for x in found]
