@@ -15,10 +15,27 @@ from quern.llm.tables import table
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+#: Exact similarities of all pairs that share a shingle, and what can be reached over links.
+OP1_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+each AS (SELECT doc_id, unnest(list_transform(generate_series(1, greatest(1, len(w) - 4)), lambda i: list_aggregate(w[i : i + 4], 'string_agg', ' '))) AS s FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, s, count(*) AS c FROM each GROUP BY 1, 2),
+size AS (SELECT doc_id, sum(c) AS size FROM n GROUP BY 1),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.c, y.c)) AS common FROM n x JOIN n y USING (s) WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE common >= 0.8::DOUBLE * (p.size + q.size - common)),
+arc AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT a, b FROM arc UNION SELECT reach.a, arc.b FROM reach JOIN arc ON reach.b = arc.a)
+SELECT doc_id, least(doc_id, coalesce(min(b), doc_id)) AS class_id FROM documents LEFT JOIN reach ON a = doc_id GROUP BY doc_id
+"""
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.clean(table(spark, sf_dir, "documents"), F.col("source"))
     return found.select("doc_id", "text", F.col("line_dedup.n_lines").alias("n_lines"), F.col("line_dedup.n_dropped").alias("n_dropped"))
@@ -58,7 +75,6 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 OP6_SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
@@ -107,4 +123,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL}
+SQL: dict[str, str] = {"op1_near_dedup": OP1_SQL, "op2_line_dedup": OP2_SQL, "op6_decontaminate": OP6_SQL}
