@@ -17,6 +17,8 @@ from quern.llm.tables import durable
 
 #: Characters of a candidate at least; words of the dictionary; labelled findings made for training.
 SHORTEST, DICTIONARY, LABELLED = 16, 1000, 6000
+#: Characters on either side of a candidate that its features see.
+AROUND = 160
 TREES, DEPTH, SEED = 40, 8, 8
 
 _RUN = r"[A-Za-z0-9+/_=\-]{%d,}" % SHORTEST
@@ -32,16 +34,39 @@ def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY)
     return [r.w for r in top.collect()]
 
 
+def _spans(pattern: str) -> Column:
+    """An array of all matches in the text: ``hit``, the characters (``offset``) and runs of blanks
+    (``position``) before it, and the text around it back to the last match and up to the next."""
+    gaps, hits = F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    blanks = lambda x: F.regexp_count(x, F.lit(r"\s+"))
+    pairs = F.transform(hits, lambda h, k: F.struct(
+        h.alias("hit"), F.get(gaps, k).alias("gap"), F.concat(F.coalesce(F.get(hits, k - 1), F.lit("")), F.get(gaps, k)).alias("lead"),
+        F.concat(F.get(gaps, k + 1), F.coalesce(F.get(hits, k + 1), F.lit(""))).alias("rest"),
+    ))
+
+    def add(s: Column, x: Column) -> Column:
+        offset, position = s["offset"] + F.length(x["gap"]), s["position"] + blanks(x["gap"])
+        span = F.struct(x["hit"].alias("hit"), offset.alias("offset"), position.alias("position"), F.right(x["lead"], F.lit(AROUND)).alias("lead"), F.left(x["rest"], F.lit(AROUND)).alias("rest"))
+        return F.struct((offset + F.length(x["hit"])).alias("offset"), (position + blanks(x["hit"])).alias("position"), F.concat(s["out"], F.array(span)).alias("out"))
+
+    none = F.array().cast("array<struct<hit:string,offset:int,position:int,lead:string,rest:string>>")
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("offset"), F.lit(0).alias("position"), none.alias("out")), add, lambda s: s["out"])
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, position, finding, word, before, last, after): ``position`` is the number of the blank-separated
-    word, from 0; ``finding`` the longest-first run in it; the rest are its neighbours."""
+    """(id, position, offset, finding, word, lead, rest, before, last, after), a row for each run: ``position``
+    is the number of the blank-separated word, ``offset`` that of the run's first character in the text,
+    both from 0; ``word`` is the run with what stands around it without a blank, ``lead`` and
+    ``rest`` (up to the neighbouring runs); ``before``, ``last`` and ``after`` are neighbouring words."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").rlike(_LIKELY))
     words = F.split("text", r"\s+")
-    hit = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("i"), w.alias("w"))), lambda x: x["w"].rlike(_RUN))
-    at = lambda x, d: F.coalesce(F.get(words, x["i"] + d), F.lit(""))
-    around = F.transform(hit, lambda x: F.struct(x["i"].alias("position"), x["w"].alias("word"), F.concat_ws(" ", at(x, -3), at(x, -2), at(x, -1)).alias("before"), at(x, -1).alias("last"), at(x, 1).alias("after")))
-    found = texts.select("id", F.explode(around).alias("x")).select("id", "x.*").withColumn("finding", F.regexp_extract("word", _RUN, 0))
-    likely = F.col("finding").rlike("[0-9]") | F.col("last").rlike(r"[=:]$") | F.col("word").rlike(r"[=:][\"']?" + _RUN)
+    at = lambda x, d: F.coalesce(F.get(words, x["position"] + d), F.lit(""))
+    around = F.transform(_spans(_RUN), lambda x: F.struct(
+        x["position"].alias("position"), x["offset"].alias("offset"), x["hit"].alias("finding"), F.element_at(F.split(x["lead"], r"\s", -1), -1).alias("lead"), F.element_at(F.split(x["rest"], r"\s", -1), 1).alias("rest"),
+        F.concat_ws(" ", at(x, -3), at(x, -2), at(x, -1)).alias("before"), at(x, -1).alias("last"), at(x, 1).alias("after"),
+    ))
+    found = texts.select("id", F.explode(around).alias("x")).select("id", "x.*").withColumn("word", F.concat("lead", "finding", "rest"))
+    likely = F.col("finding").rlike("[0-9]") | F.col("last").rlike(r"[=:]$") | F.col("lead").rlike(r"[=:][\"']?$") | F.col("finding").rlike("=" + _RUN)
     return found.filter(likely)
 
 
@@ -63,8 +88,8 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
         "covered": F.aggregate(F.filter(runs, lambda r: F.array_contains(known, r)), F.lit(0.0), lambda s, r: s + F.length(r)) / n,
         "longest_letters": F.coalesce(F.array_max(F.transform(F.regexp_extract_all("finding", F.lit("[A-Za-z]+"), F.lit(0)), lambda r: F.length(r))), F.lit(0)) / n,
         "slashes": _count("word", "/"), "dots": _count("word", r"\."), "path": F.col("word").rlike(r"^[\"'(]?(?:[a-z]+:/)?/|\\\\|/[^/]+/"), "mail": F.col("word").rlike("@"),
-        "keyword_near": F.col("before").rlike(_KEYWORD), "keyword_in": F.regexp_replace("word", _RUN, " ").rlike(_KEYWORD) | F.col("word").rlike(r"(?i)(AKIA|ghp_|sk-|xox)"),
-        "assigned": F.col("last").rlike(r"[=:]$") | F.col("word").rlike(r"^[A-Za-z_]+[=:]"), "quoted": F.col("word").rlike("[\"']" + _RUN), "only_digits": F.col("finding").rlike("^[0-9]+$"), "dashes": _count("finding", "[-_]"),
+        "keyword_near": F.col("before").rlike(_KEYWORD), "keyword_in": F.concat_ws(" ", "lead", "rest").rlike(_KEYWORD) | F.col("word").rlike(r"(?i)(AKIA|ghp_|sk-|xox)"),
+        "assigned": F.col("last").rlike(r"[=:]$") | F.col("word").rlike(r"^[A-Za-z_]+[=:]") | F.col("lead").rlike(r"[=:][\"']?$"), "quoted": F.col("lead").rlike("[\"']$"), "only_digits": F.col("finding").rlike("^[0-9]+$"), "dashes": _count("finding", "[-_]"),
     }
     return found.select("*", *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(f"_x_{k}") for k, c in numbers.items()])
 
@@ -107,7 +132,7 @@ def fit(labelled: DataFrame, words: list[str]):
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", words: list[str] | None = None) -> DataFrame:
-    """(id, position, finding, p_secret, is_secret): every candidate of every document row.
+    """(id, position, offset, finding, p_secret, is_secret): every candidate of every document row.
 
     Null texts and texts without candidates have no rows; repeated rows are scanned each;
     other columns are not read. ``labelled``: at most some thousand (id, text, label) rows;
@@ -119,4 +144,4 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
         scored = found.withColumn("p_secret", F.lit(0.0))
     else:
         scored = model.transform(VectorAssembler(inputCols=[f"_x_{c}" for c in FEATURES], outputCol="_f").transform(found)).withColumn("p_secret", vector_to_array("_q")[1])
-    return scored.select(F.col("id").alias(id_col), "position", "finding", "p_secret", (F.col("p_secret") >= 0.5).alias("is_secret"))
+    return scored.select(F.col("id").alias(id_col), "position", "offset", "finding", "p_secret", (F.col("p_secret") >= 0.5).alias("is_secret"))

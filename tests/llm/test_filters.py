@@ -134,6 +134,16 @@ def test_secrets_messy(spark, messy, nothing):
     assert secret_scan.scan(nothing).count() == 0
 
 
+def test_every_run_of_a_word_is_a_candidate(spark):
+    a, b, c = "wJalrXUtnFEMIK7MDENGbPxRfiCYzEXAMPLEKEYq", "04dbebab91ab85687d33eeaaf9ac699e1188f962", "c0ffee0123456789abcdef0123456789abcdef01"
+    texts = [f'  say AWS_SECRET_ACCESS_KEY="{a}" end', f'{{"token":"{b}","id":7,"secret":"{c}"}}', f"é\n{b},{c};{a}", 'AWS_SECRET_ACCESS_KEY="qwertzuiopasdfghjk"']
+    found = secret_scan.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert sorted((r.id, r.position, r.finding) for r in found) == sorted([(0, 2, a), (1, 0, b), (1, 0, c), (2, 1, b), (2, 1, c), (2, 1, a), (3, 0, "qwertzuiopasdfghjk")])
+    assert all(texts[r.id][r.offset :].startswith(r.finding) for r in found)
+    scanned = secret_scan.scan(spark.createDataFrame([(i, t) for i, t in enumerate(texts[:2])], "doc_id bigint, text string")).collect()
+    assert {r.finding for r in scanned if r.is_secret} == {a, b, c}
+
+
 # html
 
 PAGE = """<!DOCTYPE html><html><head><title>No title</title><style>p{x:1}</style><script>var t="</p><p>not text";</script></head><body>
