@@ -4,9 +4,9 @@ The events are cut into lines, one for each block of text. Lines inside elements
 never hold the article (menus, footers, forms, adverts ...) are set aside by element
 name, role, or class and id words. Each other line has a text-to-tag ratio; the ratios are
 smoothed with a Gaussian over neighbouring lines and cut into two clusters at the
-threshold between their means. The content region is the innermost element that
-holds nearly all text of the high cluster; every line inside it is kept, so short paragraphs
-of the article stay."""
+threshold between their means. The content region is the outermost article or main element
+around nearly all text of the high cluster, or without one the innermost element that holds
+all of that text; every line inside it is kept, so short paragraphs of the article stay."""
 
 from __future__ import annotations
 
@@ -49,7 +49,7 @@ PARTS = frozenset("p span a label h1 h2 h3 h4 h5 h6 li td th tr pre blockquote d
 #: An element marked by its class or id that holds several lines and more than this share of the
 #: page's text is a frame around the article, if no article or main element stands outside.
 FRAME_SHARE = 0.5
-#: Share of the high cluster's text that the content region must hold.
+#: Share of the high cluster's text that an article or main element must hold to be the content region.
 REGION_SHARE = 0.9
 #: Standard deviation, in lines, of the smoothing.
 SIGMA = 1.5
@@ -206,7 +206,8 @@ def main_blocks(html: str | None) -> list[str]:
     for n, of_article, (_, _, e) in zip(size, high, lines):
         own[e] += n if of_article else 0.0
     around = page.within(own)
-    region = max((e for e in range(len(own)) if around[e] >= REGION_SHARE * around[0] and page.names[e] not in PARTS), default=0)
+    whole = [e for e in range(len(own)) if around[e] >= REGION_SHARE * around[0] and page.names[e] in ("article", "main")]
+    region = min(whole, default=max((e for e in range(len(own)) if around[e] >= around[0] and page.names[e] not in PARTS), default=0))
     inside = [False] * len(own)
     for e in range(len(own)):
         inside[e] = e == region or e > 0 and inside[page.parent[e]]

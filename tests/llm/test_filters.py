@@ -165,6 +165,18 @@ def test_frames_named_like_side_parts():
     assert html_extract.main_blocks('<article><div class="entry-header"><h1>T</h1></div><p>Text of the page, somewhat longer.</p></article>') == ["T", "Text of the page, somewhat longer."]
 
 
+def test_nothing_of_the_article_is_cut_off():
+    long = [f"Paragraph {k} of the text, which is long enough to be taken for the article by any measure at all." for k in range(12)]
+    body = "".join(f"<p>{x}</p>" for x in long)
+    parts = ["The title", *long, "A closing paragraph of some words.", "The end."]
+    around = "<body><nav><a>Home</a></nav><div><p>Site</p></div>%s<footer>f</footer></body>"
+    for tag in ("article", "main"):
+        assert html_extract.main_blocks(around % f"<{tag}><header><h1>The title</h1></header><div class='body'>{body}</div><p>{parts[-2]}</p><p>The end.</p></{tag}>") == parts
+    assert html_extract.main_blocks(around % f"<main><article><h1>The title</h1>{body}</article><section><p>{parts[-2]}</p><p>The end.</p></section></main>") == parts
+    last = ["A short section closes the text, and it too is of the article.", "It has another paragraph.", "The end."]
+    assert html_extract.main_blocks(around % f"<div><section>{body}</section><section><p>{'</p><p>'.join(last)}</p></section></div>") == [*long, *last]
+
+
 def test_html_edges(spark):
     assert html_extract.main_blocks(None) == html_extract.main_blocks("") == html_extract.main_blocks("<nav>x</nav><script>y") == []
     assert html_extract.main_blocks("bare &lt;text&gt;") == ["bare <text>"] and html_extract.main_blocks("<p>a<p>b</div></p>c") == ["a", "b", "c"]
