@@ -1,7 +1,8 @@
 """Secrets in texts: wide candidates, and a random forest that drops false positives.
 
 Columns and Spark's own forest learner only: no Python runs on the executors. Candidates are
-runs of key characters with a digit, or after an assignment. The forest sees their length,
+runs of key characters with a digit or after an assignment, and any shorter or mixed value that a
+key word is assigned. The forest sees their length,
 character transitions, dictionary coverage, path marks and neighbouring words. It is trained
 here, on labelled findings."""
 
@@ -17,6 +18,8 @@ from quern.llm.tables import durable
 
 #: Characters of a candidate at least; words of the dictionary; labelled findings made for training.
 SHORTEST, DICTIONARY, LABELLED = 16, 1000, 6000
+#: Characters of a value at least that a key word is assigned.
+SHORT_VALUE = 6
 #: Characters on either side of a candidate that its features see.
 AROUND = 160
 TREES, DEPTH, SEED = 40, 8, 8
@@ -24,6 +27,11 @@ TREES, DEPTH, SEED = 40, 8, 8
 _RUN = r"[A-Za-z0-9+/_=\-]{%d,}" % SHORTEST
 _LIKELY = r"(?=[A-Za-z+/_=\-]*[0-9])" + _RUN + r"|[=:]\s*[\"']?" + _RUN
 _KEYWORD = r"(?i)(token|secret|passw|pwd|api[_\-]?key|apikey|access[_\-]?key|private|credential|auth|bearer)"
+#: A key word's assignment up to the value; the value is quoted (and may hold blanks) or goes on to the
+#: next blank, quote, or separator before another assignment. No group repeats but possessively: Java recurses otherwise.
+_HEAD = _KEYWORD.replace("(token", "(?:token") + r"[\w.\-]{0,40}+\\?[\"'\]]*+\s*+(?>=>|:=|[=:])\s*+(?>(?:bearer|basic|token)\s++)?+"
+_NEXT = r"[&;,](?!\\?[\"']?[\w.\-]+\\?[\"']?\s*[=:]|\s|$|[\"'}\])])"
+_VALUE = _HEAD + r"\\?(?:\"([^\"\n]{%d,}?)\\?\"|'([^'\n]{%d,}?)\\?'|[\"']?+((?:[^\s\"'&;,\\]|\\(?![\"'])|%s){%d,}+))" % (SHORT_VALUE, SHORT_VALUE, _NEXT, SHORT_VALUE)
 FEATURES = ("length", "digits", "uppers", "symbols", "letter_digit", "lower_upper", "hex", "distinct", "entropy", "covered", "longest_letters", "slashes", "dots", "path", "mail", "keyword_near", "keyword_in", "assigned", "quoted", "only_digits", "dashes")
 
 
@@ -53,21 +61,36 @@ def _spans(pattern: str) -> Column:
     return F.aggregate(pairs, F.struct(F.lit(0).alias("offset"), F.lit(0).alias("position"), none.alias("out")), add, lambda s: s["out"])
 
 
+def _value(x: Column) -> Column:
+    """The span of the value in a span of its whole assignment."""
+    head = F.regexp_extract(x["hit"], "^" + _HEAD + r"\\?[\"']?", 0)
+    value = F.concat(*[F.regexp_extract(x["hit"], _VALUE, k) for k in (1, 2, 3)])
+    close = F.substr(x["hit"], F.length(head) + F.length(value) + 1)
+    return F.struct(
+        value.alias("hit"), (x["offset"] + F.length(head)).alias("offset"), (x["position"] + F.regexp_count(head, F.lit(r"\s+"))).alias("position"),
+        F.right(F.concat(x["lead"], head), F.lit(AROUND)).alias("lead"), F.left(F.concat(close, x["rest"]), F.lit(AROUND)).alias("rest"),
+    )
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, position, offset, finding, word, lead, rest, before, last, after), a row for each run: ``position``
-    is the number of the blank-separated word, ``offset`` that of the run's first character in the text,
-    both from 0; ``word`` is the run with what stands around it without a blank, ``lead`` and
+    """(id, position, offset, finding, word, lead, rest, before, last, after), a row for each run, and for each
+    assigned value that is not inside such a run (a value may hold a run): ``position``
+    is the number of the blank-separated word, ``offset`` that of the finding's first character in the text,
+    both from 0; ``word`` is the finding with what stands around it without a blank, ``lead`` and
     ``rest`` (up to the neighbouring runs); ``before``, ``last`` and ``after`` are neighbouring words."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").rlike(_LIKELY))
-    words = F.split("text", r"\s+")
-    at = lambda x, d: F.coalesce(F.get(words, x["position"] + d), F.lit(""))
-    around = F.transform(_spans(_RUN), lambda x: F.struct(
-        x["position"].alias("position"), x["offset"].alias("offset"), x["hit"].alias("finding"), F.element_at(F.split(x["lead"], r"\s", -1), -1).alias("lead"), F.element_at(F.split(x["rest"], r"\s", -1), 1).alias("rest"),
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").rlike(_LIKELY) | F.col("text").rlike(_VALUE))
+    texts = texts.select("id", "text", _spans(_RUN).alias("runs"), F.transform(_spans(_VALUE), _value).alias("values"), F.split("text", r"\s+").alias("words"))
+    at = lambda x, d: F.coalesce(F.get("words", x["position"] + d), F.lit(""))
+    beside = lambda x, side, k: F.element_at(F.split(x[side], r"\s", -1), k)
+    likely = lambda x: x["hit"].rlike("[0-9]") | at(x, -1).rlike(r"[=:]$") | beside(x, "lead", -1).rlike(r"[=:][\"']?$") | x["hit"].rlike("=" + _RUN)
+    end = lambda x: x["offset"] + F.length(x["hit"])
+    texts = texts.withColumn("runs", F.filter("runs", likely))
+    alone = F.filter("values", lambda v: ~F.exists("runs", lambda r: (r["offset"] <= v["offset"]) & (end(r) >= end(v))))
+    around = F.transform(F.concat("runs", alone), lambda x: F.struct(
+        x["position"].alias("position"), x["offset"].alias("offset"), x["hit"].alias("finding"), beside(x, "lead", -1).alias("lead"), beside(x, "rest", 1).alias("rest"),
         F.concat_ws(" ", at(x, -3), at(x, -2), at(x, -1)).alias("before"), at(x, -1).alias("last"), at(x, 1).alias("after"),
     ))
-    found = texts.select("id", F.explode(around).alias("x")).select("id", "x.*").withColumn("word", F.concat("lead", "finding", "rest"))
-    likely = F.col("finding").rlike("[0-9]") | F.col("last").rlike(r"[=:]$") | F.col("lead").rlike(r"[=:][\"']?$") | F.col("finding").rlike("=" + _RUN)
-    return found.filter(likely)
+    return texts.select("id", F.explode(around).alias("x")).select("id", "x.*").withColumn("word", F.concat("lead", "finding", "rest"))
 
 
 def _count(text: str, pattern: str) -> Column:
@@ -102,7 +125,7 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
     b64 = lambda salt, k: F.substring(F.translate(F.base64(F.unhex(F.sha2(F.concat(F.lit(salt), i), 256))), "+/=", "aZ9"), 1, k)
     digits = lambda salt, k: F.substring(F.regexp_replace(F.sha2(F.concat(F.lit(salt), i), 512), "[a-f]", ""), 1, k)
     word = lambda salt, k: F.substring(F.translate(F.sha2(F.concat(F.lit(salt), i), 256), "0123456789", "einrtoslau"), 1, k)
-    kind = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(24))
+    kind = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(34))
     lead, tail = F.concat(word("l", 5), F.lit(" "), word("m", 7), F.lit(" ")), F.concat(F.lit(" "), word("t", 6), F.lit(" "), word("u", 4))
     q = F.lit('"')
     cases = [
@@ -114,6 +137,10 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
         (0, F.concat(F.lit("https://"), word("s", 7), F.lit(".example.com/"), word("t2", 8), F.lit("/"), digits("r2", 4))), (0, F.concat(word("u2", 12), F.lit("."), digits("s2", 2), F.lit("@mail"), digits("t3", 1), F.lit(".example.com"))),
         (0, F.concat(F.lit("sha256: "), hexed("v", 64))), (0, F.concat(F.lit("token = "), q, F.repeat(F.lit("x"), 20), q)), (0, F.concat(F.lit("password = "), q, F.lit("your-password-here-"), digits("w", 1), q)),
         (0, F.concat(word("x", 10), word("y", 9), digits("u3", 1))), (0, F.concat(F.lit("= "), word("z", 18))), (0, F.concat(F.lit("chapter_"), word("z2", 6), F.lit("_"), digits("v2", 2), F.lit("_draft"))), (0, F.concat(F.lit("2024-01-"), digits("w2", 2), F.lit("-"), word("z3", 9))),
+        (1, F.concat(F.lit("password = "), q, F.initcap(word("a3", 6)), digits("a4", 4), F.lit("!"), q)), (1, F.concat(F.lit("api_key: "), hexed("a5", 10))), (1, F.concat(F.lit("pwd="), b64("a6", 4), F.lit("#"), b64("a7", 5), F.lit("%"), digits("a8", 2))),
+        (1, F.concat(F.lit('"secret":'), q, b64("a9", 9), F.lit("$"), q)), (1, F.concat(F.lit("password: "), word("b2", 5), F.lit("@"), digits("b3", 3), F.lit("."), b64("b4", 9))),
+        (0, F.concat(F.lit("password: "), word("b5", 8))), (0, F.concat(F.lit("auth = "), q, word("b6", 9), q)), (0, F.concat(F.lit("secret: "), F.initcap(word("b7", 7)), F.lit("."))),
+        (0, F.concat(F.lit("access_key = ${"), F.upper(word("b8", 6)), F.lit("_"), F.upper(word("b9", 3)), F.lit("}"))), (0, F.concat(F.lit("password="), q, F.lit("<your-"), word("c2", 5), F.lit(">"), q)),
     ]
     text, label = F.lit(""), F.lit(0)
     for k, (y, body) in enumerate(cases):

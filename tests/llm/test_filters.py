@@ -144,6 +144,20 @@ def test_every_run_of_a_word_is_a_candidate(spark):
     assert {r.finding for r in scanned if r.is_secret} == {a, b, c}
 
 
+def test_short_and_mixed_values_of_key_words(spark):
+    texts = [
+        ('see password = "Summer2024!" now', 3, "Summer2024!"), ("api_key: 9f3c1a7be2", 1, "9f3c1a7be2"), ('{"n":1,"password":"Winter#77%x","k":2}', 0, "Winter#77%x"), ("x?pwd=ab,c&d.9!k&next=1", 0, "ab,c&d.9!k"),
+        ("secret => 'one 2 three!'", 2, "one 2 three!"), ("no key 9f3c1a7be2 here", 0, None), ('"token":null,"a":"b"', 0, None), ("pwd=" + "a.b!" * 50_000, 0, "a.b!" * 50_000), ("token = " + "ab," * 50_000 + "z", 2, "ab," * 50_000 + "z"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "doc_id bigint, text string")
+    found = secret_scan.candidates(docs).collect()
+    assert sorted((r.id, r.position, r.finding) for r in found) == [(i, p, v) for i, (_, p, v) in enumerate(texts) if v]
+    assert all(texts[r.id][0][r.offset :].startswith(r.finding) for r in found)
+    plain = spark.createDataFrame([(9, "password: required for all"), (10, "author: Alexander")], "doc_id bigint, text string")
+    scanned = secret_scan.scan(docs.filter("doc_id < 3").union(plain)).collect()
+    assert {r.doc_id: r.is_secret for r in scanned} == {0: True, 1: True, 2: True, 9: False, 10: False}
+
+
 # html
 
 PAGE = """<!DOCTYPE html><html><head><title>No title</title><style>p{x:1}</style><script>var t="</p><p>not text";</script></head><body>
