@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from quern.llm.components import components
 from quern.llm.tables import durable, pieces, small, text_bytes
@@ -174,6 +175,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ban
     are a class by themselves. Repeated rows fall into one class; if ids repeat, each row is
     still judged by its own text. Null ids are allowed and never name a class unless it has
     no other. An empty table gives an empty result; other columns are not read."""
+    return _rooted(docs, id_col, text_col, bands, rows).drop("root")
+
+
+def _rooted(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """:func:`classes`, and in ``root`` a node that names the class also where ids repeat."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     signed = durable(source.mapInArrow(_sign(bands, rows), f"id {kind}, node binary, size bigint, bands array<bigint>"))
@@ -206,9 +212,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ban
     # the class of every row
     root = durable(root)
     least = nodes.join(root, "node").groupBy("root").agg(F.min("id").alias("class_id"))
-    of_node = nodes.select("node", "id").join(root.join(least, "root").select("node", "class_id"), "node", "left").select("node", F.coalesce("class_id", "id").alias("class_id"))
+    of_node = nodes.select("node", "id").join(root.join(least, "root").select("node", "root", "class_id"), "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("class_id", "id").alias("class_id"))
     out = signed.select("id", "node").join(of_node, "node", "left")
-    return out.select(F.col("id").alias(id_col), "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"))
+    return out.select(F.col("id").alias(id_col), "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "root")
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, node): the node of each row's text."""
+    for batch in batches:
+        for part in pieces(batch, "text"):
+            word, bounds = hashes(*text_bytes(part.column("text")))[:2]
+            yield pa.RecordBatch.from_arrays([part.column("row"), _bytes(_digest(word, bounds), np.diff(bounds) > 0)], ["row", "node"])
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,14 +260,22 @@ def _possible(loose: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each class, with all its columns: that of the least id, and of rows that
-    repeat this id any one. Rows whose text is null or has no words, and rows with a null id,
-    all stay."""
-    found = durable(classes(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "node", "class_id"))
+    """One row of each class, with all its columns: that of the least id, and of rows of the
+    class that repeat this id any one. Rows whose text is null or has no words, and rows with a null
+    id, all stay. If an id repeats with different texts, each row is judged by its own text."""
+    found = durable(_rooted(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "node", "class_id", "root"))
     gone = durable(found.filter(F.col("_id") != F.col("class_id")).select("_id").distinct())
     kept = docs.join(small(gone), docs[id_col] == gone["_id"], "left_anti")
-    twice = durable(found.filter(F.col("node").isNotNull() & F.col("_id").isNotNull()).groupBy("_id").count().filter(F.col("count") > 1).select("_id"))
+    twice = durable(found.filter(F.col("_id").isNotNull()).groupBy("_id").count().filter(F.col("count") > 1).select("_id"))
     if twice.isEmpty():
         return kept
     single = kept.join(small(twice), kept[id_col] == twice["_id"], "left_anti")
-    return single.union(kept.join(small(twice), kept[id_col] == twice["_id"], "left_semi").dropDuplicates([id_col]))
+    repeated = docs.join(small(twice), docs[id_col] == twice["_id"], "left_semi")
+    # the row travels in a struct, so that its columns' names can't clash with those used here
+    packed = repeated.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    named = packed.mapInArrow(_named, StructType([packed.schema["row"], StructField("node", BinaryType())])).select("row", F.col("row")[id_col].alias("_id"), "node")
+    named = durable(named)
+    first = found.filter(F.col("node").isNotNull() & (F.col("_id") == F.col("class_id"))).join(small(twice), "_id", "left_semi").select("_id", "node", "root").distinct()
+    chosen = named.join(first, ["_id", "node"]).dropDuplicates(["root"])
+    columns = [F.col("row")[c].alias(c) for c in docs.columns]
+    return single.union(named.filter(F.col("node").isNull()).select(columns)).union(chosen.select(columns))

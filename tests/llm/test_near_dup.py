@@ -118,3 +118,14 @@ def test_messy_rows(messy, nothing):
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(1) == 1 and 2 not in ids and {3, 4, 5, 9, 6, 7, None} <= set(ids)
     assert near_dup.classes(nothing).count() == 0 and near_dup.drop_near_duplicates(nothing).count() == 0
+
+
+def test_rows_of_a_repeated_id_are_judged_by_their_own_texts(spark):
+    a, b, c = ("%s says a thing of more than five words, and then another %s" % (x, x) for x in ("one", "two", "three"))
+    rows = [(1, a), (2, a), (2, b), (2, None), (2, " "), (3, b), (4, c), (4, c), (4, a + " more"), (5, "x"), (5, c + " and more"), (5, "y"), (None, a), (None, a)]
+    kept = near_dup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = {r: 1 for r in rows if r[1] in (a, b, c, "x", "y", " ", None) and r not in ((2, a), (3, b))}
+    classes = brute(list(enumerate(t for _, t in rows)))
+    for i, t in ((8, a + " more"), (10, c + " and more")):
+        want |= {rows[i]: 1} if classes[i] == i else {}
+    assert Counter(map(tuple, kept)) == want | {(None, a): 2}
