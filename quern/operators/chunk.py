@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from quern.config import Chunking, CleanRules
 from quern.functions.plan import let, once
 from quern.functions.text import LINE_END, clean, is_blank, occurrences, strip
+from quern.session import durable, small
 
 CHARS_PER_TOKEN = 4
-#: Pages of one numbering block, see :func:`number_chunks`.
+#: Pages of one numbering block, see :func:`numbered`.
 PAGES_PER_BLOCK = 4096
 
 
@@ -54,25 +55,43 @@ def split_pages(pages: DataFrame, cfg: Chunking, rules: CleanRules = CleanRules(
     return sized.select("doc", "page", "size", "overlap", F.explode(spans(F.col("t"), F.col("size"), F.col("overlap"))).alias("x")).select("doc", "page", "size", "overlap", "x.*")
 
 
-def dedup(chunks: DataFrame) -> DataFrame:
-    """The first of a page's chunks that begin alike (256 characters, outer blanks aside); blank chunks go."""
-    key = F.substring(strip("text"), 1, 256)
-    first = F.row_number().over(W.partitionBy("doc", "page", "_key").orderBy("start"))
-    return chunks.withColumn("_key", key).withColumn("_n", first).filter((F.col("_n") == 1) & (F.col("_key") != "")).drop("_key", "_n")
+def distinct_spans(found: Column) -> Column:
+    """Of a page's chunks that begin alike (256 characters, outer blanks aside) the first, in the page's
+    order; blank chunks go. Sorted twice inside the row, so no text is shuffled."""
+    keyed = F.array_sort(F.transform(found, lambda x: F.struct(F.substring(strip(x["text"]), 1, 256).alias("key"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"))))
+    new = lambda s: F.filter(s, lambda x, i: (x["key"] != "") & ((i == 0) | (x["key"] != F.coalesce(F.get(s, i - 1)["key"], F.lit("")))))
+    plain = lambda s: F.array_sort(F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"))))
+    return let(keyed, lambda s: plain(new(s)))
 
 
-def number_chunks(chunks: DataFrame) -> DataFrame:
-    """With ``chunk_id``, the chunk's place in its document, from 0.
+def cut_pages(pages: DataFrame, cfg: Chunking, rules: CleanRules = CleanRules()) -> DataFrame:
+    """(doc, page, chunks) of each page row: its distinct chunks as one array of (start, end, text)."""
+    cleaned = once(pages, "t", clean("text", rules)).select("doc", "page", "t")
+    size, overlap = auto_size(F.col("t"), cfg) if cfg.mode == "auto" else (F.lit(cfg.size), F.lit(cfg.overlap))
+    sized = once(cleaned, "size", size).withColumn("overlap", overlap if cfg.mode != "auto" else (F.col("size") * cfg.ratio).cast("int"))
+    cut = once(sized, "found", spans(F.col("t"), F.col("size"), F.col("overlap"))).select("doc", "page", "found")
+    return cut.filter(F.col("found").isNotNull()).select("doc", "page", distinct_spans(F.col("found")).alias("chunks"))
+
+
+def numbered(cut: DataFrame) -> DataFrame:
+    """(row, first): for each page row (row, doc, page, n) the number of its document's chunks before it.
 
-    Places are counted inside blocks of pages and shifted by the sizes of the blocks before, so
-    that no task has to hold a whole large document."""
-    blocked = chunks.withColumn("_block", F.floor(F.col("page") / PAGES_PER_BLOCK))
+    Numbers are counted inside blocks of pages and shifted by the sizes of the blocks before, so
+    that no task has to hold the pages of a whole large document."""
+    blocked = cut.withColumn("_block", F.floor(F.col("page") / PAGES_PER_BLOCK))
     before = W.partitionBy("doc").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    shift = blocked.groupBy("doc", "_block").agg(F.count("*").alias("_c")).select("doc", "_block", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift"))
-    place = F.row_number().over(W.partitionBy("doc", "_block").orderBy("page", "start"))
-    return blocked.join(shift, ["doc", "_block"]).withColumn("chunk_id", (F.col("_shift") + place - 1).cast("int")).drop("_block", "_shift")
+    shift = blocked.groupBy("doc", "_block").agg(F.sum("n").alias("_c")).select("doc", "_block", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_shift"))
+    inside = W.partitionBy("doc", "_block").orderBy("page", "row").rowsBetween(W.unboundedPreceding, -1)
+    placed = blocked.withColumn("_before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return placed.join(shift, ["doc", "_block"]).select("row", (F.col("_shift") + F.col("_before")).alias("first"))
 
 
 def chunk_pages(pages: DataFrame, cfg: Chunking, rules: CleanRules = CleanRules()) -> DataFrame:
-    """(doc, chunk_id, page, start, end, text): cleaned, split, without repeats, numbered."""
-    return number_chunks(dedup(split_pages(pages, cfg, rules))).select("doc", "chunk_id", "page", "start", "end", "text")
+    """(doc, chunk_id, page, start, end, text): cleaned, split, without repeats, numbered from 0 in the document.
+
+    Pages are cut once and written; only their chunk counts are shuffled, and go back to the pages
+    as a broadcast while they are small."""
+    cut = durable(cut_pages(pages, cfg, rules).withColumn("n", F.size("chunks")).withColumn("row", F.monotonically_increasing_id()))
+    first = durable(numbered(cut.select("row", "doc", "page", "n")))
+    each = cut.join(small(first), "row").select("doc", "page", "first", F.posexplode("chunks").alias("place", "x"))
+    return each.select("doc", (F.col("first") + F.col("place")).cast("int").alias("chunk_id"), "page", "x.start", "x.end", "x.text")

@@ -2,34 +2,87 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.config import Hybrid, Rerank
-from quern.operators.index import dot
+from quern.session import durable, small
 
-#: Rows of the question side that may be sent to every executor.
-MAX_QUERIES = 20_000
+#: Questions that go to a task at once, vectors that it reads at once, and questions of one matrix product.
+MAX_QUERIES, VECTOR_BLOCK, QUERY_BLOCK = 20_000, 16_384, 128
+#: Digits of a score that decide on a rank; sums over a shuffle may differ in the last ones.
+DIGITS = 9
 
 
 def rank_by(keys: list[str], *order: Column | str) -> Column:
     return F.row_number().over(W.partitionBy(*keys).orderBy(*order))
 
 
-def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(qid, doc, chunk_id, dense): of each document the ``k`` chunks with the largest inner product.
+def _best(k: int, qids: np.ndarray, qv: np.ndarray):
+    """(q, doc, chunk_id, dense): the ``k`` best chunks of each document for each question, by blocks of vectors."""
+    def block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        v = rows.column("vector").combine_chunks().flatten().to_numpy().astype(float).reshape(rows.num_rows, -1)
+        chunk = rows.column("chunk_id").to_numpy()
+        doc = rows.column("doc").combine_chunks().dictionary_encode()
+        code = doc.indices.fill_null(-1).to_numpy()
+        order = np.argsort(code, kind="stable")
+        for mine in np.split(order, np.flatnonzero(np.diff(code[order])) + 1):
+            for at in range(0, len(qv), QUERY_BLOCK):
+                q = qv[at : at + QUERY_BLOCK]
+                s = q @ v[mine].T
+                n = min(k, len(mine))
+                edge = np.partition(s, len(mine) - n, axis=1)[:, -n][:, None]
+                # single sums may differ in the last bits: what can't be told from the last is added up again, part by part
+                r, c = np.nonzero(s >= edge - 1e-9 * np.maximum(1, np.abs(edge)))
+                exact = np.zeros(len(r))
+                for j in range(v.shape[1]):
+                    exact += q[r, j] * v[mine[c], j]
+                turn = np.lexsort((chunk[mine[c]], -exact, r))
+                r, c, exact = r[turn], mine[c[turn]], exact[turn]
+                top = np.arange(len(r)) - np.searchsorted(r, r) < k
+                found = pa.array(c[top])
+                yield pa.RecordBatch.from_arrays([pa.array(qids[at + r[top]]), rows.column("doc").combine_chunks().take(found), pa.array(chunk[c[top]]), pa.array(exact[top])], ["q", "doc", "chunk_id", "dense"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= VECTOR_BLOCK:
+                yield from block(pa.Table.from_batches(held))
+                held, n = [], 0
+        if n:
+            yield from block(pa.Table.from_batches(held))
+
+    return run
 
-    The question side is sent to the chunks in blocks of MAX_QUERIES, so that it stays
-    small however many questions there are; the rank filter is applied before the shuffle too."""
-    n = queries.count()
+
+def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(qid, doc, chunk_id, dense): of each document the ``k`` chunks with the largest inner product, ties to
+    the smaller chunk.
+
+    Questions go to the tasks as matrices of MAX_QUERIES rows at most, so they stay small however many there are. A
+    task multiplies blocks of vectors with them and keeps the best ``k`` of each block, document and question, so
+    pairs never become rows; a window over those decides."""
+    asked = durable(queries.select("qid", "vector").withColumn("_n", F.monotonically_increasing_id()))
+    n = asked.count()
+    blocks = max(1, -(-n // MAX_QUERIES))
+    kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
     out = None
-    for block in range(max(1, -(-n // MAX_QUERIES))):
-        q = queries if n <= MAX_QUERIES else queries.filter(F.pmod(F.xxhash64("qid"), F.lit(-(-n // MAX_QUERIES))) == block)
-        scored = vectors.crossJoin(F.broadcast(q.select("qid", F.col("vector").alias("qv")))).select("qid", "doc", "chunk_id", dot(F.col("vector"), F.col("qv")).alias("dense"))
-        top = scored.withColumn("_r", rank_by(["qid", "doc"], F.desc("dense"), "chunk_id")).filter(F.col("_r") <= k).drop("_r")
+    for b in range(blocks):
+        q = asked.filter(F.pmod(F.xxhash64("_n"), F.lit(blocks)) == b).select("_n", F.col("vector").cast("array<double>").alias("vector")).orderBy("_n").toArrow()
+        qv = q.column("vector").combine_chunks().flatten().to_numpy().reshape(max(1, q.num_rows), -1)[: q.num_rows]
+        best = _best(k, q.column("_n").to_numpy(), qv)
+        found = vectors.select("doc", "chunk_id", "vector").mapInArrow(best, f"q bigint, doc {kinds['doc']}, chunk_id {kinds['chunk_id']}, dense double")
+        top = found.withColumn("_r", rank_by(["q", "doc"], F.desc("dense"), "chunk_id")).filter(F.col("_r") <= k).drop("_r")
         out = top if out is None else out.unionByName(top)
-    return out
+    names = asked.select("qid", F.col("_n").alias("q"))
+    return out.join(small(names), "q").select("qid", "doc", "chunk_id", "dense")
 
 
 def hybrid(candidates: DataFrame, lexical: DataFrame | None, cfg: Hybrid = Hybrid()) -> DataFrame:
@@ -42,7 +95,7 @@ def hybrid(candidates: DataFrame, lexical: DataFrame | None, cfg: Hybrid = Hybri
 
 def top_k(hits: DataFrame, k: int, score: str = "score") -> DataFrame:
     """The ``k`` best hits of each question with ``rank`` from 1; ties by document and chunk."""
-    return hits.withColumn("rank", rank_by(["qid"], F.desc(score), "doc", "chunk_id")).filter(F.col("rank") <= k)
+    return hits.withColumn("rank", rank_by(["qid"], F.round(score, DIGITS).desc(), "doc", "chunk_id")).filter(F.col("rank") <= k)
 
 
 def rerank(hits: DataFrame, scorer: Column, cfg: Rerank, k: int) -> DataFrame:

@@ -34,7 +34,8 @@ def search(tables: dict[str, DataFrame], questions: DataFrame, cfg: Retriever =
     depth = max(rerank.pre_k, cfg.top_k) if rerank and rerank.enable else cfg.top_k
     asked = once(questions, "vector", (embed or hashed_embedding())(F.col("question"))).select("qid", "vector")
     dense = retrieve.dense_top_k(tables["vectors"], asked, depth)
-    lexical = index.cosine(tables["weights"], index.query_weights(questions, tables["vocabulary"])) if cfg.hybrid.enable else None
+    dense = durable(dense) if cfg.hybrid.enable else dense
+    lexical = index.cosine(tables["weights"], index.query_weights(questions, tables["vocabulary"]), dense) if cfg.hybrid.enable else None
     hits = retrieve.hybrid(dense, lexical, cfg.hybrid)
     hits = retrieve.top_k(hits, depth).drop("rank")
     full = hits.join(tables["chunks"].select("doc", "chunk_id", "page", "text"), ["doc", "chunk_id"]).join(questions.select("qid", "question"), "qid")

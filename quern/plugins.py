@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quern.functions.plan import let
 from quern.functions.text import strip, tokens
+from quern.operators.index import counted
 from quern.operators.questions import rule_rewrite
 
 
@@ -56,13 +58,16 @@ class PageParser(Protocol):
 
 
 def hashed_embedding(dim: int = 64) -> Embedder:
-    """Token counts in ``dim`` buckets, signed by hash, of length one."""
+    """Token counts in ``dim`` buckets, signed, by the first 16 bits of the token's MD5; of length one."""
     def embed(text: Column) -> Column:
-        slot = F.transform(tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(2 * dim)).cast("int"))
-        count = lambda s, k: F.size(s) - F.size(F.array_remove(s, k))
-        raw = F.transform(F.array(slot), lambda s: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: (count(s, k) - count(s, k + dim)).cast("double")))[0]
-        norm = F.transform(F.array(raw), lambda r: F.struct(r.alias("r"), (F.sqrt(F.aggregate(r, F.lit(0.0), lambda a, x: a + x * x)) + 1e-12).alias("n")))[0]
-        return F.transform(F.array(norm), lambda z: F.transform(z["r"], lambda x: (x / z["n"]).cast("float")))[0]
+        slots = F.transform(tokens(text), lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 4), 16, 10).cast("int"), F.lit(2 * dim)))
+        sums = lambda found: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.coalesce(F.element_at(found, k), F.lit(0)) - F.coalesce(F.element_at(found, k + dim), F.lit(0)))
+        by_slot = lambda s: F.map_from_entries(F.transform(counted(s), lambda x: F.struct(x["term"], x["tf"].cast("int"))))
+        none = F.create_map().cast("map<int,int>")
+        norm = lambda r: F.struct(r.alias("r"), (F.sqrt(F.aggregate(r, F.lit(0), lambda a, x: a + x * x).cast("double")) + 1e-12).alias("n"))
+        unit = lambda z: F.transform(z["r"], lambda x: (x / z["n"]).cast("float"))
+        raw = let(F.coalesce(by_slot(slots), none), sums)
+        return let(let(raw, norm), unit)
 
     return embed
 

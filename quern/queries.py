@@ -98,7 +98,8 @@ def chunk_index(spark, sf_dir):
 
 @query
 def chunk_counts(spark, sf_dir):
-    return chunk.dedup(chunk.split_pages(pages(spark, sf_dir), AUTO)).groupBy("doc").agg(F.count("*").alias("chunks"))
+    cut = chunk.cut_pages(pages(spark, sf_dir), AUTO).select("doc", F.size("chunks").alias("n"))
+    return cut.groupBy("doc").agg(F.sum("n").alias("chunks")).filter(F.col("chunks") > 0)
 
 
 # vectors and words ---------------------------------------------------------------------------

@@ -7,10 +7,14 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of an Arrow batch that a Python worker gets, unless the session sets its own bound.
 BATCH_BYTES = 2 << 20
+#: Bytes of a table that may be sent to every executor.
+SMALL_BYTES = 24 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -36,11 +40,14 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where it is unset (tests) an own one."""
+    """The folder named by spark.checkpoint.dir. Only where it is unset and everything runs in one
+    process (tests) an own one; on a cluster a local folder would lose tables, so that is refused."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isEmpty():
+            if not jsc.isLocal():
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quern-checkpoint-"))
         folder = jsc.getCheckpointDir().get()
     return folder
@@ -57,3 +64,24 @@ def durable(df: DataFrame) -> DataFrame:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _width(c: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") + 16
+    if isinstance(kind, T.StructType):
+        return sum((_width(c[f.name], f.dataType) for f in kind), F.lit(8).cast("bigint"))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)):
+            each = F.transform(c, lambda x: _width(x, kind.elementType))
+            return F.coalesce(F.aggregate(each, F.lit(0).cast("bigint"), lambda s, x: s + x), F.lit(0).cast("bigint")) + 16
+        return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("bigint") * 8 + 16
+    return F.lit(8).cast("bigint")
+
+
+def small(df: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
+    """``df``, marked for broadcast only if its values have at most ``limit`` bytes; adds them up, so
+    ``df`` should be durable. A larger one is joined by a shuffle, whose large keys Spark splits."""
+    size = sum((_width(df[f.name], f.dataType) for f in df.schema), F.lit(16).cast("bigint"))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
