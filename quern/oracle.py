@@ -73,15 +73,45 @@ qr AS (SELECT qid, doc, term, tf * idf AS w FROM qtf JOIN vocab USING (term)),
 qw AS (SELECT qid, doc, term, w / sqrt(sum(w * w) OVER (PARTITION BY qid, doc)) AS weight FROM qr),
 lex AS (SELECT qid, doc, chunk_id, sum(qw.weight * weights.weight) AS lex FROM weights JOIN qw USING (doc, term) GROUP BY ALL)"""
 
-_HITS = f"""{_LEX},
+def _hits(per_doc: int) -> str:
+    return f"""{_LEX},
 sizes AS (SELECT qid, count(*) AS n FROM qtf GROUP BY 1),
 bag AS (SELECT qid, doc, chunk_id, count(*) / any_value(n)::DOUBLE AS dense FROM tf JOIN qtf USING (term) JOIN sizes USING (qid) GROUP BY qid, doc, chunk_id),
-cand AS (SELECT * FROM bag QUALIFY row_number() OVER (PARTITION BY qid, doc ORDER BY dense DESC, chunk_id) <= 10),
+cand AS (SELECT * FROM bag QUALIFY row_number() OVER (PARTITION BY qid, doc ORDER BY dense DESC, chunk_id) <= {per_doc}),
 hits AS (SELECT qid, doc, chunk_id, dense, coalesce(lex, 0.0) AS lex, round(0.7::DOUBLE * dense + 0.3::DOUBLE * coalesce(lex, 0.0), 9) AS score FROM cand LEFT JOIN lex USING (qid, doc, chunk_id)),
 cut AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc, chunk_id) AS r FROM hits),
 llm AS (SELECT cut.*, page, text, least(1.0, length(text) / 2000.0::DOUBLE) AS llm FROM cut JOIN chunks USING (doc, chunk_id) WHERE r <= 30),
 ranked AS (SELECT *, 0.15::DOUBLE * score + 0.85::DOUBLE * llm AS final FROM llm),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY final DESC, doc, chunk_id) AS rank FROM ranked) WHERE rank <= 20)"""
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(final, 9) DESC, doc, chunk_id) AS rank FROM ranked) WHERE rank <= 20)"""
+
+
+_HITS = _hits(30)
+
+_NUMBER = "[-+]?[0-9]+(?:[.,][0-9]+)?"
+
+#: The end-to-end plan over the offline models: bucketed token counts as vectors, shared tokens as the
+#: reranker, the first number or the best line as the answer.
+_ANSWERED = f"""{_LEX},
+said AS (SELECT 0 AS is_q, doc, chunk_id, 0 AS qid, term FROM each UNION ALL SELECT 1, '', 0, qid, term FROM qt),
+slot AS (SELECT is_q, doc, chunk_id, qid, ('0x' || left(md5(term), 4))::INT % 128 AS s FROM said),
+part AS (SELECT is_q, doc, chunk_id, qid, s % 64 AS k, sum(CASE WHEN s < 64 THEN 1 ELSE -1 END) AS c FROM slot GROUP BY ALL),
+one AS (SELECT 0 AS is_q, doc, chunk_id, 0 AS qid FROM chunks UNION ALL SELECT 1, '', 0, item_id FROM benchmark),
+grid AS (SELECT is_q, doc, chunk_id, qid, k, coalesce(c, 0) AS c FROM one CROSS JOIN (SELECT unnest(range(64)) AS k) LEFT JOIN part USING (is_q, doc, chunk_id, qid, k)),
+vec AS (SELECT is_q, doc, chunk_id, qid, list(c::DOUBLE ORDER BY k) AS c, sqrt(sum(c * c)::DOUBLE) + 1e-12 AS n FROM grid GROUP BY ALL),
+unit AS (SELECT is_q, doc, chunk_id, qid, list_transform(c, lambda x: (x / n)::FLOAT::DOUBLE) AS v FROM vec),
+dense AS (SELECT q.qid, c.doc, c.chunk_id, list_dot_product(q.v, c.v) AS dense FROM unit q, unit c WHERE q.is_q = 1 AND c.is_q = 0),
+cand AS (SELECT * FROM dense QUALIFY row_number() OVER (PARTITION BY qid, doc ORDER BY dense DESC, chunk_id) <= 100),
+hits AS (SELECT qid, doc, chunk_id, 0.7::DOUBLE * dense + 0.3::DOUBLE * coalesce(lex, 0.0) AS score FROM cand LEFT JOIN lex USING (qid, doc, chunk_id)),
+cut AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc, chunk_id) <= 100),
+asked AS (SELECT item_id AS qid, list_distinct({tokens('text')}) AS words FROM benchmark),
+judged AS (SELECT qid, doc, chunk_id, page, text, words, score, CASE WHEN len(words) = 0 THEN 0.0 ELSE len(list_intersect(words, {tokens('text')})) / len(words)::DOUBLE END AS llm FROM cut JOIN chunks USING (doc, chunk_id) JOIN asked USING (qid)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(0.15::DOUBLE * score + 0.85::DOUBLE * llm, 9) DESC, doc, chunk_id) AS rank FROM judged),
+top AS (SELECT * FROM placed WHERE rank <= 10),
+number AS (SELECT qid, arg_min(rank, rank) AS rank, try_cast(replace(regexp_extract(arg_min(text, rank), '{_NUMBER}'), ',', '.') AS DOUBLE) AS x FROM top WHERE regexp_matches(text, '[0-9]') GROUP BY 1),
+lines AS (SELECT qid, words, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT qid, words, list_filter(list_transform(string_split(text, {NL}), lambda x: {strip('x')}), lambda x: x <> '') AS l FROM top WHERE rank = 1)),
+best AS (SELECT qid, line FROM lines QUALIFY row_number() OVER (PARTITION BY qid ORDER BY len(list_intersect(words, {tokens('line')})) DESC, i) = 1),
+final AS (SELECT item_id AS qid, CASE WHEN item_id % 2 = 0 THEN coalesce(line, 'N/A') WHEN abs(x) < 9.2e18 THEN trunc(x)::BIGINT::VARCHAR ELSE 'None' END AS answer, CASE WHEN item_id % 2 = 0 THEN 1 ELSE number.rank END AS support
+  FROM benchmark LEFT JOIN number ON number.qid = item_id LEFT JOIN best ON best.qid = item_id)"""
 
 _VECTORS = """
 v AS (SELECT label AS doc, vec_id AS chunk_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
@@ -89,7 +119,7 @@ u AS (SELECT doc, chunk_id, list_transform(e, lambda x: x / (sqrt(list_dot_produ
 s AS (SELECT q.chunk_id AS qid, u.doc, u.chunk_id, list_dot_product(u.vector, q.vector) AS dense FROM u, u q WHERE q.chunk_id % 100 = 0)"""
 
 _V2 = """
-g AS (SELECT doc_id // 20 AS g, doc_id, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE doc_id % 20 + 1 END AS page_number, left(text, 200) AS text FROM documents),
+g AS (SELECT doc_id // 20 AS g, doc_id, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE doc_id % 20 + 1 END AS page_number, text FROM documents),
 docs AS (SELECT g, 'report_' || g || '.v1' AS stem, count(*) AS n, max(doc_id) AS last_id, arg_max(page_number, doc_id) AS last_number, arg_min(text, doc_id) AS first_text FROM g GROUP BY g)"""
 
 _QUOTE = """['"«»]""".replace("'", "''")
@@ -162,7 +192,7 @@ picked AS (SELECT qid, CASE way WHEN 'all_empty' THEN 'None' WHEN 'numeric_max'
 
 _SAID = "substring(t, 1, 40)"
 _RUSSIAN = f"""
-q AS (SELECT doc_id AS qid, [{', '.join("'" + x + "'" for x in _STARTS)}][(doc_id % 6 + 1)::INT] || CASE WHEN doc_id % 4 = 0 THEN 'всего ' ELSE '' END || left(text, 40) || '?' AS question FROM documents),
+q AS (SELECT doc_id AS qid, [{', '.join("'" + x + "'" for x in _STARTS)}][(doc_id % 6 + 1)::INT] || CASE WHEN doc_id % 4 = 0 THEN 'всего ' ELSE '' END || text || '?' AS question FROM documents),
 n AS (SELECT *, {strip("lower(question)")} <> '' AND ({' OR '.join(f"starts_with(lower(question), '{x}')" for x in QUESTION_STEMS)}) AND NOT ({' OR '.join(f"contains(lower(question), '{x}')" for x in QUANTITY_MARKERS)}) AS needs FROM q)"""
 
 _KIND_OF = "['int', 'float', 'str', 'bool'][(event_id % 4 + 1)::INT]"
@@ -182,10 +212,10 @@ SQL: dict[str, str] = {
     "tfidf_vocabulary": f"WITH {_LEX} SELECT doc, term, round(idf, 6) AS idf FROM vocab",
     "tfidf_weights": f"WITH {_LEX} SELECT doc, chunk_id, count(*) AS n_terms, round(sum(weight), 5) AS total, round(max(weight), 6) AS largest FROM weights GROUP BY 1, 2",
     "tfidf_query_cosine": f"WITH {_LEX} SELECT qid, doc, count(*) AS n, round(sum(lex), 5) AS total, round(max(lex), 6) AS best FROM lex GROUP BY 1, 2",
-    "hybrid_score": f"WITH {_HITS} SELECT qid, r AS rank, doc, chunk_id, round(dense, 6) AS dense, round(lex, 6) AS lex, score FROM cut WHERE r <= 20",
+    "hybrid_score": f"WITH {_hits(20)} SELECT qid, r AS rank, doc, chunk_id, round(dense, 6) AS dense, round(lex, 6) AS lex, score FROM cut WHERE r <= 20",
     "rerank_blend": f"WITH {_HITS} SELECT qid, rank, doc, chunk_id, page, round(llm, 6) AS llm, round(final, 6) AS final FROM top",
     "unique_by_page": f"WITH {_HITS} SELECT qid, rank, doc, page FROM top QUALIFY row_number() OVER (PARTITION BY qid, doc, page ORDER BY rank) = 1",
-    "context_block": f"WITH {_HITS} SELECT qid, string_agg('[' || rank || '] ' || CASE WHEN length(text) > 300 THEN left(text, 300) || '…' ELSE text END, {NL} || {NL} || '---' || {NL} || {NL} ORDER BY rank) AS context FROM top WHERE rank <= 8 GROUP BY 1",
+    "context_block": f"WITH {_HITS} SELECT qid, string_agg('[' || rank || '] ' || CASE WHEN length(text) > 1800 THEN left(text, 1800) || '…' ELSE text END, {NL} || {NL} || '---' || {NL} || {NL} ORDER BY rank) AS context FROM top WHERE rank <= 8 GROUP BY 1",
     "support_literal": f"WITH {_HITS}, n AS (SELECT item_id AS qid, {tokens('text')}[-1] AS needle FROM benchmark) SELECT qid, coalesce(min(rank) FILTER (contains(text, needle)), 1) AS support FROM top JOIN n USING (qid) GROUP BY 1",
     "support_token_overlap": rf"""WITH {_HITS}, p AS (SELECT item_id AS qid, {sub(sub(f"lower({strip("split_part(text, '.', 1)")})", '\\A"+|"+\\z'), "\\A''+|''+\\z")} AS phrase FROM benchmark),
 w AS (SELECT qid, phrase, list_filter(regexp_split_to_array(phrase, '[^\p{{L}}\p{{N}}_]+'), lambda x: length(x) >= 2) AS words FROM p WHERE phrase <> ''),
@@ -217,18 +247,18 @@ SELECT name, reason, reason = 'cached up-to-date' AS ok FROM r""",
     "needs_augmentation": f"WITH {_RUSSIAN} SELECT qid, needs FROM n",
     "augment_questions": f"""WITH {_RUSSIAN}, r AS (SELECT *, {strip("CASE qid % 5 WHEN 0 THEN question || ' now' WHEN 1 THEN 'Quite a lot of words in front: ' || question ELSE ' New ' || question END")} AS new FROM n),
 o AS (SELECT qid, question, CASE WHEN NOT needs OR NOT ends_with(new, '?') OR length(new) > length(question) + 25 THEN question ELSE new END AS augmented FROM r)
-SELECT qid, augmented, augmented <> question AS changed FROM o""",
-    "company_mentions": """WITH n AS (SELECT unnest(['BUILDING', 'MACHINERY', 'FRANCE', 'GERMANY', 'NATION_1', 'NATION_10', 'AUTOMOBILE']) AS company),
+SELECT qid, md5(augmented) AS augmented_md5, augmented <> question AS changed FROM o""",
+    "company_mentions": """WITH n AS (SELECT n_name AS company FROM nation UNION SELECT r_name FROM region UNION SELECT c_mktsegment FROM customer),
 q AS (SELECT c_custkey AS qid, 'Revenue of ' || lower(n_name) || ' and ' || c_mktsegment || 's, or ' || c_mktsegment || '?' AS question FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT qid, company FROM q, n WHERE regexp_matches(question, '(?i)' || company || '([^A-Za-z0-9_]|$)')""",
     "heuristic_empty": f"WITH {_ANSWERS} SELECT event_id, empty FROM v",
     "vote_key": f"WITH {_ANSWERS} SELECT event_id, key_number AS number, key_text AS text FROM v",
     "numeric_parse": f"WITH {_ANSWERS} SELECT event_id, num AS number, kind IN ('int', 'float') AS is_number FROM v",
     "answer_vote": f"WITH {_ANSWERS} SELECT qid, answer, frequency FROM {votes('f')}",
-    "numeric_max": f"WITH {_ANSWERS} SELECT qid, arg_max(num, (num, -ord)) AS largest, arg_max(kind, (num, -ord)) AS kind FROM f WHERE ord % 9 <= 2 GROUP BY 1 HAVING bool_and(num IS NOT NULL)",
+    "numeric_max": f"WITH {_ANSWERS} SELECT qid, arg_max(num, (num, -ord)) AS largest, arg_max(kind, (num, -ord)) AS kind FROM f GROUP BY 1 HAVING bool_and(num IS NOT NULL)",
     "enumeration_split": f"WITH {_ANSWERS} SELECT event_id, {is_list('s')} AS is_list, array_to_string({items('s')}, '|') AS items FROM v WHERE kind = 'str'",
     "list_union": f"WITH {_ANSWERS} SELECT * FROM {unions('f')}",
-    "substring_collapse": f"WITH {_ANSWERS}, g AS (SELECT * FROM f WHERE ord % 9 >= 4) SELECT * FROM {collapses('g')}",
+    "substring_collapse": f"WITH {_ANSWERS} SELECT * FROM {collapses('f')}",
     "answer_select": f"WITH {_SELECT} SELECT qid, CASE WHEN kind <> 'float' THEN answer END AS answer, kind, reason, frequency, combination, unique_count FROM picked",
     "coerce_original_type": f"""WITH {_ANSWERS}, w AS (SELECT *, {_KIND_OF} AS want, lower({strip('s')}) AS word FROM v),
 c AS (SELECT *, CASE WHEN kind = 'null' THEN kind WHEN want = 'int' AND (kind IN ('int', 'float') OR num = floor(num)) THEN 'int' WHEN want = 'float' AND num IS NOT NULL THEN 'float' WHEN want = 'str' THEN 'str'
@@ -248,5 +278,6 @@ n AS (SELECT *, CASE WHEN original_type IS NULL OR picked_kind = 'null' THEN pic
 s AS (SELECT *, CASE WHEN coerced_type IN ('int', 'float') AND base_kind IN ('int', 'float') THEN CASE WHEN coerced_type = 'int' THEN round_even(num, 0) ELSE num END = base_num ELSE coerced_type || ':' || CASE WHEN coerced_type = 'null' THEN '' ELSE answer END = marker END AS same FROM n)
 SELECT s.qid, (SELECT count(*) FROM many WHERE many.qid = s.qid)::INT AS n_candidates, reason, combination, original_type, coerced_type FROM s WHERE NOT same""",
     "reply_parse": """SELECT event_id, CASE WHEN event_id % 3 < 2 THEN event_type END AS answer, CASE WHEN event_id % 3 = 0 AND event_id % 9 BETWEEN 1 AND 6 THEN event_id % 9 END AS support, event_id % 3 = 2 AS refusal FROM events""",
-    "dialogue_context": f"SELECT conv_id AS qid, string_agg('[' || (turn + 1) || '] ' || CASE WHEN length(text) > 120 THEN left(text, 120) || '…' ELSE coalesce(text, '') END, {NL} || {NL} || '---' || {NL} || {NL} ORDER BY turn) AS context FROM conversations WHERE turn < 8 GROUP BY 1",
+    "dialogue_context": f"SELECT conv_id AS qid, string_agg('[' || (turn + 1) || '] ' || CASE WHEN length(text) > 1800 THEN left(text, 1800) || '…' ELSE coalesce(text, '') END, {NL} || {NL} || '---' || {NL} || {NL} ORDER BY turn) AS context FROM conversations WHERE turn < 8 GROUP BY 1",
+    "question_answering": f"WITH {_ANSWERED} SELECT f.qid, answer, support::INT AS support, doc, page FROM final f LEFT JOIN top ON top.qid = f.qid AND top.rank = f.support",
 }

@@ -19,7 +19,7 @@ from quern.operators import chunk, index, merge, normalize, questions, retrieve
 from quern.operators import values as V
 from quern.plans import corpus
 from quern.plugins import overlap_score
-from quern.session import durable, ship
+from quern.session import durable, ship, small
 from quern.sources import parsed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,33 +153,30 @@ def _bag(spark, sf_dir):
     """Dense scores that SQL can give too: share of the question's words in the chunk, as the vector stand-in."""
     found, counts, vocab = _lexical(spark, sf_dir)
     q = asked(spark, sf_dir)
-    n = q.count()
-    words = q.select("qid", F.explode(F.array_distinct(T.tokens("question"))).alias("term"))
-    sizes = words.groupBy("qid").agg(F.count("*").alias("n"))
-    terms = counts.select("doc", "chunk_id", "term")
-    sized = F.broadcast if n <= retrieve.MAX_QUERIES else (lambda df: df)
-    shared = terms.join(sized(words), "term").groupBy("qid", "doc", "chunk_id").agg(F.count("*").alias("c"))
-    return found, counts, vocab, shared.join(sized(sizes), "qid").select("qid", "doc", "chunk_id", (F.col("c") / F.col("n")).alias("dense"))
+    words = F.array_distinct(T.tokens("question"))
+    words = durable(once(q, "words", words).select("qid", F.size("words").alias("n"), F.explode("words").alias("term")))
+    shared = counts.select("doc", "chunk_id", "term").join(small(words), "term").groupBy("qid", "doc", "chunk_id").agg((F.count("*") / F.first("n")).alias("dense"))
+    return found, counts, vocab, shared
 
 
-def _hybrid_hits(spark, sf_dir, per_doc=10):
+def _hybrid_hits(spark, sf_dir, per_doc):
     found, counts, vocab, scored = _bag(spark, sf_dir)
-    cand = scored.withColumn("_r", retrieve.rank_by(["qid", "doc"], F.desc("dense"), "chunk_id")).filter(F.col("_r") <= per_doc).drop("_r")
-    lex = index.cosine(index.tfidf(counts, vocab), index.query_weights(asked(spark, sf_dir), vocab))
+    cand = durable(scored.withColumn("_r", retrieve.rank_by(["qid", "doc"], F.desc("dense"), "chunk_id")).filter(F.col("_r") <= per_doc).drop("_r"))
+    lex = index.cosine(index.tfidf(counts, vocab), index.query_weights(asked(spark, sf_dir), vocab), cand)
     hits = retrieve.hybrid(cand, lex)
     return found, hits.withColumn("score", F.round("score", 9))
 
 
 @query
 def hybrid_score(spark, sf_dir):
-    _, hits = _hybrid_hits(spark, sf_dir)
+    _, hits = _hybrid_hits(spark, sf_dir, 20)
     return retrieve.top_k(hits, 20).select("qid", "rank", "doc", "chunk_id", F.round("dense", 6).alias("dense"), F.round("lex", 6).alias("lex"), "score")
 
 
 def _reranked(spark, sf_dir):
-    found, hits = _hybrid_hits(spark, sf_dir)
-    cut = retrieve.top_k(hits, 30).drop("rank")
-    full = cut.join(found.select("doc", "chunk_id", "page", "text"), ["doc", "chunk_id"])
+    found, hits = _hybrid_hits(spark, sf_dir, 30)
+    cut = durable(retrieve.top_k(hits, 30).drop("rank"))
+    full = found.select("doc", "chunk_id", "page", "text").join(small(cut), ["doc", "chunk_id"])
     cfg = Rerank(pre_k=30, dense=0.15, llm=0.85)
     return retrieve.rerank(full, F.least(F.lit(1.0), F.length("text") / 2000.0), cfg, 20)
 
@@ -197,7 +194,7 @@ def unique_by_page(spark, sf_dir):
 @query
 def context_block(spark, sf_dir):
     hits = _reranked(spark, sf_dir).select("qid", "rank", "text")
-    return A.context_block(hits, 8, 300)
+    return A.context_block(hits, 8)
 
 
 @query
@@ -229,7 +226,11 @@ def support_numeric_nearest(spark, sf_dir):
 def _v2(spark, sf_dir) -> DataFrame:
     """One V2 document for each group of 20 pages."""
     d = table(spark, sf_dir, "documents").withColumn("g", F.floor(F.col("doc_id") / 20))
-    page = F.struct(F.col("doc_id").cast("int").alias("page_id"), F.when(F.col("doc_id") % 5 == 0, 0).otherwise((F.col("doc_id") % 20 + 1).cast("int")).alias("page_number"), F.substring("text", 1, 200).alias("text"), F.lit(True).alias("ocr_used"), F.lit(None).cast("string").alias("sheet_title"), F.lit(None).cast("string").alias("section"))
+    number = F.when(F.col("doc_id") % 5 == 0, 0).otherwise((F.col("doc_id") % 20 + 1).cast("int"))
+    page = F.struct(
+        F.col("doc_id").cast("int").alias("page_id"), number.alias("page_number"), F.col("text"), F.lit(True).alias("ocr_used"), F.lit(None).cast("string").alias("sheet_title"),
+        F.lit(None).cast("string").alias("section"),
+    )
     return d.groupBy("g").agg(F.array_sort(F.collect_list(page)).alias("content")).select(
         F.concat(F.lit("report_"), F.col("g").cast("string"), F.lit(".v1.pdf")).alias("doc_name"), F.lit("/in").alias("source_path"), F.size("content").alias("num_pages"), F.lit("x").alias("backend"), F.lit(None).cast("string").alias("ocr_model"), "content"
     )
@@ -291,7 +292,7 @@ _STARTS = ("Сколько ", "Какова ", "Количество ", "Кто
 
 def _russian(spark, sf_dir) -> DataFrame:
     """Questions with the Russian stems in turn, over every benchmark item and document."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("qid"), F.substring("text", 1, 40).alias("body"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("qid"), F.col("text").alias("body"))
     start = F.element_at(F.array(*[F.lit(x) for x in _STARTS]), (F.pmod("qid", F.lit(6)) + 1).cast("int"))
     middle = F.when(F.col("qid") % 4 == 0, "всего ").otherwise("")
     return d.select("qid", F.concat(start, middle, "body", F.lit("?")).alias("question"))
@@ -306,14 +307,16 @@ def needs_augmentation(spark, sf_dir):
 def augment_questions(spark, sf_dir):
     q = _russian(spark, sf_dir)
     rewrite = F.when(F.col("qid") % 5 == 0, F.concat("question", F.lit(" now"))).when(F.col("qid") % 5 == 1, F.concat(F.lit("Quite a lot of words in front: "), "question")).otherwise(F.concat(F.lit(" New "), "question"))
-    return questions.augment(q, rewrite).select("qid", "augmented", "changed")
+    return questions.augment(q, rewrite).select("qid", F.md5("augmented").alias("augmented_md5"), "changed")
 
 
 @query
 def company_mentions(spark, sf_dir):
     q = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
     text = F.concat(F.lit("Revenue of "), F.lower("n_name"), F.lit(" and "), F.col("c_mktsegment"), F.lit("s, or "), F.col("c_mktsegment"), F.lit("?"))
-    return questions.company_mentions(q.select(F.col("c_custkey").alias("qid"), text.alias("question")), ["BUILDING", "MACHINERY", "FRANCE", "GERMANY", "NATION_1", "NATION_10", "AUTOMOBILE"])
+    names = table(spark, sf_dir, "nation").select("n_name").union(table(spark, sf_dir, "region").select("r_name")).union(table(spark, sf_dir, "customer").select("c_mktsegment").distinct())
+    companies = [r[0] for r in names.distinct().limit(parsed.MOST_COMPANIES).collect()]
+    return questions.company_mentions(q.select(F.col("c_custkey").alias("qid"), text.alias("question")), companies)
 
 
 # answers -------------------------------------------------------------------------------------
@@ -361,8 +364,7 @@ def answer_vote(spark, sf_dir):
 
 @query
 def numeric_max(spark, sf_dir):
-    numeric = _full(spark, sf_dir).filter(F.col("ord") % 9 <= 2)
-    return merge.numeric_max(numeric).select("qid", V.number_of(F.col("v")).alias("largest"), F.col("v.kind").alias("kind"))
+    return merge.numeric_max(_full(spark, sf_dir)).select("qid", V.number_of(F.col("v")).alias("largest"), F.col("v.kind").alias("kind"))
 
 
 @query
@@ -378,8 +380,7 @@ def list_union(spark, sf_dir):
 
 @query
 def substring_collapse(spark, sf_dir):
-    texts = _full(spark, sf_dir).filter(F.col("ord") % 9 >= 4)
-    return merge.substring_collapse(texts)
+    return merge.substring_collapse(_full(spark, sf_dir))
 
 
 @query
@@ -433,7 +434,7 @@ def reply_parse(spark, sf_dir):
 @query
 def dialogue_context(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("qid"), (F.col("turn") + 1).alias("rank"), "text")
-    return A.context_block(turns, 8, 120)
+    return A.context_block(turns, 8)
 
 
 # end to end ----------------------------------------------------------------------------------

@@ -10,6 +10,10 @@ from quern.operators import values as V
 from quern.operators.questions import checked
 
 
+#: Company names that a list holds at most.
+MOST_COMPANIES = 10_000
+
+
 def read_parsed(spark: SparkSession, path: str) -> DataFrame:
     """Documents of either form, one JSON object a file; broken files give null rows."""
     return spark.read.schema(schema.PARSED_ANY).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
@@ -40,7 +44,7 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     return checked(rows)
 
 
-def read_companies(spark: SparkSession, path: str, column: str = "company_name", most: int = 10_000) -> list[str]:
+def read_companies(spark: SparkSession, path: str, column: str = "company_name", most: int = MOST_COMPANIES) -> list[str]:
     """Company names of a CSV, ``most`` at most, as :func:`company_mentions` takes them."""
     rows = spark.read.option("header", True).csv(path)
     name = column if column in rows.columns else rows.columns[0]
