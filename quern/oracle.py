@@ -6,7 +6,7 @@ from quern.functions.text import BLANK, LINE_END, TOKEN
 from quern.operators.answers import NUMBER
 from quern.operators.questions import QUANTITY_MARKERS, QUESTION_STEMS
 from quern.operators.values import EMPTY, FALSE_WORDS, SIMPLE_NUMBER, TRUE_WORDS
-from quern.queries import _STARTS
+from quern.queries import _STARTS, BILINGUAL
 
 NL = "chr(10)"
 HARD, UNSEEN = r"[ \x{A0}]", r"[\p{Z}\p{C}]"
@@ -87,6 +87,17 @@ top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY ro
 
 _HITS = _hits(30)
 
+def _extracted(top: str) -> str:
+    """The first number of the first hit that has one, or the first hit's line with most words of the question."""
+    return f"""
+number AS (SELECT qid, min(rank) AS rank, try_cast(replace(regexp_extract(arg_min(text, rank), '{_NUMBER}'), ',', '.') AS DOUBLE) AS x FROM {top} WHERE regexp_matches(text, '[0-9]') GROUP BY 1),
+question AS (SELECT item_id AS qid, list_distinct({tokens('text')}) AS tokens FROM benchmark),
+lines AS (SELECT qid, tokens, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT qid, tokens, list_filter(list_transform(string_split(text, {NL}), lambda x: {strip('x')}), lambda x: x <> '') AS l FROM {top} JOIN question USING (qid) WHERE rank = 1)),
+best AS (SELECT qid, line FROM lines QUALIFY row_number() OVER (PARTITION BY qid ORDER BY len(list_intersect(tokens, {tokens('line')})) DESC, i) = 1),
+final AS (SELECT item_id AS qid, CASE WHEN item_id % 2 = 0 THEN coalesce(line, 'N/A') WHEN abs(x) < 9.2e18 THEN trunc(x)::BIGINT::VARCHAR ELSE 'None' END AS answer, CASE WHEN item_id % 2 = 0 THEN 1 ELSE number.rank END AS support
+  FROM benchmark LEFT JOIN number ON number.qid = item_id LEFT JOIN best ON best.qid = item_id)"""
+
+
 _NUMBER = "[-+]?[0-9]+(?:[.,][0-9]+)?"
 
 #: The end-to-end plan over the offline models: bucketed token counts as vectors, shared tokens as the
@@ -106,12 +117,7 @@ cut AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY qid ORDER BY
 asked AS (SELECT item_id AS qid, list_distinct({tokens('text')}) AS words FROM benchmark),
 judged AS (SELECT qid, doc, chunk_id, page, text, words, score, CASE WHEN len(words) = 0 THEN 0.0 ELSE len(list_intersect(words, {tokens('text')})) / len(words)::DOUBLE END AS llm FROM cut JOIN chunks USING (doc, chunk_id) JOIN asked USING (qid)),
 placed AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(0.15::DOUBLE * score + 0.85::DOUBLE * llm, 9) DESC, doc, chunk_id) AS rank FROM judged),
-top AS (SELECT * FROM placed WHERE rank <= 10),
-number AS (SELECT qid, arg_min(rank, rank) AS rank, try_cast(replace(regexp_extract(arg_min(text, rank), '{_NUMBER}'), ',', '.') AS DOUBLE) AS x FROM top WHERE regexp_matches(text, '[0-9]') GROUP BY 1),
-lines AS (SELECT qid, words, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT qid, words, list_filter(list_transform(string_split(text, {NL}), lambda x: {strip('x')}), lambda x: x <> '') AS l FROM top WHERE rank = 1)),
-best AS (SELECT qid, line FROM lines QUALIFY row_number() OVER (PARTITION BY qid ORDER BY len(list_intersect(words, {tokens('line')})) DESC, i) = 1),
-final AS (SELECT item_id AS qid, CASE WHEN item_id % 2 = 0 THEN coalesce(line, 'N/A') WHEN abs(x) < 9.2e18 THEN trunc(x)::BIGINT::VARCHAR ELSE 'None' END AS answer, CASE WHEN item_id % 2 = 0 THEN 1 ELSE number.rank END AS support
-  FROM benchmark LEFT JOIN number ON number.qid = item_id LEFT JOIN best ON best.qid = item_id)"""
+top AS (SELECT * FROM placed WHERE rank <= 10),{_extracted('top')}"""
 
 _VECTORS = """
 v AS (SELECT label AS doc, vec_id AS chunk_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
@@ -190,7 +196,11 @@ picked AS (SELECT qid, CASE way WHEN 'all_empty' THEN 'None' WHEN 'numeric_max'
   CASE WHEN way IN ('list_union', 'substring_collapse') THEN way END AS combination, CASE WHEN way = 'list_union' THEN unique_count END AS unique_count,
   CASE way WHEN 'numeric_max' THEN m_i WHEN 'frequency_vote' THEN v_i END AS i, CASE way WHEN 'numeric_max' THEN m_d WHEN 'frequency_vote' THEN v_d END AS d FROM best)"""
 
-_SAID = "substring(t, 1, 40)"
+#: What must come of each of the bilingual rewrites.
+_EXPANDED = (
+    "Какова прибыль ТОО Делойт (Deloitte) за %s?", "Who is John Smith (Джон Смит) in %s?", "Who is John Smith in %s?", "Сколько людей в Алматы за %s?",
+    "Что платят физические лица за %s?", "Где Народный банк (Halyk Bank) %s?", "Где Народный банк %s?", "Где Народный банк %s?",
+)
 _RUSSIAN = f"""
 q AS (SELECT doc_id AS qid, [{', '.join("'" + x + "'" for x in _STARTS)}][(doc_id % 6 + 1)::INT] || CASE WHEN doc_id % 4 = 0 THEN 'всего ' ELSE '' END || text || '?' AS question FROM documents),
 n AS (SELECT *, {strip("lower(question)")} <> '' AND ({' OR '.join(f"starts_with(lower(question), '{x}')" for x in QUESTION_STEMS)}) AND NOT ({' OR '.join(f"contains(lower(question), '{x}')" for x in QUANTITY_MARKERS)}) AS needs FROM q)"""
@@ -280,4 +290,13 @@ SELECT s.qid, (SELECT count(*) FROM many WHERE many.qid = s.qid)::INT AS n_candi
     "reply_parse": """SELECT event_id, CASE WHEN event_id % 3 < 2 THEN event_type END AS answer, CASE WHEN event_id % 3 = 0 AND event_id % 9 BETWEEN 1 AND 6 THEN event_id % 9 END AS support, event_id % 3 = 2 AS refusal FROM events""",
     "dialogue_context": f"SELECT conv_id AS qid, string_agg('[' || (turn + 1) || '] ' || CASE WHEN length(text) > 1800 THEN left(text, 1800) || '…' ELSE coalesce(text, '') END, {NL} || {NL} || '---' || {NL} || {NL} ORDER BY turn) AS context FROM conversations WHERE turn < 8 GROUP BY 1",
     "question_answering": f"WITH {_ANSWERED} SELECT f.qid, answer, support::INT AS support, doc, page FROM final f LEFT JOIN top ON top.qid = f.qid AND top.rank = f.support",
+    "ensemble_answer": f"""WITH {_HITS}, eight AS (SELECT * FROM top WHERE rank <= 8),{_extracted('eight')}
+SELECT qid, answer, 'text' AS chosen, coalesce(support, 1)::INT AS support, false AS image_used FROM final""",
+    "bilingual_expansion": f"SELECT c_custkey AS qid, replace({list(_EXPANDED)}[(c_custkey % {len(BILINGUAL)} + 1)::INT], '%s', c_custkey::VARCHAR) AS expanded FROM customer",
+    "fallback_reply": """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN event_type WHEN event_id % 3 > 0 THEN upper(event_type) WHEN event_id % 5 = 0 THEN 'last' END AS answer,
+CASE WHEN event_id % 4 = 0 OR event_id % 3 > 0 OR event_id % 5 = 0 THEN 3 END AS support FROM events""",
+    "judge_verdict": """SELECT event_id, CASE WHEN event_id % 7 > 0 THEN (event_id % 10)::VARCHAR END AS final_answer,
+CASE WHEN event_id % 7 = 0 THEN 'text' ELSE ['text', 'vision', 'synth', 'text'][(event_id % 4 + 1)::INT] END AS chosen, CASE WHEN event_id % 7 = 0 THEN '' ELSE event_type END AS reason FROM events""",
+    "html_tables": f"""SELECT c_custkey AS page_id, 0 AS number, CASE WHEN c_custkey % 3 = 0 THEN '| key | segment & name |' || {NL} || '| --- | --- |'
+ELSE '| 1 | 2 |' || {NL} || '| --- | --- |' || {NL} || '|  | x |' END || {NL} || '| ' || c_custkey || ' | ' || c_mktsegment || ' ' || c_name || ' |' AS markdown FROM customer""",
 }

@@ -15,12 +15,12 @@ from quern.config import AUTO, Chunking, Ocr, Rerank, Retriever
 from quern.functions import text as T
 from quern.functions.plan import once
 from quern.operators import answers as A
-from quern.operators import chunk, index, merge, normalize, questions, retrieve
+from quern.operators import chunk, ensemble, entities, index, merge, normalize, questions, retrieve
 from quern.operators import values as V
 from quern.plans import corpus
 from quern.plugins import overlap_score
 from quern.session import durable, ship, small
-from quern.sources import parsed
+from quern.sources import parsed, workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -280,9 +280,17 @@ def cache_decision(spark, sf_dir):
 
 @query
 def sheet_cells(spark, sf_dir):
-    from quern.sources.workbooks import cell_column
+    return table(spark, sf_dir, "documents").select("doc_id", workbooks.cell_column(F.col("text")).alias("cell"))
 
-    return table(spark, sf_dir, "documents").select("doc_id", cell_column(F.col("text")).alias("cell"))
+
+@query
+def html_tables(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    row = lambda *cells: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), x, F.lit("</td>")) for x in cells], F.lit("</tr>"))
+    key = F.col("c_custkey").cast("string")
+    head = F.when(F.col("c_custkey") % 3 == 0, F.lit("<tr><th>key<th>segment &amp; name</tr>")).otherwise(row(F.lit(""), F.lit("x")))
+    html = F.concat(F.lit("<p>before</p><table>"), head, row(key, F.concat(F.col("c_mktsegment"), F.lit(" <b>"), F.col("c_name"), F.lit("</b>"))), F.lit("</table>"))
+    return workbooks.html_tables(c.select(F.col("c_custkey").alias("page_id"), html.alias("html")))
 
 
 # questions -----------------------------------------------------------------------------------
@@ -319,6 +327,27 @@ def company_mentions(spark, sf_dir):
     return questions.company_mentions(q.select(F.col("c_custkey").alias("qid"), text.alias("question")), companies)
 
 
+#: Questions with the rewrites of a bilingual model; %s is the customer's key.
+BILINGUAL = (
+    ("Какова прибыль ТОО Делойт за %s?", "Какова прибыль ТОО Делойт (Deloitte LLP) за %s?"),
+    ("Who is John Smith in %s?", "Who is John Smith (Джон Смит) in %s?"),
+    ("Who is John Smith in %s?", "Who is John Smith (Jon Smit) in %s?"),
+    ("Сколько людей в Алматы за %s?", "Сколько людей в Алматы (Almaty) за %s?"),
+    ("Что платят физические лица за %s?", "Что платят физические лица (individuals) за %s?"),
+    ("Где Народный банк %s?", "'Где Народный банк (JSC Halyk Bank) %s?'"),
+    ("Где Народный банк %s?", "Где Народный банк (Halyk | Narodny) %s?"),
+    ("Где Народный банк %s?", ""),
+)
+
+
+@query
+def bilingual_expansion(spark, sf_dir):
+    key = F.col("c_custkey")
+    pick = lambda k: F.element_at(F.array(*[F.lit(x[k]) for x in BILINGUAL]), (F.pmod(key, F.lit(len(BILINGUAL))) + 1).cast("int"))
+    filled = lambda k: F.replace(pick(k), F.lit("%s"), key.cast("string"))
+    return table(spark, sf_dir, "customer").select(key.alias("qid"), entities.expanded(filled(0), filled(1)).alias("expanded"))
+
+
 # answers -------------------------------------------------------------------------------------
 
 
@@ -431,6 +460,32 @@ def reply_parse(spark, sf_dir):
     return parsed_.select("event_id", F.col("r.answer").alias("answer"), A.clamp_support(F.col("r.support"), F.lit(20), 6).alias("support"), "refusal")
 
 
+@query
+def fallback_reply(spark, sf_dir):
+    k = F.col("event_id") % 4
+    good = lambda x: F.concat(F.lit('{"answer": "'), x, F.lit('", "support": 3}'))
+    first = F.when(k == 0, good(F.col("event_type"))).when(k == 1, F.lit("I'm sorry, no.")).when(k == 2, F.lit("no object"))
+    second = F.when(F.col("event_id") % 3 == 0, F.lit("I cannot assist.")).otherwise(F.concat(F.lit("So: "), good(F.upper("event_type"))))
+    third = F.when(F.col("event_id") % 5 == 0, good(F.lit("last")))
+    found = once(table(spark, sf_dir, "events"), "r", ensemble.first_good_reply(first, second, third))
+    return found.select("event_id", F.col("r.answer").alias("answer"), F.col("r.support").alias("support"))
+
+
+@query
+def judge_verdict(spark, sf_dir):
+    chosen = F.element_at(F.array(*[F.lit(x) for x in ("text", "vision", "synth", "none")]), (F.pmod("event_id", F.lit(4)) + 1).cast("int"))
+    whole = F.concat(F.lit('{"chosen": "'), chosen, F.lit('", "final_answer": '), (F.col("event_id") % 10).cast("string"), F.lit(', "reason": "'), F.col("event_type"), F.lit('"}'))
+    found = once(table(spark, sf_dir, "events"), "r", ensemble.parse_verdict(F.when(F.col("event_id") % 7 == 0, F.lit("no object")).otherwise(whole)))
+    return found.select("event_id", F.col("r.final_answer").alias("final_answer"), F.col("r.chosen").alias("chosen"), F.col("r.reason").alias("reason"))
+
+
+@query
+def ensemble_answer(spark, sf_dir):
+    q = asked(spark, sf_dir).withColumn("answer_type", F.when(F.col("qid") % 2 == 0, "str").otherwise("int"))
+    found = ensemble.ensemble(durable(_reranked(spark, sf_dir).select("qid", "rank", "text")), q)
+    return found.select("qid", V.as_text(F.col("v")).alias("answer"), "chosen", "support", "image_used")
+
+
 @query
 def dialogue_context(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("qid"), (F.col("turn") + 1).alias("rank"), "text")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.plugins import PageParser
+from quern.config import Ocr
+from quern.plugins import PageParser, PageRenderer
 from quern.session import ship
 
-PAGES = "doc_name string, source_path string, num_pages int, backend string, page_number int, text string, error string"
+PAGES = "doc_name string, source_path string, num_pages int, backend string, page_number int, text string, ocr_used boolean, error string"
 
 
 def plain_text(path: str, content: bytes) -> list[dict]:
@@ -19,20 +20,41 @@ def plain_text(path: str, content: bytes) -> list[dict]:
     return [{"page_number": k, "text": x} for k, x in enumerate(content.decode("utf-8", "replace").split("\f"), 1)]
 
 
-def parse_files(spark: SparkSession, path: str, parser: PageParser = plain_text, glob: str = "*.pdf", backend: str = "parser", max_pages: int | None = None) -> DataFrame:
-    """A row for each page; a file that the parser can't read gives one row with its error."""
+def read_again(content: bytes, page: dict, render: PageRenderer, ocr: Callable[[bytes], str], cfg: Ocr) -> tuple[str, bool]:
+    """(text, whether it is the OCR's) of a page with little text: the OCR's if there is any and it is no shorter."""
+    size = lambda x: len(" ".join((x or "").split()))
+    if size(page["text"]) >= cfg.min_chars:
+        return page["text"], False
+    found = ocr(render(content, page["page_number"], cfg.dpi))
+    return (found, True) if size(found) and size(found) >= size(page["text"]) else (page["text"] or "", False)
+
+
+def parse_files(
+    spark: SparkSession, path: str, parser: PageParser = plain_text, glob: str = "*.pdf", backend: str = "parser", max_pages: int | None = None,
+    render: PageRenderer | None = None, ocr: Callable[[bytes], str] | None = None, cfg: Ocr = Ocr(),
+) -> DataFrame:
+    """A row for each page; a file that the parser can't read gives one row with its error.
+
+    With a renderer and an OCR engine, pages with little text are read again from their image."""
     files = ship(spark).read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "content")
+    most = max_pages if max_pages is not None else cfg.max_pages
+
+    def page_row(content: bytes, page: dict) -> tuple[int, str, bool | None]:
+        if render is None or ocr is None:
+            return page["page_number"], page["text"], None
+        return page["page_number"], *read_again(content, page, render, ocr, cfg)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"]):
                 name = p.rsplit("/", 1)[-1]
                 try:
-                    pages = parser(p, content)[:max_pages]
-                    rows = [(name, p, len(pages), backend, x["page_number"], x["text"], None) for x in pages]
+                    pages = [page_row(content, x) for x in parser(p, content)[:most]]
+                    rows = [(name, p, len(pages), backend, *x, None) for x in pages]
                 except Exception as e:  # noqa: BLE001 - one bad file must not end the scan
-                    rows = [(name, p, 0, backend, None, None, f"{type(e).__name__}: {e}")]
-                yield pd.DataFrame(rows, columns=["doc_name", "source_path", "num_pages", "backend", "page_number", "text", "error"]).astype({"page_number": "Int64"})
+                    rows = [(name, p, 0, backend, None, None, None, f"{type(e).__name__}: {e}")]
+                columns = [x.split()[0] for x in PAGES.split(", ")]
+                yield pd.DataFrame(rows, columns=columns).astype({"page_number": "Int64", "ocr_used": "boolean"})
 
     return files.mapInPandas(run, PAGES)
 
@@ -40,7 +62,8 @@ def parse_files(spark: SparkSession, path: str, parser: PageParser = plain_text,
 def as_v2(pages: DataFrame) -> DataFrame:
     """Page rows as V2 documents; a broken document keeps its error and has no content."""
     titles = F.col("sheet_title") if "sheet_title" in pages.columns else F.lit(None).cast("string")
-    page = F.struct(F.col("page_number").alias("page_id"), F.col("page_number").alias("page_number"), F.col("text"), F.lit(None).cast("boolean").alias("ocr_used"), titles.alias("sheet_title"), F.lit(None).cast("string").alias("section"))
+    used = F.col("ocr_used") if "ocr_used" in pages.columns else F.lit(None).cast("boolean")
+    page = F.struct(F.col("page_number").alias("page_id"), F.col("page_number").alias("page_number"), F.col("text"), used.alias("ocr_used"), titles.alias("sheet_title"), F.lit(None).cast("string").alias("section"))
     return pages.groupBy("doc_name", "source_path").agg(
         F.max("num_pages").alias("num_pages"), F.first("backend").alias("backend"), F.lit(None).cast("string").alias("ocr_model"),
         F.array_sort(F.collect_list(F.when(F.col("page_number").isNotNull(), page))).alias("content"), F.max("error").alias("error"), F.lit(False).alias("interrupted"),

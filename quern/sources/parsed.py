@@ -7,21 +7,27 @@ from pyspark.sql import functions as F
 
 from quern import schema
 from quern.operators import values as V
-from quern.operators.questions import checked
+from quern.operators.questions import REQUIRED, checked
+from quern.sources.workbooks import read_table
 
 
 #: Company names that a list holds at most.
 MOST_COMPANIES = 10_000
 
 
-def read_parsed(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of either form, one JSON object a file; broken files give null rows."""
-    return spark.read.schema(schema.PARSED_ANY).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+def read_parsed(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Documents of either form, one JSON object a file, or one a line as :func:`write_parsed` writes
+    them; broken ones give null rows."""
+    return spark.read.schema(schema.PARSED_ANY).option("multiLine", not lines).option("mode", "PERMISSIVE").json(path)
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """(qid, relevant_chunks, v) of a JSON array of answer records."""
-    rows = spark.read.schema(schema.ANSWER).option("multiLine", True).json(path)
+    """(qid, relevant_chunks, v) of a file with a JSON array of answer records, or of a folder
+    with one a line as :func:`write_answers` writes them."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    folder = len(found) == 1 and found[0].isDirectory()
+    rows = spark.read.schema(schema.ANSWER).option("multiLine", not folder).json(path)
     return rows.select(F.col("question_id").alias("qid"), "relevant_chunks", V.from_variant("answer").alias("v"))
 
 
@@ -39,7 +45,12 @@ def read_runs(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_questions(spark: SparkSession, path: str) -> DataFrame:
-    """Questions from CSV (by suffix) or JSON, header names in any case."""
+    """Questions from CSV or a workbook (by suffix) or JSON, header names in any case."""
+    if path.lower().endswith(".xlsx"):
+        cells = read_table(spark, path)
+        first = cells.limit(1).collect()
+        titles = list(first[0].cells) if first else list(REQUIRED)
+        return checked(cells.select(*[F.col("cells")[t].alias(t) for t in titles]))
     rows = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.option("multiLine", True).json(path)
     return checked(rows)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators import values as V
@@ -17,6 +17,28 @@ def write_index(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("doc").parquet(path)
 
 
+#: Tables of an index.
+INDEX = ("chunks", "vectors", "vocabulary", "weights", "info")
+
+
+def save_index(tables: dict[str, DataFrame], path: str) -> None:
+    """All tables of an index under one folder."""
+    for name in INDEX:
+        write_index(tables[name], f"{path}/{name}")
+
+
+def load_index(spark: SparkSession, path: str, docs: list[str] | None = None, keep: bool = False) -> dict[str, DataFrame]:
+    """The tables of an index, or only those of some documents, whose folders alone are read. ``keep``
+    caches them in the executors, for many questions one after the other."""
+    out = {}
+    for name in INDEX:
+        df = spark.read.parquet(f"{path}/{name}")
+        df = df.withColumn("doc", F.col("doc").cast("string"))
+        out[name] = df if docs is None else df.filter(F.col("doc").isin(docs))
+        out[name] = out[name].cache() if keep else out[name]
+    return out
+
+
 def answer_json(v: Column) -> Column:
     return V.to_variant(v)
 
