@@ -58,9 +58,9 @@ def split_pages(pages: DataFrame, cfg: Chunking, rules: CleanRules = CleanRules(
 def distinct_spans(found: Column) -> Column:
     """Of a page's chunks that begin alike (256 characters, outer blanks aside) the first, in the page's
     order; blank chunks go. Sorted twice inside the row, so no text is shuffled."""
-    keyed = F.array_sort(F.transform(found, lambda x: F.struct(F.substring(strip(x["text"]), 1, 256).alias("key"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"))))
+    keyed = F.sort_array(F.transform(found, lambda x: F.struct(F.substring(strip(x["text"]), 1, 256).alias("key"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"))))
     new = lambda s: F.filter(s, lambda x, i: (x["key"] != "") & ((i == 0) | (x["key"] != F.coalesce(F.get(s, i - 1)["key"], F.lit("")))))
-    plain = lambda s: F.array_sort(F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"))))
+    plain = lambda s: F.sort_array(F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"))))
     return let(keyed, lambda s: plain(new(s)))
 
 
