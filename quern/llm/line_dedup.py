@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.tables import SMALL_ROWS, durable
+from quern.llm.tables import durable, small
 
 #: A line on more than this share of its host's pages is boilerplate ...
 RATIO = 0.1
@@ -23,7 +23,11 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, line, pages): hash of each boilerplate line and the number of pages that hold it."""
+    """(host, line, pages): hash of each boilerplate line and the number of pages that hold it.
+
+    Null texts are pages without lines; pages with a null host form one host; repeated rows are pages of
+    their own; an empty table has no boilerplate. Lines are told apart by 64 bits of their hash. A
+    ``min_pages`` of 1 leaves the ratio alone to decide, also for hosts of few pages."""
     pages = docs.select(host.alias("host"), F.col(text_col).alias("text"))
     totals = pages.groupBy("host").agg(F.count("*").alias("total"))
     each = pages.select("host", F.explode(F.array_distinct(F.transform(_lines("text"), lambda x: F.trim(x)))).alias("line")).filter(F.col("line") != "")
@@ -42,10 +46,8 @@ def clean(docs: DataFrame, host: Column, text_col: str = "text", ratio: float =
     their order; one that is named ``line_dedup`` is replaced."""
     # the row travels in a struct, so that its columns' names can't clash with those used here
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), host.alias("host"), F.col(text_col).alias("text"))
-    found = durable(boilerplate(packed, F.col("host"), "text", ratio, min_pages))
-    lists = found.groupBy(F.col("host").alias("of")).agg(F.collect_set("line").alias("bad"))
-    if found.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        lists = F.broadcast(lists)
+    found = boilerplate(packed, F.col("host"), "text", ratio, min_pages)
+    lists = small(durable(found.groupBy(F.col("host").alias("of")).agg(F.collect_set("line").alias("bad"))))
     lines = _lines(F.col("text"))
     keep = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains("bad", F.xxhash64(F.trim(x))))
     joined = packed.join(lists, F.col("host").eqNullSafe(F.col("of")), "left").withColumn("kept", F.when(F.col("bad").isNull(), lines).otherwise(keep))

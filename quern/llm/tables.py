@@ -6,26 +6,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quern.session import durable, shared_folder, ship  # noqa: F401 - used by the operators
+from quern.session import durable, shared_folder, ship, small  # noqa: F401 - used by the operators
 
 #: Bytes of text that one vectorised step holds at most, unless one row alone is longer.
 PIECE_BYTES = 1 << 19
-#: Rows of a few fixed-size columns that may be sent to every executor (about 30 MB).
-SMALL_ROWS = 500_000
+#: Rows that one vectorised step holds at most.
+PIECE_ROWS = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """``df``, marked for broadcast only if it has at most ``rows`` rows; counts them, so
-    ``df`` should be durable. A larger one is joined by a shuffle, whose large keys Spark splits."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; null counts as the empty text."""
     if isinstance(array, pa.ChunkedArray):
@@ -39,13 +32,13 @@ def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES):
-    """``batch`` cut into runs of rows whose texts have about ``limit`` bytes together."""
+def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES, rows: int = PIECE_ROWS):
+    """``batch`` cut into runs of at most ``rows`` rows whose texts have about ``limit`` bytes together."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(size.astype(np.int64) + 64)
     at = 0
     while at < batch.num_rows:
         done = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+        end = min(at + rows, max(at + 1, int(np.searchsorted(ends, done + limit, "right"))))
         yield batch.slice(at, end - at)
         at = end
