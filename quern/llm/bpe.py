@@ -5,7 +5,8 @@ the prefix's own BPE encoding. The table of these tokens is filled from left to
 right; a token that ends at byte i is the valid one if it is the whole prefix or
 if it may follow the last token of the prefix before it. Reading the table
 backwards gives the encoding. Appending bytes only appends entries, and after an
-edit the entries before it stay as they are (:class:`PrefixTable`)."""
+edit the entries before it stay as they are (:class:`PrefixTable`). The tables of many short
+pieces are filled side by side (:class:`Lattice`)."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,49 @@ from quern.llm.tables import pieces
 CACHE_PIECES = 250_000
 #: Token pairs whose verdict one Python worker remembers at most.
 CACHE_PAIRS = 300_000
+#: Pieces of at most so many bytes are encoded side by side; longer ones each by a table of its own.
+SHORT = 64
+
+
+class IntTable:
+    """Non-negative 64-bit keys to 32-bit numbers, by open addressing; looked up for whole arrays."""
+
+    def __init__(self, size: int):
+        self.bits = max(8, (4 * size - 1).bit_length())
+        self.mask = (1 << self.bits) - 1
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        self.used = 0
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def put(self, key: np.ndarray, value: np.ndarray) -> None:
+        """Adds distinct keys that are not in the table yet."""
+        self.used += len(key)
+        slot = self._slot(key)
+        while len(key):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = key[free]
+            mine = self.keys[slot] == key
+            self.values[slot[mine]] = value[mine]
+            key, value, slot = key[~mine], value[~mine], (slot[~mine] + 1) & self.mask
+
+    def get(self, key: np.ndarray) -> np.ndarray:
+        """The numbers of the keys, -1 for unknown ones."""
+        slot = self._slot(key)
+        held = self.keys[slot]
+        out = self.values[slot]
+        other = np.flatnonzero(held != key)
+        out[other] = -1
+        other = other[held[other] >= 0]
+        while len(other):
+            slot_other = slot[other] = (slot[other] + 1) & self.mask
+            held = self.keys[slot_other]
+            same = held == key[other]
+            out[other[same]] = self.values[slot_other[same]]
+            other = other[(held >= 0) & ~same]
+        return out
 
 
 class Vocabulary:
@@ -134,30 +179,127 @@ class PrefixTable:
         return out[::-1]
 
 
+class Lattice:
+    """The prefix tables of many pieces at once: step ``at`` finds, in a trie of the tokens, all that
+    begin at byte ``at`` of any piece, and enters each where it ends if it may follow the last token
+    of the prefix before it. That token is known by then, as it began earlier."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        arcs: dict[int, int] = {}
+        token = [-1]
+        for text, r in vocabulary.usable.items():
+            node = 0
+            for byte in text:
+                node = arcs.setdefault(node << 8 | byte, len(token))
+                if node == len(token):
+                    token.append(-1)
+            token[node] = r
+        self.token = np.array(token, np.int32)
+        self.arcs = IntTable(len(arcs))
+        self.arcs.put(np.fromiter(arcs.keys(), np.int64, len(arcs)), np.fromiter(arcs.values(), np.int32, len(arcs)))
+        self.size = np.zeros(max(vocabulary.bytes) + 1, np.int64)
+        for r, text in vocabulary.bytes.items():
+            self.size[r] = len(text)
+        self.pairs = IntTable(CACHE_PAIRS)
+
+    def may_follow(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) << 32 | right
+        known = self.pairs.get(key)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            keys, at = np.unique(key[new], return_inverse=True)
+            seam = self.vocabulary._seam
+            verdict = np.array([seam(k >> 32, k & 0xFFFFFFFF) for k in keys.tolist()], np.int32)
+            if self.pairs.used + len(keys) > CACHE_PAIRS:
+                self.pairs = IntTable(CACHE_PAIRS)
+            self.pairs.put(keys[:CACHE_PAIRS], verdict[:CACHE_PAIRS])
+            known[new] = verdict[at]
+        return known > 0
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as little-endian unsigned 32-bit integers."""
+        length = np.array([len(x) for x in pieces], np.int64)
+        order = np.argsort(-length, kind="stable")
+        n = length[order]
+        data = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        first = (np.cumsum(length) - length)[order]
+        base = np.cumsum(n + 1) - n - 1  # where a piece's table begins; entry k is for its first k bytes
+        last = np.full(int((n + 1).sum()), -1, np.int32)
+        for at in range(int(n[0]) if len(n) else 0):
+            piece = np.arange(np.searchsorted(-n, -at, "left"))  # those of more than ``at`` bytes
+            before = last[base[piece] + at]
+            if at and (before < 0).any():
+                raise ValueError(f"no token ends at byte {at} of {pieces[order[np.argmin(before)]]!r}")
+            node, end = np.zeros(len(piece), np.int64), at
+            while len(piece):
+                node = self.arcs.get(node << 8 | data[first[piece] + end])
+                some = np.flatnonzero(node >= 0)
+                piece, node = piece[some], node[some].astype(np.int64)
+                end += 1
+                token, place = self.token[node], base[piece] + end
+                hit = np.flatnonzero((token >= 0) & (last[place] < 0))
+                if at and len(hit):
+                    hit = hit[self.may_follow(before[piece[hit]], token[hit])]
+                last[place[hit]] = token[hit]
+                longer = np.flatnonzero(n[piece] > end)
+                piece, node = piece[longer], node[longer]
+        return self._read(last, base, n, order)
+
+    def _read(self, last: np.ndarray, base: np.ndarray, n: np.ndarray, order: np.ndarray) -> list[bytes]:
+        found, owner, piece, end = [], [], np.flatnonzero(n > 0), n[n > 0]
+        while len(piece):
+            token = last[base[piece] + end]
+            if (token < 0).any():
+                raise ValueError("a piece has no encoding")
+            found.append(token)
+            owner.append(piece)
+            end = end - self.size[token]
+            piece, end = piece[end > 0], end[end > 0]
+        if not found:
+            return [b""] * len(n)
+        owner = order[np.concatenate(owner[::-1])]
+        turn = np.argsort(owner, kind="stable")  # tokens were read from the last to the first
+        ids = np.concatenate(found[::-1])[turn].astype("<u4").tobytes()
+        cut = (4 * np.searchsorted(owner[turn], np.arange(len(n) + 1))).tolist()
+        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
+
 class Codec:
-    """Texts to token ids and back. A piece that is itself in the ranks is one token."""
+    """Texts to token ids and back. A piece that is itself in the ranks is one token.
+
+    The empty text has no ids. Encodings of pieces are remembered, CACHE_PIECES at most; what is forgotten is
+    worked out again, so the bound changes the time and never the result."""
 
     def __init__(self, rank_file: bytes, pattern: str):
         self.vocabulary = Vocabulary(rank_file)
+        self.lattice = Lattice(self.vocabulary)
         self.find = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
     def learn(self, found: set[str]) -> None:
-        """Encodings of new pieces, in byte order: the table of one piece is cut back to
-        what the next piece shares with it and then appended to."""
-        table, rank = PrefixTable(self.vocabulary), self.vocabulary.rank
-        for raw, piece in sorted((x.encode(), x) for x in found):
+        """Encodings of new pieces. Long ones are taken in byte order: the table of one piece is cut
+        back to what the next piece shares with it and then appended to."""
+        rank, known = self.vocabulary.rank, self.known
+        short, long = [], []
+        for piece in found:
+            raw = piece.encode()
             whole = rank.get(raw)
             if whole is not None:
-                self.known[piece] = struct.pack("<I", whole)
-                continue
+                known[piece] = struct.pack("<I", whole)
+            else:
+                (short if len(raw) <= SHORT else long).append((raw, piece))
+        for (_, piece), ids in zip(short, self.lattice.encode([raw for raw, _ in short])):
+            known[piece] = ids
+        table = PrefixTable(self.vocabulary)
+        for raw, piece in sorted(long):
             same = 0
             for x, y in zip(raw, table.data):
                 if x != y:
                     break
                 same += 1
             ids = table.replace(same, len(table.data), raw[same:]).tokens()
-            self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            known[piece] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
