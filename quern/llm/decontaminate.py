@@ -2,10 +2,15 @@
 
 From every run of ``WINDOW - GRAM + 1`` successive word k-grams the smallest hash is
 kept as a fingerprint. A shared span of WINDOW words holds one whole such run, so it
-leaves the same fingerprint in the document and in the item: none is missed. Fingerprints
-that meet are extended word by word to the left and right; where WINDOW words agree,
-the document's words are hit. Items of fewer words are one window and are looked up
-by their own length."""
+leaves the same fingerprint in the document and in the item: none is missed. A document's
+fingerprint that the benchmark may have is extended to the windows of WINDOW words around it,
+each window is a key, and the keys are joined with those of the items: where they are equal,
+the document's words are hit. Items of fewer words are one window and are looked up by their own length.
+
+The documents are read once, whatever the benchmark's size. Which fingerprints and windows the
+benchmark may have is told by two bit maps of bounded size; a larger benchmark makes them fuller, so that
+more windows go into the join, which alone decides. A window that a document repeats is one
+key with its places, so repeated words cost no more than others."""
 
 from __future__ import annotations
 
@@ -16,16 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.tables import durable, pieces, text_bytes
-from quern.llm.words import U64, grams, hashes
+from quern.llm.tables import durable, pieces, small, text_bytes
+from quern.llm.words import U64, grams, hashes, mix, multipliers
 
 #: Words of a window, and of a k-gram that is fingerprinted.
 WINDOW, GRAM = 13, 8
-#: Bytes of item text that one pass over the documents holds in each task; a larger
-#: benchmark is dealt into blocks, one pass each.
-BLOCK_BYTES = 16 << 20
-
-_NONE = U64(0xFFFFFFFFFFFFFFFF)
+#: Bytes of a bit map at most, and bits of it for each key while it is smaller.
+MAP_BYTES, BITS_A_KEY = 32 << 20, 32
 
 
 def _slide(x: np.ndarray, n: int, f) -> np.ndarray:
@@ -52,138 +54,133 @@ def winnow(word: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return kept, gram[kept]
 
 
-class Items:
-    """Word hashes, fingerprints and short windows of a block of benchmark items."""
-
-    def __init__(self, ids: list[str | None], texts: pa.Array):
-        self.ids = np.array(ids, object)
-        data, offsets = text_bytes(texts)
-        self.word, bounds = hashes(data, offsets)
-        count = np.diff(bounds)
-        self.item = np.repeat(np.arange(len(count)), count)
-        at, found = winnow(self.word, bounds)
-        order = np.argsort(found, kind="stable")
-        self.print, self.print_at = found[order], at[order]
-        self.short = {}
-        for n in np.unique(count[(count > 0) & (count < WINDOW)]):
-            rows = np.flatnonzero(count == n)
-            whole = grams(self.word, int(n))[bounds[:-1][rows]]
-            order = np.argsort(whole, kind="stable")
-            self.short[int(n)] = whole[order], rows[order]
-
-    @staticmethod
-    def _meet(sorted_keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All (i, j) with key[i] == sorted_keys[j]."""
-        lo = np.searchsorted(sorted_keys, key, "left")
-        some = np.flatnonzero((lo < len(sorted_keys)) & (sorted_keys[np.minimum(lo, len(sorted_keys) - 1)] == key)) if len(sorted_keys) else np.zeros(0, np.int64)
-        n = np.searchsorted(sorted_keys, key[some], "right") - lo[some]
-        i = np.repeat(some, n)
-        return i, np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[some], n)
-
-    def hits(self, word: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, first word, end word, item) of every hit span; words count from each row's first."""
-        row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        spans = []
-        at, found = winnow(word, bounds)
-        i, j = self._meet(self.print, found)
-        p, q = at[i], self.print_at[j]
-        if len(p):
-            reach = WINDOW - GRAM
-
-            def agree(step: int, side: int) -> np.ndarray:
-                a, b = p + step, q + step
-                ok = (a >= 0) & (b >= 0) & (a < len(word)) & (b < len(self.word))
-                a, b = np.where(ok, a, p), np.where(ok, b, q)
-                return ok & (row[a] == row[p]) & (self.item[b] == self.item[q]) & (word[a] == self.word[b])
-
-            same = np.ones(len(p), bool)
-            for step in range(GRAM):
-                same &= agree(step, 0)
-            left, right, going = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64), same.copy()
-            for step in range(1, reach + 1):
-                going &= agree(-step, -1)
-                left += going
-            going = same.copy()
-            for step in range(1, reach + 1):
-                going &= agree(GRAM - 1 + step, 1)
-                right += going
-            whole = np.flatnonzero(same & (left + right >= reach))
-            spans.append((p[whole] - left[whole], p[whole] + GRAM + right[whole], self.item[q[whole]]))
-        for n, (keys, rows) in self.short.items():
-            if len(word) >= n:
-                i, j = self._meet(keys, grams(word, n))
-                inside = row[i] == row[i + n - 1]
-                spans.append((i[inside], i[inside] + n, rows[j[inside]]))
-        start, end, item = (np.concatenate(x) for x in zip(*spans)) if spans else (np.zeros(0, np.int64),) * 3
-        of = row[start] if len(start) else np.zeros(0, np.int64)
-        return of, start - bounds[of], end - bounds[of], item
-
-
-def _merge(start: np.ndarray, end: np.ndarray) -> tuple[list[int], list[int]]:
-    order = np.argsort(start, kind="stable")
-    start, end = start[order], np.maximum.accumulate(end[order])
-    first = np.concatenate([[True], start[1:] > end[:-1]])
-    return start[first].tolist(), end[np.concatenate([first[1:], [True]])].tolist()
-
-
-def _scan(items: Items, with_before: bool):
+def _window(word: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the ``n`` words from each place; keys of different lengths differ."""
+    m = multipliers(n)
+    out = np.full(len(at), U64(n))
+    for j in range(n):
+        out += word[at + j] * m[j]
+    return mix(out)
+
+
+class Bits:
+    """A set of 64-bit keys with false members but none missing."""
+
+    def __init__(self, keys: DataFrame, column: str, most: int):
+        n = keys.count()
+        self.size = max(64, min(8 * most, 1 << (BITS_A_KEY * n).bit_length()))
+        place = F.pmod(F.col(column), F.lit(self.size)) + 1
+        rows = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+        self.bits = np.zeros(-(-self.size // 32768) * 4096, np.uint8)
+        for r in rows:
+            self.bits[(r.bucket - 1) * 4096 : r.bucket * 4096] = np.frombuffer(r.bits, np.uint8)
+
+    def may_hold(self, key: np.ndarray) -> np.ndarray:
+        place = key.view(np.int64) % self.size
+        return (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
+def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, n, window, print): an item's windows; of its fingerprints one in each such row while there are any."""
+    for batch in batches:
+        for part in pieces(batch, "text"):
+            word, bounds = hashes(*text_bytes(part.column("text")))
+            count = np.diff(bounds)
+            full = np.flatnonzero(np.repeat(bounds[1:], count) - np.arange(len(word)) >= WINDOW)
+            keys, rows, sizes = [_window(word, full, WINDOW)], [np.searchsorted(bounds, full, "right") - 1], [np.full(len(full), WINDOW)]
+            for n in np.unique(count[(count > 0) & (count < WINDOW)]).tolist():
+                mine = np.flatnonzero(count == n)
+                keys.append(_window(word, bounds[:-1][mine], n))
+                rows.append(mine)
+                sizes.append(np.full(len(mine), n))
+            found = np.unique(winnow(word, bounds)[1])  # each is the least of a window, so there are no more than windows
+            fill = np.zeros(sum(map(len, rows)), np.int64)
+            fill[: len(found)] = found.view(np.int64)
+            item = part.column("id").take(pa.array(np.concatenate(rows)))
+            columns = [item, pa.array(np.concatenate(sizes), pa.int32()), pa.array(np.concatenate(keys).view(np.int64)), pa.array(fill, mask=np.arange(len(fill)) >= len(found))]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "n", "window", "print"])
+
+
+def _candidates(prints: Bits, windows: Bits, short: list[int]):
+    """(id, n_words, found) of each document; ``found`` lists windows that an item may have, with their places."""
+    kind = pa.list_(pa.struct([("window", pa.int64()), ("n", pa.int32()), ("places", pa.list_(pa.int32()))]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                data, offsets = text_bytes(part.column("text"))
-                word, bounds = hashes(data, offsets)
-                of, start, end, item = items.hits(word, bounds)
-                n = part.num_rows
-                starts, ends, found = [[]] * n, [[]] * n, [[]] * n
-                order = np.argsort(of, kind="stable")
-                cuts = np.flatnonzero(np.diff(of[order])) + 1
-                for rows in np.split(order, cuts) if len(order) else ():
-                    r = int(of[rows[0]])
-                    starts[r], ends[r] = _merge(start[rows], end[rows])
-                    found[r] = sorted({x for x in items.ids[np.unique(item[rows])] if x is not None})
-                if with_before:
-                    b_start, b_end, b_item = (part.column(x).to_pylist() for x in ("starts", "ends", "item_ids"))
-                    for r in range(n):
-                        if b_start[r] and starts[r]:
-                            starts[r], ends[r] = _merge(np.array(b_start[r] + starts[r]), np.array(b_end[r] + ends[r]))
-                        elif b_start[r]:
-                            starts[r], ends[r] = b_start[r], b_end[r]
-                        found[r] = sorted({*found[r], *b_item[r]})
-                new = {"n_words": pa.array(np.diff(bounds), pa.int64()), "starts": pa.array(starts, pa.list_(pa.int64())), "ends": pa.array(ends, pa.list_(pa.int64())), "item_ids": pa.array(found, pa.list_(pa.string()))}
-                kept = {x: part.column(x) for x in part.schema.names if x not in new}
-                yield pa.RecordBatch.from_arrays([*kept.values(), *new.values()], [*kept, *new])
+                word, bounds = hashes(*text_bytes(part.column("text")))
+                count = np.diff(bounds)
+                left = np.repeat(bounds[1:], count) - np.arange(len(word))
+                at, found = winnow(word, bounds)
+                at = at[prints.may_hold(found)]
+                first = np.repeat(bounds[:-1], count)
+                near = np.unique((at[:, None] - np.arange(WINDOW - GRAM + 1)).ravel())
+                near = near[near >= 0]
+                starts, keys, sizes = [near[(left[near] >= WINDOW)]], [], []
+                keys.append(_window(word, starts[0], WINDOW))
+                sizes.append(np.full(len(keys[0]), WINDOW))
+                for n in short:
+                    starts.append(np.flatnonzero(left >= n))
+                    keys.append(_window(word, starts[-1], n))
+                    sizes.append(np.full(len(starts[-1]), n))
+                start, key, n = (np.concatenate(x) for x in (starts, keys, sizes))
+                held = np.flatnonzero(windows.may_hold(key))
+                start, key, n = start[held], key[held].view(np.int64), n[held]
+                row = np.searchsorted(bounds, start, "right") - 1
+                order = np.lexsort((start, key, n, row))
+                start, key, n, row = start[order], key[order], n[order], row[order]
+                new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (n[1:] != n[:-1])])) if len(row) else np.zeros(0, np.int64)
+                places = pa.ListArray.from_arrays(pa.array(np.append(new, len(row)), pa.int32()), pa.array((start - first[start]).astype(np.int32)))
+                each = pa.StructArray.from_arrays([pa.array(key[new]), pa.array(n[new].astype(np.int32)), places], ["window", "n", "places"])
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[new], np.arange(part.num_rows + 1)), pa.int32()), each)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(count, pa.int64()), lists.cast(kind)], ["id", "n_words", "found"])
 
     return run
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_text: bool = False) -> DataFrame:
-    """(id, [text,] n_words, starts, ends, item_ids) of each document row.
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, starts, ends): the merged spans of each row's windows."""
+    for batch in batches:
+        out = [], []
+        for windows in batch.column("windows").to_pylist():
+            start = np.concatenate([np.array(w["places"], np.int64) for w in windows])
+            end = np.concatenate([np.array(w["places"], np.int64) + w["n"] for w in windows])
+            order = np.argsort(start, kind="stable")
+            start, end = start[order], np.maximum.accumulate(end[order])
+            first = np.concatenate([[True], start[1:] > end[:-1]])
+            out[0].append(start[first])
+            out[1].append(end[np.concatenate([first[1:], [True]])])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(x, pa.list_(pa.int64())) for x in out)], ["row", "starts", "ends"])
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = MAP_BYTES) -> DataFrame:
+    """(id, n_words, starts, ends, item_ids) of each document row.
 
     ``starts``/``ends``: merged half-open word spans that lie inside an occurrence of an
     item's window; ``item_ids``: the items with such windows, sorted as strings. Null or
     empty texts have no words. Benchmark rows without words take no part; an item whose
     id is null hits words but is not listed. Rows that repeat are judged each; other
-    columns are not read. The documents are never shuffled: one block of items (at most
-    about ``block_bytes`` of text) goes to the tasks for each pass, and between passes the
-    documents are written to the shared folder."""
+    columns are not read. ``block_bytes`` bounds each of the two bit maps that go to the tasks; it does not
+    change the result. Texts are not shuffled."""
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text")).filter(F.col("text").isNotNull()).distinct()
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-total // block_bytes))
+    held = durable(items.mapInArrow(_item_keys, "item string, n int, window bigint, print bigint").distinct())
+    windows = durable(held.select("window", "n").distinct())
+    short = [r.n for r in windows.filter(F.col("n") < WINDOW).select("n").distinct().collect()]
+    prints = Bits(held.filter(F.col("print").isNotNull()).select("print").distinct(), "print", block_bytes)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, text string, n_words bigint, starts array<bigint>, ends array<bigint>, item_ids array<string>"
-    out = source
-    for block in range(n_blocks):
-        rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == block).collect()
-        held = Items([r.id for r in rows], pa.array([r.text for r in rows], pa.string()))
-        scan = _scan(held, block > 0)
-        if block + 1 == n_blocks and not keep_text:
-            drop = lambda batches, scan=scan: (b.drop_columns(["text"]) for b in scan(batches))
-            out = out.mapInArrow(drop, schema.replace(" text string,", ""))
-        else:
-            out = out.mapInArrow(scan, schema)
-            out = durable(out) if block + 1 < n_blocks else out
-    return out.withColumnRenamed("id", id_col)
+    found = source.mapInArrow(_candidates(prints, Bits(windows, "window", block_bytes), sorted(short)), f"id {kind}, n_words bigint, found array<struct<window:bigint,n:int,places:array<int>>>")
+    found = durable(found.withColumn("row", F.monotonically_increasing_id()))
+
+    each = found.filter(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.window", "x.n", "x.places")
+    real = durable(each.join(small(windows), ["window", "n"], "left_semi"))
+    spans = real.groupBy("row").agg(F.collect_list(F.struct("n", "places")).alias("windows")).mapInArrow(_spans, "row bigint, starts array<bigint>, ends array<bigint>")
+    named = durable(held.select("window", "n", "item").filter(F.col("item").isNotNull()).distinct())
+    named = real.select("row", "window", "n").join(small(named), ["window", "n"]).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+    hits = durable(spans.join(named, "row", "left"))
+    out = found.select("row", "id", "n_words").join(small(hits), "row", "left")
+    none = lambda c, t: F.coalesce(c, F.array().cast(f"array<{t}>")).alias(c)
+    return out.select(F.col("id").alias(id_col), "n_words", none("starts", "bigint"), none("ends", "bigint"), none("item_ids", "string"))
 
 
 def judged(found: DataFrame) -> DataFrame:
@@ -192,11 +189,12 @@ def judged(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = MAP_BYTES) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns.
 
-    The other columns travel with the row in one struct, so clashing names and repeated
-    ids do no harm."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
-    found = judged(overlaps(whole, benchmark, "row", "text", block_bytes=block_bytes))
-    return found.filter(~F.col("contaminated")).select("row.*")
+    A row is judged by its text alone, so null and repeated ids and clashing names do no harm; a
+    null text has no words and stays. Repeated rows stay or go together."""
+    digest = F.md5(text_col)
+    found = judged(overlaps(docs.select(digest.alias("_text"), text_col), benchmark, "_text", text_col, block_bytes=block_bytes))
+    gone = durable(found.filter("contaminated").select("_text").distinct())
+    return docs.join(small(gone), digest == gone["_text"], "left_anti")
