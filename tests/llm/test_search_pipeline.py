@@ -15,7 +15,7 @@ def brute(ids, x, asks, k):
     out = {}
     for q in asks:
         i = list(ids).index(q)
-        s = (x * x[i]).sum(1)
+        s = np.cumsum(x * x[i], axis=1)[:, -1]  # component by component, as the operator and SQL add
         order = [j for j in np.lexsort((ids, -s)) if ids[j] != q][:k]
         out[int(q)] = [(int(ids[j]), float(s[j])) for j in order]
     return out
@@ -55,6 +55,38 @@ def test_recall_of_the_default_factor(spark):
     assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+def unequal(kind):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 64))
+    if kind == "clustered":
+        x = rng.standard_normal((60, 64))[rng.integers(0, 60, 3000)] + 0.1 * x
+    if kind == "lognormal":
+        x *= np.exp(rng.standard_normal((3000, 1)))
+    if kind in ("1e3", "1e20"):
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x[7] *= float(kind)
+    return np.arange(3000), x
+
+
+@pytest.mark.parametrize("kind", ["gauss", "clustered", "lognormal", "1e3", "1e20"])
+def test_recall_on_vectors_of_unequal_length(spark, kind):
+    ids, x = unequal(kind)
+    want = brute(ids, x, ids[ids % 20 == 0], 20)
+    got = found(vptree.nearest(frame(spark, ids, x), F.col("vec_id") % 20 == 0, shard=500, sample=1000))
+    assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 20 for q in want]) >= 0.95
+
+
+def test_far_cells_and_branches_are_passed_over():
+    ids, x = unequal("clustered")
+    tree = vptree.Tree(x, ids)
+    looked = tree.search(vptree.directions(x[:200])[0], ids[:200], 20, 6.0, np.full(200, -np.inf)) > -np.inf
+    assert looked.mean() < 0.5
+    cells = vptree.Cells(vptree.directions(x)[0], 8)
+    assert cells.n == 8 and len(np.unique(cells.place(vptree.directions(x)[0]))) == 8
+    u = vptree.directions(x)[0]
+    assert all((cells.gaps(u)[:, c] <= np.sqrt(((u[:, None] - u[None, cells.place(u) == c]) ** 2).sum(2)).min(1) + 1e-9).all() for c in range(8))
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [float("nan"), 1.0]), (80, [float("inf"), 1.0]), (100, [None, 1.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (None, [1.0, 1.0]), (2, [1.0, 1.0, 1.0]), (120, [0.0, 1.0])]
     df = spark.createDataFrame([(*r, 5, 6) for r in rows], "vec_id bigint, embedding array<float>, id int, score int")
