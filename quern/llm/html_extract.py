@@ -2,7 +2,7 @@
 
 The events are cut into lines, one for each block of text. Lines inside elements that
 never hold the article (menus, footers, forms, adverts ...) are set aside by element
-name, role, or class and id words. Each other line has a text-to-tag ratio; the ratios are
+name, role, or class and id words; inside an article or main element only by names that say nothing else. Each other line has a text-to-tag ratio; the ratios are
 smoothed with a Gaussian over neighbouring lines and cut into two clusters at the
 threshold between their means. The content region is the outermost article or main element
 around nearly all text of the high cluster, or without one the innermost element that holds
@@ -24,12 +24,24 @@ from quern.llm.tables import pieces
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements whose content is never the article's.
-NEVER = frozenset("head title script style noscript template nav footer aside form button select option textarea dialog menu iframe object svg canvas audio video map datalist fieldset".split())
+NEVER = frozenset(
+    "head title script style noscript template nav footer aside button select option textarea dialog menu iframe object svg canvas audio video map datalist fieldset".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
 #: Words of class or id attributes that mark an element as something beside the article.
-BESIDE = re.compile(
-    r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|menus|breadcrumbs?|footer|bottombar|sidebar|aside|rail|ads?|advert|advertisement|adverts|adsense|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|subscribe|subscription|newsletter|signup|login|share|sharing|social|related|recommended|recommendations|comments?|commentlist|disqus|replies|reply|respond|widget|toolbar|search|pagination|pager|copyright|legal|disclaimer|skip|hidden)(?:$|[^a-z])"
+BESIDE_WORDS = (
+    "nav navbar navigation menu menus breadcrumb breadcrumbs footer bottombar sidebar aside rail ad ads advert advertisement adverts adsense sponsor sponsored "
+    "promo promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay subscribe subscription newsletter signup login share sharing social "
+    "related recommended recommendations comment comments commentlist disqus replies reply respond widget toolbar search pagination pager copyright legal disclaimer skip hidden"
+).split()
+BESIDE = re.compile(r"(?:^|[^a-z])(?:" + "|".join(BESIDE_WORDS) + r")(?:$|[^a-z])")
+#: Words that may stand beside those in the name of a part of the page; other words make it the name of something else.
+PLACE_WORDS = frozenset(
+    "site page main top bottom left right box block wrapper wrap container list section area bar link links form inner outer button buttons item items user users reader readers post "
+    "group panel unit slot holder col column primary secondary global local sub mobile desktop sticky fixed small large title label inline row icon icons image banner header media".split()
 )
+#: Elements that hold parts of a page; inside the article no other element is one by its id.
+HOLDERS = frozenset("div section ul ol dl form table details figure center".split())
 #: Those that mark the site's head, unless they are inside the article.
 HEAD = re.compile(r"(?:^|[^a-z])(?:header|masthead|topbar|banner)(?:$|[^a-z])")
 #: Elements a start tag closes when they are open inside the nearest of the second set.
@@ -46,9 +58,10 @@ CLOSES = {
 BLOCK_CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: Elements too small to be the content region.
 PARTS = frozenset("p span a label h1 h2 h3 h4 h5 h6 li td th tr pre blockquote dd dt".split())
-#: An element marked by its class or id that holds several lines and more than this share of the
-#: page's text is a frame around the article, if no article or main element stands outside.
-FRAME_SHARE = 0.5
+#: A form, or an element marked by its class or id, that holds several lines and more than this share of the
+#: page's text is a frame around the article, if no article or main element, and no more than
+#: the second share of the text, stands outside all such elements.
+FRAME_SHARE, OUTSIDE_SHARE = 0.5, 0.25
 #: Share of the high cluster's text that an article or main element must hold to be the content region.
 REGION_SHARE = 0.9
 #: Standard deviation, in lines, of the smoothing.
@@ -82,13 +95,20 @@ class Lines(HTMLParser):
         inside = lambda: any(x[0] in ("article", "main") for x in self.stack)
         if tag == "header":
             return int(not inside())
-        for key, value in attrs:
-            value = (value or "").lower()
+        if tag == "form":
+            return 2
+        for key, raw in attrs:
+            value = (raw or "").lower()
             if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
                 return 1
             if key == "style" and re.search(r"display\s*:\s*none", value):
                 return 1
-            if key in ("class", "id") and tag not in ("html", "body", "article", "main") and (BESIDE.search(value) or HEAD.search(value) and not inside()):
+            if key not in ("class", "id") or tag in ("html", "body", "article", "main"):
+                continue
+            if not inside():
+                if BESIDE.search(value) or HEAD.search(value):
+                    return 2
+            elif (key == "class" or tag in HOLDERS) and any(map(names_a_part, (raw or "").split())):
                 return 2
         return 0
 
@@ -113,8 +133,9 @@ class Lines(HTMLParser):
         for text, _, e in self.out:
             size[e] += 0 if never[e] else len(text)
             lines[e] += bool(text) and not never[e]
+        outside = sum(s for s, m in zip(size, marked) if not m)
         size, lines = self.within(size), self.within(lines)
-        clear = any(self.names[e] in ("article", "main") and size[e] and not marked[e] for e in range(n))
+        clear = any(self.names[e] in ("article", "main") and size[e] and not marked[e] for e in range(n)) or outside > OUTSIDE_SHARE * size[0]
         for e in range(1, n):
             frame = not clear and lines[e] > 1 and size[e] > FRAME_SHARE * size[0]
             never[e] = never[e] or never[self.parent[e]] or self.marks[e] == 2 and not frame
@@ -170,6 +191,13 @@ class Lines(HTMLParser):
         self.text.append(data)
 
 
+def names_a_part(name: str) -> bool:
+    """Whether one class or id names a menu, advert, comment list or the like: it has such a
+    word, and no other words than where and in what shape it stands."""
+    words = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w]
+    return any(w in BESIDE_WORDS for w in words) and all(w in BESIDE_WORDS or w in PLACE_WORDS for w in words)
+
+
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     reach = int(np.ceil(3 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
