@@ -24,8 +24,8 @@ SHORT_VALUE = 6
 AROUND = 160
 TREES, DEPTH, SEED = 40, 8, 8
 
-_RUN = r"[A-Za-z0-9+/_=\-]{%d,}" % SHORTEST
-_LIKELY = r"(?=[A-Za-z+/_=\-]*[0-9])" + _RUN + r"|[=:]\s*[\"']?" + _RUN
+_RUN = r"[A-Za-z0-9+/_\-]{%d,}={0,2}" % SHORTEST
+_LIKELY = r"(?=[A-Za-z+/_\-]*[0-9])" + _RUN + r"|[=:]\s*[\"']?" + _RUN
 _KEYWORD = r"(?i)(token|secret|passw|pwd|api[_\-]?key|apikey|access[_\-]?key|private|credential|auth|bearer)"
 #: A key word's assignment up to the value; the value is quoted (and may hold blanks) or goes on to the
 #: next blank, quote, or separator before another assignment. No group repeats but possessively: Java recurses otherwise.
@@ -77,12 +77,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     assigned value that is not inside such a run (a value may hold a run): ``position``
     is the number of the blank-separated word, ``offset`` that of the finding's first character in the text,
     both from 0; ``word`` is the finding with what stands around it without a blank, ``lead`` and
-    ``rest`` (up to the neighbouring runs); ``before``, ``last`` and ``after`` are neighbouring words."""
+    ``rest`` (up to the neighbouring runs); ``before``, ``last`` and ``after`` are neighbouring words.
+
+    Null and empty texts have no rows; repeated rows give theirs each; ids may be null; other columns are not read."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").rlike(_LIKELY) | F.col("text").rlike(_VALUE))
     texts = texts.select("id", "text", _spans(_RUN).alias("runs"), F.transform(_spans(_VALUE), _value).alias("values"), F.split("text", r"\s+").alias("words"))
     at = lambda x, d: F.coalesce(F.get("words", x["position"] + d), F.lit(""))
     beside = lambda x, side, k: F.element_at(F.split(x[side], r"\s", -1), k)
-    likely = lambda x: x["hit"].rlike("[0-9]") | at(x, -1).rlike(r"[=:]$") | beside(x, "lead", -1).rlike(r"[=:][\"']?$") | x["hit"].rlike("=" + _RUN)
+    likely = lambda x: x["hit"].rlike("[0-9]") | at(x, -1).rlike(r"[=:]$") | beside(x, "lead", -1).rlike(r"[=:][\"']?$")
     end = lambda x: x["offset"] + F.length(x["hit"])
     texts = texts.withColumn("runs", F.filter("runs", likely))
     alone = F.filter("values", lambda v: ~F.exists("runs", lambda r: (r["offset"] <= v["offset"]) & (end(r) >= end(v))))
@@ -149,7 +151,11 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
 
 
 def fit(labelled: DataFrame, words: list[str]):
-    """The forest, fitted on the candidates in labelled (id, text, label) rows; None without both classes."""
+    """The forest, fitted on the candidates in labelled (id, text, label) rows; None without both classes.
+
+    Rows whose text is null or holds no candidate teach nothing; of repeated ids every row counts; labels are few
+    (some thousand) and go to every task."""
+    labelled = durable(labelled.select("id", "text", "label"))  # the plan that made it would be copied into each feature
     rows = features(candidates(labelled, "id", "text"), words).join(F.broadcast(labelled.select(F.col("id").alias("_id"), "label")), F.col("id") == F.col("_id"))
     rows = durable(rows.select(*[f"_x_{c}" for c in FEATURES], "label"))
     if rows.select("label").distinct().count() < 2:
