@@ -26,6 +26,8 @@ MAX_LABELLED, EXCHANGE, ROUNDS = 6_000, 300, 2
 #: A view hands over only documents whose probability is this near to 0 or 1.
 CONFIDENT = 0.05
 GRAMS, LANGS, SOURCES = 1024, 16, 64
+#: Rows whose features are held as one dense matrix.
+VIEW_ROWS = 1024
 FOLDS, STEPS, L2_TEXT, L2_META = 5, 300, 3e-5, 3e-5
 #: A document is kept if its score reaches the cut: at most one half, and low enough (but not
 #: under the second number) to keep this share of the labelled good documents out of fold.
@@ -129,11 +131,12 @@ def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("id"), "text", *meta)
 
 
-def _sample(source: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """Views, label and a fold by text of the documents with the few given (_id, y)."""
+def _sample(source: DataFrame, ids: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """Views, label and a fold by text of ``most`` documents at most with the few given (_id, y)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", rows=VIEW_ROWS):
                 t, m = _views(part)
                 word, b = hashes(*text_bytes(part.column("text")))
                 total = np.concatenate([[U64(0)], np.cumsum(word, dtype=U64)])
@@ -141,7 +144,7 @@ def _sample(source: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray,
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in t.astype(np.float16)], pa.binary()), pa.array([x.tobytes() for x in m], pa.binary()), pa.array(key), part.column("y")], ["t", "m", "key", "y"])
 
     got = source.join(F.broadcast(ids), F.col("id") == F.col("_id")).select("text", "lang", "source", "n_chars", F.col("y").cast("double").alias("y"))
-    rows = got.mapInArrow(run, "t binary, m binary, key bigint, y double").toArrow()
+    rows = got.mapInArrow(run, "t binary, m binary, key bigint, y double").orderBy(F.xxhash64("key", "m", "y")).limit(most).toArrow()  # as ids may repeat
     key = rows.column("key").to_numpy()
     order = np.lexsort((rows.column("y").to_numpy(), key))
     width_t, width_m = GRAMS + 5, LANGS + SOURCES + 12
@@ -159,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ro
     source = _source(docs)
     marked = labels.filter(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
     picked = durable(marked.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled))
-    t, m, y, key = _sample(source, picked)
+    t, m, y, key = _sample(source, picked, max_labelled)
     fold = (key.view(U64) % U64(FOLDS)).astype(int)
     none = (np.zeros((0, t.shape[1]), np.float32), np.zeros(0)), (np.zeros((0, m.shape[1]), np.float32), np.zeros(0))
     for_text, for_meta = none
@@ -179,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ro
         new = durable(new)
         # one pass reads all handed documents; what each goes to is in the label: 0/1 to text, 2/3 to meta
         coded = new.select("_id", (F.col("y") + F.when(F.col("to") == "meta", 2).otherwise(0)).alias("y"))
-        t_new, m_new, code, _ = _sample(source, coded)
+        t_new, m_new, code, _ = _sample(source, coded, 4 * exchange)
         to_meta = code >= 2
         for_text = np.concatenate([for_text[0], t_new[~to_meta]]), np.concatenate([for_text[1], code[~to_meta]])
         for_meta = np.concatenate([for_meta[0], m_new[to_meta]]), np.concatenate([for_meta[1], code[to_meta] - 2])
@@ -196,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ro
 def _scored(source: DataFrame, views: Views, keep: str = "id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", rows=VIEW_ROWS):
                 p = views.score(part)
                 yield pa.RecordBatch.from_arrays([part.column(keep), *map(pa.array, p)], [keep, "p_text", "p_meta", "score"])
 
@@ -214,7 +217,9 @@ def score(docs: DataFrame, views: Views) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame, views: Views) -> DataFrame:
-    """The rows of ``docs`` that the combined views keep, with all their columns."""
+    """The rows of ``docs`` that the combined views keep, with all their columns.
+
+    Null texts count as empty; repeated rows are judged each, and alike; an empty table stays empty."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     have = {c.lower() for c in docs.columns}
     meta = [F.col(c).cast(k).alias(c) if c in have else F.lit(None).cast(k).alias(c) for c, k in (("lang", "string"), ("source", "string"), ("n_chars", "bigint"))]
