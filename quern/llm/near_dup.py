@@ -4,7 +4,8 @@ A document is the multiset of its five-word shingles; two are near duplicates if
 weighted Jaccard similarity of their multisets is 0.8 or more, and classes are the
 connected components of these links.
 
-*Signatures.* The weight of a shingle (its count) is cut at powers of two into ranges. Each
+*Signatures.* The weight of a shingle (its count) is cut at powers of two into ranges, which are read
+one by one up to the weight and not split further. Each
 (shingle, range) has a Poisson process on the range times the time axis; a point belongs to
 the document if its place on the weight axis lies under the document's weight, and carries a
 random register. A register's signature is its earliest point. As the processes do not
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -39,6 +40,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and registers of a band: at similarity 0.8 a pair shares no band in 5 of 100,000 cases.
 BANDS, ROWS = 25, 5
 
+#: Rows of one key that go to one task in a join.
+HOT = 256
+
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
@@ -159,11 +163,22 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _spread_join(many: DataFrame, one: DataFrame, key: str, salt: Column) -> DataFrame:
+    """``many`` joined to the one row that ``one`` has for each key. A key with more than HOT rows is dealt
+    by ``salt`` to several tasks, which get a copy of its row each."""
+    hot = durable(many.groupBy(key).agg(F.ceil(F.count("*") / HOT).cast("int").alias("_parts")).filter(F.col("_parts") > 1))
+    parts = F.coalesce("_parts", F.lit(1))
+    left = many.join(small(hot), key, "left").withColumn("_part", F.pmod(salt, parts).cast("int")).drop("_parts")
+    right = one.join(small(hot), key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return left.join(right, [key, "_part"]).drop("_part")
+
+
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that reach the similarity."""
+    """The pairs (a, b) of nodes that reach the similarity; ``pairs`` is durable."""
     x = texts.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     y = texts.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify, "a binary, b binary")
+    both = _spread_join(pairs, y, "b", F.xxhash64("a")).join(x, "a")
+    return both.select("a", "b", "x", "y").mapInArrow(_verify, "a binary, b binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -195,8 +210,7 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS, row
 
     # multisets of the nodes in question only
     wanted = durable(nodes.select("node", "id", "size").join(inside.select("node").distinct(), "node"))
-    ids = durable(wanted.select(F.col("id").alias("want")).distinct())
-    texts = source.join(small(ids), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("text").mapInArrow(_multisets, "node binary, shingles binary")
+    texts = source.join(small(wanted.select(F.col("id").alias("want"))), F.col("id").eqNullSafe(F.col("want")), "left_semi").select("text").mapInArrow(_multisets, "node binary, shingles binary")
     texts = durable(texts.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
     links = durable(_linked(stars, texts))
 
@@ -205,16 +219,19 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS, row
     placed = inside.select("band", "node").join(wanted.select("node", "size"), "node").join(root, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter(F.col("lo") != F.col("hi")).select("band")
     loose = durable(placed.join(split, "band").select("node", "size", "root").distinct())
-    rest = durable(_linked(_possible(loose, texts), texts))
+    rest = durable(_linked(durable(_possible(loose, texts)), texts))
     if not rest.isEmpty():
         root = components(links.union(rest))
 
     # the class of every row
     root = durable(root)
     least = nodes.join(root, "node").groupBy("root").agg(F.min("id").alias("class_id"))
-    of_node = nodes.select("node", "id").join(root.join(least, "root").select("node", "root", "class_id"), "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("class_id", "id").alias("class_id"))
-    out = signed.select("id", "node").join(of_node, "node", "left")
-    return out.select(F.col("id").alias(id_col), "node", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "root")
+    of_root = _spread_join(root, least, "root", F.xxhash64("node")).select("node", "root", "class_id")
+    of_node = nodes.select("node", "id").join(of_root, "node", "left")
+    of_node = of_node.select("node", F.coalesce("root", "node").alias("root"), F.coalesce("class_id", "id").alias("class_id"))
+    of_text = _spread_join(signed.filter(F.col("node").isNotNull()).select("id", "node"), of_node, "node", F.xxhash64("id"))
+    alone = signed.filter(F.col("node").isNull()).select("id", "node", F.col("id").alias("class_id"), F.col("node").alias("root"))
+    return of_text.select("id", "node", "class_id", "root").union(alone).withColumnRenamed("id", id_col)
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
