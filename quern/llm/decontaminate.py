@@ -153,6 +153,33 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(x, pa.list_(pa.int64())) for x in out)], ["row", "starts", "ends"])
 
 
+class _Benchmark:
+    """The keys of the items' windows, as a table, and what tells which keys they may hold."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str, most: int):
+        items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull()).distinct()
+        self.held = durable(items.mapInArrow(_item_keys, "item string, n int, window bigint, print bigint").distinct())
+        self.windows = self.held.select("window", "n")
+        short = [r.n for r in self.windows.filter(F.col("n") < WINDOW).select("n").distinct().collect()]
+        prints = Bits(self.held.filter(F.col("print").isNotNull()).select("print"), "print", most)
+        self.candidates = _candidates(prints, Bits(self.windows, "window", most), sorted(short))
+
+    def find(self, source: DataFrame) -> DataFrame:
+        """(id, n_words, found) of texts (id, text)."""
+        kind = source.schema["id"].dataType.simpleString()
+        return source.mapInArrow(self.candidates, f"id {kind}, n_words bigint, found array<struct<window:bigint,n:int,places:array<int>>>")
+
+    def hits(self, found: DataFrame) -> DataFrame:
+        """(row, starts, ends, item_ids) of the durable rows (row, found) that are hit, by a join of the keys."""
+        kind = found.schema["row"].dataType.simpleString()
+        each = found.filter(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.window", "x.n", "x.places")
+        real = durable(each.join(small(self.windows), ["window", "n"], "left_semi"))
+        spans = real.groupBy("row").agg(F.collect_list(F.struct("n", "places")).alias("windows")).mapInArrow(_spans, f"row {kind}, starts array<bigint>, ends array<bigint>")
+        named = self.held.select("window", "n", "item").filter(F.col("item").isNotNull())
+        named = real.select("row", "window", "n").join(small(named), ["window", "n"]).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+        return durable(spans.join(named, "row", "left"))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = MAP_BYTES) -> DataFrame:
     """(id, n_words, starts, ends, item_ids) of each document row.
 
@@ -162,23 +189,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     id is null hits words but is not listed. Rows that repeat are judged each; other
     columns are not read. ``block_bytes`` bounds each of the two bit maps that go to the tasks; it does not
     change the result. Texts are not shuffled."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text")).filter(F.col("text").isNotNull()).distinct()
-    held = durable(items.mapInArrow(_item_keys, "item string, n int, window bigint, print bigint").distinct())
-    windows = durable(held.select("window", "n").distinct())
-    short = [r.n for r in windows.filter(F.col("n") < WINDOW).select("n").distinct().collect()]
-    prints = Bits(held.filter(F.col("print").isNotNull()).select("print").distinct(), "print", block_bytes)
+    items = _Benchmark(benchmark, item_col, item_text_col, block_bytes)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    found = source.mapInArrow(_candidates(prints, Bits(windows, "window", block_bytes), sorted(short)), f"id {kind}, n_words bigint, found array<struct<window:bigint,n:int,places:array<int>>>")
-    found = durable(found.withColumn("row", F.monotonically_increasing_id()))
-
-    each = found.filter(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.window", "x.n", "x.places")
-    real = durable(each.join(small(windows), ["window", "n"], "left_semi"))
-    spans = real.groupBy("row").agg(F.collect_list(F.struct("n", "places")).alias("windows")).mapInArrow(_spans, "row bigint, starts array<bigint>, ends array<bigint>")
-    named = durable(held.select("window", "n", "item").filter(F.col("item").isNotNull()).distinct())
-    named = real.select("row", "window", "n").join(small(named), ["window", "n"]).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
-    hits = durable(spans.join(named, "row", "left"))
-    out = found.select("row", "id", "n_words").join(small(hits), "row", "left")
+    found = durable(items.find(source).withColumn("row", F.monotonically_increasing_id()))
+    out = found.select("row", "id", "n_words").join(small(items.hits(found)), "row", "left")
     none = lambda c, t: F.coalesce(c, F.array().cast(f"array<{t}>")).alias(c)
     return out.select(F.col("id").alias(id_col), "n_words", none("starts", "bigint"), none("ends", "bigint"), none("item_ids", "string"))
 
@@ -194,7 +208,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
     A row is judged by its text alone, so null and repeated ids and clashing names do no harm; a
     null text has no words and stays. Repeated rows stay or go together."""
-    digest = F.md5(text_col)
-    found = judged(overlaps(docs.select(digest.alias("_text"), text_col), benchmark, "_text", text_col, block_bytes=block_bytes))
-    gone = durable(found.filter("contaminated").select("_text").distinct())
+    items, digest = _Benchmark(benchmark, "item_id", "text", block_bytes), F.md5(text_col)
+    found = items.find(docs.select(digest.alias("id"), F.col(text_col).alias("text"))).filter(F.size("found") > 0)
+    found = durable(found.dropDuplicates(["id"]).withColumnRenamed("id", "row"))  # copies of a text are judged once
+    gone = judged(found.select("row", "n_words").join(small(items.hits(found)), "row")).filter("contaminated")
+    gone = durable(gone.select(F.col("row").alias("_text")))
     return docs.join(small(gone), digest == gone["_text"], "left_anti")
