@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, html_extract, line_dedup, near_dup, quality, secret_scan, toxicity, url_filter, vptree
+from quern.llm import align, bpe, decontaminate, html_extract, line_dedup, near_dup, quality, secret_scan, toxicity, url_filter, vptree
 from quern.llm.tables import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -121,6 +121,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+#: Tokenizer files of op11, sides A and B.
+SIDES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.Alignment(table(spark, sf_dir, "documents"), *SIDES).documents()
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -132,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
 }
 SQL: dict[str, str] = {
     "op1_near_dedup": OP1_SQL,
