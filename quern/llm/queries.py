@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import align, bpe, decontaminate, html_extract, line_dedup, near_dup, quality, secret_scan, toxicity, url_filter, vptree
+from quern.llm import align, bpe, decontaminate, html_extract, line_dedup, lm, near_dup, quality, secret_scan, toxicity, url_filter, vptree
 from quern.llm.tables import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -130,6 +130,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -142,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_lm_scoring": op12_lm_scoring,
 }
 SQL: dict[str, str] = {
     "op1_near_dedup": OP1_SQL,
