@@ -299,4 +299,11 @@ CASE WHEN event_id % 4 = 0 OR event_id % 3 > 0 OR event_id % 5 = 0 THEN 3 END AS
 CASE WHEN event_id % 7 = 0 THEN 'text' ELSE ['text', 'vision', 'synth', 'text'][(event_id % 4 + 1)::INT] END AS chosen, CASE WHEN event_id % 7 = 0 THEN '' ELSE event_type END AS reason FROM events""",
     "html_tables": f"""SELECT c_custkey AS page_id, 0 AS number, CASE WHEN c_custkey % 3 = 0 THEN '| key | segment & name |' || {NL} || '| --- | --- |'
 ELSE '| 1 | 2 |' || {NL} || '| --- | --- |' || {NL} || '|  | x |' END || {NL} || '| ' || c_custkey || ' | ' || c_mktsegment || ' ' || c_name || ' |' AS markdown FROM customer""",
+    "pdf_pages": f"""WITH l AS (SELECT doc_id, list_transform(string_split(text, {NL}), lambda x: {strip('x')}) AS lines FROM documents),
+p AS (SELECT doc_id, lines, ceil(len(lines) / 20.0)::INT AS num_pages, unnest(generate_series(1, ceil(len(lines) / 20.0)::BIGINT))::INT AS page_number FROM l)
+SELECT doc_id, page_number, num_pages, md5(coalesce(array_to_string(list_filter(lines[20 * page_number - 19 : 20 * page_number], lambda x: x <> ''), {NL}), '')) AS text_md5, NULL::VARCHAR AS error FROM p""",
+    "pdf_tables_by_file": f"""WITH c AS (SELECT c_custkey // 25 AS g, c_custkey AS k, '| ' || c_custkey || ' | ' || c_name || ' | ' || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END || ' |' AS line FROM customer),
+b AS (SELECT g, string_agg(line, {NL} ORDER BY k) AS body FROM c GROUP BY 1)
+SELECT g, CASE WHEN g % 2 = 0 THEN '| 1 | 2 | 3 |' || {NL} || '| --- | --- | --- |' || {NL} || '| Customers of group ' || g || ' |  |  |' || {NL} || '| key | name | segment |'
+ELSE '| key | name | segment |' || {NL} || '| --- | --- | --- |' END || {NL} || body AS markdown FROM b""",
 }

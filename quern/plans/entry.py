@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from quern.config import AUTO, Chunking, CleanRules, Hybrid, Rerank, Retriever
 from quern.functions.plan import once
-from quern.operators import merge, questions
+from quern.functions.text import stem
+from quern.operators import merge, normalize, questions
 from quern.plans import corpus
 from quern.plugins import Answerer, Embedder, PageParser, QuestionRewriter, Scorer, extractive_answer, overlap_score, rewrite_by_rule
 from quern.session import durable
-from quern.sources import files, parsed, sinks, workbooks
+from quern.sources import files, parsed, pdf_tables, sinks, workbooks
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class Build:
     parse_files: bool = True
     parse_workbooks: bool = True
     index: bool = True
+    tables: bool = False  # tables of PDF files as one more page of each
     glob: str = "*.pdf"
 
 
@@ -36,13 +38,17 @@ def require(spark: SparkSession, *paths: str) -> None:
 
 
 def build(
-    spark: SparkSession, source: str, out: str, what: Build = Build(), parser: PageParser = files.plain_text, chunking: Chunking = AUTO,
+    spark: SparkSession, source: str, out: str, what: Build = Build(), parser: PageParser = files.parse_document, chunking: Chunking = AUTO,
     rules: CleanRules = CleanRules(), embed: Embedder | None = None, hybrid: Hybrid = Hybrid(), **parsing,
 ) -> dict[str, DataFrame]:
     """Parses ``source`` to ``out``/parsed, indexes that to ``out``/index, and gives the index."""
     require(spark, source)
     if what.parse_files:
-        sinks.write_parsed(files.as_v2(files.parse_files(spark, source, parser, what.glob, **parsing)), f"{out}/parsed/files")
+        documents = files.as_v2(files.parse_files(spark, source, parser, what.glob, **parsing))
+        if what.tables:
+            found = pdf_tables.tables_by_file(files.read_contents(spark, source, what.glob), parsing.get("max_pages"))
+            documents = normalize.append_tables(documents, found.select(stem("path").alias("stem"), "markdown"))
+        sinks.write_parsed(documents, f"{out}/parsed/files")
     if what.parse_workbooks:
         sinks.write_parsed(files.as_v2(workbooks.parse_workbooks(spark, source)), f"{out}/parsed/workbooks")
     if what.index:

@@ -6,7 +6,7 @@ with :func:`text_udf`, which hands it Arrow batches of texts and never fails the
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import Protocol
 
 import pandas as pd
@@ -54,7 +54,7 @@ class PageRenderer(Protocol):
 class PageParser(Protocol):
     """Pages of a document as dicts with page_number and text."""
 
-    def __call__(self, path: str, content: bytes) -> list[dict]: ...
+    def __call__(self, path: str, content: bytes) -> Iterable[dict]: ...
 
 
 def hashed_embedding(dim: int = 64) -> Embedder:

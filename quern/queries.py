@@ -20,7 +20,7 @@ from quern.operators import values as V
 from quern.plans import corpus
 from quern.plugins import overlap_score
 from quern.session import durable, ship, small
-from quern.sources import parsed, workbooks
+from quern.sources import files, parsed, pdf_tables, pdf_write, workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -293,6 +293,43 @@ def html_tables(spark, sf_dir):
     return workbooks.html_tables(c.select(F.col("c_custkey").alias("page_id"), html.alias("html")))
 
 
+@F.udf("binary")
+def _text_pdf(text: str, packed: bool):
+    return pdf_write.write_pdf(pdf_write.text_sheets(text or "", 20), packed)
+
+
+@F.udf("binary")
+def _table_pdf(title: str, rows: list, packed: bool):
+    """A table of three columns; with a title it has rules, and the title spans the first row."""
+    xs, top = (40.0, 120.0, 330.0, 520.0), 740.0
+    lines = ([(title, "", "")] if title else []) + [("key", "name", "segment")] + [tuple(r) for r in rows]
+    texts = [(x + 4, top - 18 * i, cell) for i, line in enumerate(lines) for x, cell in zip(xs, line) if cell]
+    bottom = top - 18 * len(lines) + 12
+    rules = [(xs[0], top + 12 - 18 * i, xs[-1], top + 12 - 18 * i) for i in range(len(lines) + 1)]
+    rules += [(x, bottom, x, top + 12 - (18 if x in xs[1:-1] else 0)) for x in xs]
+    return pdf_write.write_pdf([(texts, rules if title else []), ([(40.0, 700.0, "A page without a table.")], [])], packed)
+
+
+@query
+def pdf_pages(spark, sf_dir):
+    """Every document as a PDF file of 20 lines a page, read back."""
+    d = table(spark, sf_dir, "documents").repartition("doc_id")
+    made = d.select(F.concat(F.lit("/in/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), _text_pdf("text", F.col("doc_id") % 2 == 0).alias("content"))
+    found = files.parse_contents(made)
+    return found.select(F.regexp_extract("doc_name", r"\d+", 0).cast("bigint").alias("doc_id"), "page_number", "num_pages", F.md5("text").alias("text_md5"), "error")
+
+
+@query
+def pdf_tables_by_file(spark, sf_dir):
+    """Customers by 25 as a table in a PDF file, every other one with rules and a spanning title; each fifth has an empty cell."""
+    c = table(spark, sf_dir, "customer").withColumn("g", F.floor(F.col("c_custkey") / 25))
+    cells = F.struct("c_custkey", F.struct(F.col("c_custkey").cast("string"), F.col("c_name"), F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.col("c_mktsegment"))).alias("cells"))
+    g = c.groupBy("g").agg(F.transform(F.array_sort(F.collect_list(cells)), lambda x: x["cells"]).alias("rows"))
+    title = F.when(F.col("g") % 2 == 0, F.concat(F.lit("Customers of group "), F.col("g").cast("string"))).otherwise("")
+    made = g.select(F.concat(F.lit("/in/g"), F.col("g").cast("string"), F.lit(".pdf")).alias("path"), _table_pdf(title, "rows", F.col("g") % 3 == 0).alias("content"))
+    return pdf_tables.tables_by_file(durable(made)).select(F.regexp_extract("path", r"\d+", 0).cast("bigint").alias("g"), "markdown")
+
+
 # questions -----------------------------------------------------------------------------------
 
 _STARTS = ("Сколько ", "Какова ", "Количество ", "Кто ", "На какую дату ", "Число ")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from quern.config import Ocr
 from quern.plugins import PageParser, PageRenderer
 from quern.session import ship
+from quern.sources import pdf
 
 PAGES = "doc_name string, source_path string, num_pages int, backend string, page_number int, text string, ocr_used boolean, error string"
 
@@ -20,6 +22,11 @@ def plain_text(path: str, content: bytes) -> list[dict]:
     return [{"page_number": k, "text": x} for k, x in enumerate(content.decode("utf-8", "replace").split("\f"), 1)]
 
 
+def parse_document(path: str, content: bytes) -> Iterator[dict]:
+    """The parser for PDF files, known by their first bytes, and plain ones."""
+    return iter(pdf.parse_pdf(path, content) if b"%PDF-" in content[:1024] else plain_text(path, content))
+
+
 def read_again(content: bytes, page: dict, render: PageRenderer, ocr: Callable[[bytes], str], cfg: Ocr) -> tuple[str, bool]:
     """(text, whether it is the OCR's) of a page with little text: the OCR's if there is any and it is no shorter."""
     size = lambda x: len(" ".join((x or "").split()))
@@ -30,13 +37,27 @@ def read_again(content: bytes, page: dict, render: PageRenderer, ocr: Callable[[
 
 
 def parse_files(
-    spark: SparkSession, path: str, parser: PageParser = plain_text, glob: str = "*.pdf", backend: str = "parser", max_pages: int | None = None,
+    spark: SparkSession, path: str, parser: PageParser = parse_document, glob: str = "*.pdf", backend: str = "parser", max_pages: int | None = None,
+    render: PageRenderer | None = None, ocr: Callable[[bytes], str] | None = None, cfg: Ocr = Ocr(),
+) -> DataFrame:
+    """:func:`parse_contents` of the files of a folder and those below it."""
+    return parse_contents(read_contents(spark, path, glob), parser, backend, max_pages, render, ocr, cfg)
+
+
+def read_contents(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
+    """(path, content) of files. Spark's reader leaves out files of no bytes."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "content")
+
+
+def parse_contents(
+    files: DataFrame, parser: PageParser = parse_document, backend: str = "parser", max_pages: int | None = None,
     render: PageRenderer | None = None, ocr: Callable[[bytes], str] | None = None, cfg: Ocr = Ocr(),
 ) -> DataFrame:
-    """A row for each page; a file that the parser can't read gives one row with its error.
+    """A row for each page of (path, content); a file that the parser can't read gives one row with its error.
 
-    With a renderer and an OCR engine, pages with little text are read again from their image."""
-    files = ship(spark).read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "content")
+    With a renderer and an OCR engine, pages with little text are read again from their image. One file is read by
+    one task, page by page, ``max_pages`` at most."""
+    ship(files.sparkSession)
     most = max_pages if max_pages is not None else cfg.max_pages
 
     def page_row(content: bytes, page: dict) -> tuple[int, str, bool | None]:
@@ -49,14 +70,14 @@ def parse_files(
             for p, content in zip(batch["path"], batch["content"]):
                 name = p.rsplit("/", 1)[-1]
                 try:
-                    pages = [page_row(content, x) for x in parser(p, content)[:most]]
+                    pages = [page_row(content, x) for x in islice(parser(p, content), most)]
                     rows = [(name, p, len(pages), backend, *x, None) for x in pages]
                 except Exception as e:  # noqa: BLE001 - one bad file must not end the scan
                     rows = [(name, p, 0, backend, None, None, None, f"{type(e).__name__}: {e}")]
                 columns = [x.split()[0] for x in PAGES.split(", ")]
                 yield pd.DataFrame(rows, columns=columns).astype({"page_number": "Int64", "ocr_used": "boolean"})
 
-    return files.mapInPandas(run, PAGES)
+    return files.select("path", "content").mapInPandas(run, PAGES)
 
 
 def as_v2(pages: DataFrame) -> DataFrame:
