@@ -121,7 +121,7 @@ def test_columns_by_gaps():
 
 def test_scan_errors_limits_ocr_and_tables(spark, tmp_path):
     xs = (40, 140, 260)
-    table = sheet([("k", "v"), ("1", "|")], xs, 500, grid_rules(xs, 500, 2))
+    table = sheet([("k", "v"), ("1", "2")], xs, 500, grid_rules(xs, 500, 2))
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "good.pdf").write_bytes(pdf_write.write_pdf([([(40, 700, "first page"), *table[0]], table[1]), ([(40, 700, "second")], []), ([], [])]))
     (tmp_path / "in" / "none.pdf").write_bytes(pdf_write.write_pdf([([(40, 700, "no table here")], [])]))
@@ -129,13 +129,13 @@ def test_scan_errors_limits_ocr_and_tables(spark, tmp_path):
     (tmp_path / "in" / "empty.pdf").write_bytes(b"")  # Spark's reader leaves out files of no bytes
     source = str(tmp_path / "in")
     got = {(r.doc_name, r.page_number): r for r in files.parse_files(spark, source).collect()}
-    assert got["good.pdf", 1].text == "first page\nk v\n1 |" and got["good.pdf", 3].text == "" and got["good.pdf", 1].num_pages == 3
+    assert got["good.pdf", 1].text == "first page\nk v\n1 2" and got["good.pdf", 3].text == "" and got["good.pdf", 1].num_pages == 3
     assert got["bad.pdf", None].error.startswith("ValueError") and not any(k[0] == "empty.pdf" for k in got)
     assert files.parse_files(spark, source, max_pages=1).filter("doc_name = 'good.pdf'").count() == 1
     read = files.parse_files(spark, source, render=lambda content, page, dpi: b"image", ocr=lambda image: "what the image says", cfg=Ocr(min_chars=8))
-    assert {(r.page_number, r.text, r.ocr_used) for r in read.filter("doc_name = 'good.pdf'").collect()} == {(1, "first page\nk v\n1 |", False), (2, "what the image says", True), (3, "what the image says", True)}
+    assert {(r.page_number, r.text, r.ocr_used) for r in read.filter("doc_name = 'good.pdf'").collect()} == {(1, "first page\nk v\n1 2", False), (2, "what the image says", True), (3, "what the image says", True)}
     found = {r.path.rsplit("/", 1)[-1]: r.markdown for r in pdf_tables.tables_by_file(files.read_contents(spark, source)).collect()}
-    assert found == {"good.pdf": "| k | v |\n| --- | --- |\n| 1 | \\| |", "none.pdf": pdf_tables.NONE_FOUND, "bad.pdf": pdf_tables.NONE_FOUND}
+    assert found == {"good.pdf": "| k | v |\n| --- | --- |\n| 1 | 2 |", "none.pdf": pdf_tables.NONE_FOUND, "bad.pdf": pdf_tables.NONE_FOUND}
     index = entry.build(spark, source, str(tmp_path / "out"), entry.Build(parse_workbooks=False, tables=True))
     parsed = spark.read.json(str(tmp_path / "out" / "parsed" / "files"))
     assert {(r.doc_name, r.num_pages) for r in parsed.collect()} == {("good.pdf", 4), ("none.pdf", 1), ("bad.pdf", 0)}
