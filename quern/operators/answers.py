@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from quern.functions.text import BLANK, strip
 from quern.operators import values as V
+from quern.operators.recovery import json_object
 
 # Fixed values.
 REFUSALS = ("i'm sorry", "i am sorry", "can't assist", "cannot assist")
@@ -43,39 +42,16 @@ def looks_like_refusal(reply: Column) -> Column:
 
 
 def parse_reply(reply: Column) -> Column:
-    """(answer, support) from a reply's JSON object, from its first brace to its last."""
+    """(answer, support) from a reply's JSON object, from its first brace to its last; where that is no JSON,
+    from the first object that can be read from the reply."""
     whole = F.try_parse_json(strip(reply))
     part = F.try_parse_json(F.nullif(F.regexp_extract(reply, r"(?s)\{.*\}", 0), F.lit("")))
-    usable = F.when(F.schema_of_variant(whole).startswith("OBJECT"), whole).otherwise(part)
+    plain = F.when(F.schema_of_variant(whole).startswith("OBJECT"), whole).otherwise(part)
+    usable = F.coalesce(plain, F.try_parse_json(json_object(F.when(plain.isNull() & F.contains(reply, F.lit("{")), reply))))
     support = F.try_variant_get(usable, "$.support", "string")
     return F.struct(F.try_variant_get(usable, "$.answer", "string").alias("answer"), F.when(support.rlike(r"\A[0-9]+\z"), support.try_cast("int")).alias("support"))
 
 
-def first_object(text: str | None) -> str | None:
-    """The first balanced {...} of a reply, fences aside; quotes and escapes are minded."""
-    depth, start, quoted, skip = 0, None, False, False
-    for i, c in enumerate(text or ""):
-        if skip:
-            skip = False
-        elif quoted:
-            skip, quoted = c == "\\", c != '"'
-        elif c == '"' and depth:
-            quoted = True
-        elif c == "{":
-            start, depth = (i, 1) if not depth else (start, depth + 1)
-        elif c == "}" and depth:
-            depth -= 1
-            if not depth:
-                return text[start : i + 1]
-    return None
-
-
-@F.pandas_udf(StringType())
-def json_object(replies: pd.Series) -> pd.Series:
-    """For replies that the plain parser can't read; Arrow batches, never row by row calls."""
-    return replies.map(first_object)
-
-
 def clamp_support(support: Column, n_hits: Column, max_chunks: int = 8) -> Column:
     return F.when(support.between(F.lit(1), F.least(n_hits, F.lit(max_chunks))), support)
 

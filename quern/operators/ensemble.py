@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import base64
-import json
-import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from quern.operators import answers as A
 from quern.operators import values as V
@@ -95,51 +92,3 @@ def page_images(spark: SparkSession, found: DataFrame, folder: str, render: Page
 
     kind = found.schema["qid"].dataType.simpleString()
     return found.join(files, "path").select("qid", "page", "content").mapInPandas(run, f"qid {kind}, image string")
-
-
-def _spans(text: str) -> Iterator[str]:
-    """Balanced {...} parts; either quote and escapes are minded."""
-    for m in re.finditer(r"\{", text):
-        depth, quote, skip = 0, "", False
-        for i in range(m.start(), len(text)):
-            c = text[i]
-            if skip:
-                skip = False
-            elif quote:
-                skip, quote = c == "\\", "" if c == quote else quote
-            elif c in "'\"":
-                quote = c
-            elif c in "{}":
-                depth += 1 if c == "{" else -1
-                if not depth:
-                    yield text[m.start() : i + 1]
-                    break
-
-
-def _mended(text: str) -> str:
-    """Python's literals, trailing commas and single quotes as JSON has them."""
-    for word, new in (("True", "true"), ("False", "false"), ("None", "null")):
-        text = re.sub(rf"\b{word}\b", new, text)
-    text = re.sub(r",\s*([}\]])", r"\1", text)
-    return text if '"' in text else text.replace("'", '"')
-
-
-def any_object(text: str | None) -> str | None:
-    """The first JSON object in a reply, as JSON: fences go, and what is nearly JSON is mended."""
-    plain = re.sub(r"^\s*```[a-zA-Z0-9]*\s*|\s*```\s*$", "", text or "").strip("` \n\r\t")
-    for part in (plain, *_spans(plain)):
-        for form in (part, _mended(part)):
-            try:
-                found = json.loads(form)
-            except ValueError:
-                continue
-            found = found[0] if isinstance(found, list) and found else found
-            if isinstance(found, dict):
-                return json.dumps(found, ensure_ascii=False)
-    return None
-
-
-@F.pandas_udf(StringType())
-def robust_object(replies: pd.Series) -> pd.Series:
-    """:func:`any_object` of replies that the plain parser can't read, by Arrow batches."""
-    return replies.map(any_object)

@@ -306,4 +306,5 @@ SELECT doc_id, page_number, num_pages, md5(coalesce(array_to_string(list_filter(
 b AS (SELECT g, string_agg(line, {NL} ORDER BY k) AS body FROM c GROUP BY 1)
 SELECT g, CASE WHEN g % 2 = 0 THEN '| 1 | 2 | 3 |' || {NL} || '| --- | --- | --- |' || {NL} || '| Customers of group ' || g || ' |  |  |' || {NL} || '| key | name | segment |'
 ELSE '| key | name | segment |' || {NL} || '| --- | --- | --- |' END || {NL} || body AS markdown FROM b""",
+    "object_recovery": "SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 5 < 4 THEN md5(text) END AS answer_md5, CASE WHEN (conv_id + turn) % 5 < 4 THEN 2 END AS support FROM conversations",
 }

@@ -497,6 +497,22 @@ def reply_parse(spark, sf_dir):
     return parsed_.select("event_id", F.col("r.answer").alias("answer"), A.clamp_support(F.col("r.support"), F.lit(20), 6).alias("support"), "refusal")
 
 
+@query
+def object_recovery(spark, sf_dir):
+    """Every turn as the answer in a reply that is JSON in prose, or only nearly JSON in one of four ways."""
+    c = table(spark, sf_dir, "conversations")
+    strict = F.to_json(F.struct(F.col("text").alias("answer"), F.lit(2).alias("support")))
+    python = F.replace(F.regexp_replace("text", r"([\\'])", r"\\$1"), F.lit("\n"), F.lit("\\n"))
+    k = (F.col("conv_id") + F.col("turn")) % 5
+    reply = (
+        F.when(k == 0, F.concat(F.lit("```json\n"), strict, F.lit("\n``` as {asked}"))).when(k == 1, F.concat(F.lit("It's {'answer': '"), python, F.lit("', 'support': 2, 'sure': True,}")))
+        .when(k == 2, F.concat(F.lit("{oops} then "), F.regexp_replace(strict, r"\}$", ", }"), F.lit(" {")))
+        .when(k == 3, F.concat(F.lit('{"wrapped": '), strict)).otherwise(F.concat(F.lit("{ not closed "), F.lit("} ] }")))
+    )
+    found = once(c.select("conv_id", "turn", reply.alias("reply")), "r", A.parse_reply(F.col("reply")))
+    return found.select("conv_id", "turn", F.md5("r.answer").alias("answer_md5"), F.col("r.support").alias("support"))
+
+
 @query
 def fallback_reply(spark, sf_dir):
     k = F.col("event_id") % 4

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import answers as A
-from quern.operators import merge, questions
+from quern.operators import merge, questions, recovery
 from quern.operators import values as V
 from quern.schema import VALUE
 
@@ -100,7 +100,7 @@ def test_support(spark):
 
 def test_replies(spark):
     df = spark.createDataFrame([('{"answer": "x", "support": 2}',), ('so: {"answer": 5} ok',), ("I'm sorry",), ('```{"a": "}"} tail {',), (None,)], "r string")
-    rows = df.select(A.parse_reply(F.col("r")).alias("p"), A.looks_like_refusal(F.col("r")).alias("no"), A.json_object("r").alias("o")).collect()
+    rows = df.select(A.parse_reply(F.col("r")).alias("p"), A.looks_like_refusal(F.col("r")).alias("no"), recovery.json_object("r").alias("o")).collect()
     assert [r.p.answer for r in rows[:2]] == ["x", "5"] and rows[0].p.support == 2 and rows[2].no and rows[3].o == '{"a": "}"}' and rows[4].o is None
 
 

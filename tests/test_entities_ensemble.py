@@ -2,12 +2,15 @@
 
 import base64
 import json
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quern.config import Ocr
-from quern.operators import ensemble, entities
+from quern.operators import ensemble, entities, recovery
 from quern.operators import values as V
 from quern.plans import entry
 from quern.sources import files, parsed, sinks, workbooks
@@ -60,13 +63,32 @@ def test_fallback_replies_and_verdicts(spark):
 
 @pytest.mark.parametrize("reply, want", [
     ('```json\n{"answer": "a"}\n```', {"answer": "a"}), ("Sure: {'answer': True, 'support': None,}", {"answer": True, "support": None}), ('x {"a": "}"} y', {"a": "}"}),
-    ('[{"a": 1}]', {"a": 1}), ("{oops} then {\"a\": 2}", {"a": 2}), ("nothing", None), (None, None), ('{"a": "it\'s"}', {"a": "it's"}),
+    ('[{"a": 1}]', {"a": 1}), ("{oops} then {\"a\": 2}", {"a": 2}), ("nothing", None), (None, None), ('{"a": "it\'s"}', {"a": "it's"}), ("it's {answer: 'b\\'c\"', list: [1, 2.5, [],],}", {"answer": "b'c\"", "list": [1, 2.5, []]}),
+    ('{"a": {"b": 1}', {"b": 1}), ('{"a": 1, {"b": 2}', {"b": 2}), ("{'a': 'line\nfeed'}", {"a": "line\nfeed"}), ('{"a" 1} {"', None), ("{", None), ("}{", None), ("{}", {}), ("{\"a: 1} {'b': 2}", {"b": 2}), ("{1: 2}", {"1": 2}),
 ])
-def test_robust_object(reply, want):
-    found = ensemble.any_object(reply)
+def test_recovered(reply, want):
+    found = recovery.recovered(reply)
     assert (found and json.loads(found)) == want
 
 
+_VALUES = st.recursive(st.none() | st.booleans() | st.integers() | st.text(), lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(), x, max_size=4), max_leaves=12)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.text(), _VALUES, max_size=4), st.text(st.characters(blacklist_characters="{}")), st.text(), st.booleans())
+def test_recovered_from_prose(made, before, after, python):
+    """Any object behind any prose without braces is found, as JSON or as Python writes it."""
+    found = recovery.recovered(before + (repr(made) if python and "\\" not in repr(made) else json.dumps(made)) + after)
+    assert json.loads(found) == made
+
+
+def test_recovery_is_linear():
+    for text in ("{" * 100_000, '{"a": ' * 30_000, "{'a': 1, " * 30_000, "{\"" * 30_000, "{a" * 50_000):
+        began = time.time()
+        recovery.recovered(text)
+        assert time.time() - began < 5
+
+
 def test_ensemble_and_page_images(spark, tmp_path):
     hits = spark.createDataFrame([(1, 1, "alpha has 5 parts", "A", 3), (1, 2, "beta 7", "B", 4), (2, 1, "no number", "C", 1)], "qid bigint, rank int, text string, doc string, page bigint")
     asked = spark.createDataFrame([(1, "How many parts?", "int"), (2, "Parts?", "int"), (3, "none", "str")], "qid bigint, question string, answer_type string")
