@@ -294,12 +294,12 @@ def html_tables(spark, sf_dir):
 
 
 @F.udf("binary")
-def _text_pdf(text: str, packed: bool):
+def _text_pdf(text, packed):
     return pdf_write.write_pdf(pdf_write.text_sheets(text or "", 20), packed)
 
 
 @F.udf("binary")
-def _table_pdf(title: str, rows: list, packed: bool):
+def _table_pdf(title, rows, packed):
     """A table of three columns; with a title it has rules, and the title spans the first row."""
     xs, top = (40.0, 120.0, 330.0, 520.0), 740.0
     lines = ([(title, "", "")] if title else []) + [("key", "name", "segment")] + [tuple(r) for r in rows]

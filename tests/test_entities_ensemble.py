@@ -43,9 +43,9 @@ def test_bilingual_rules(spark):
 
 def test_bilingual_parts(spark):
     row = spark.createDataFrame([("JSC Halyk Bank, LLP",)], "s string").select(
-        entities.without_legal_forms(F.lit("JSC LLC Halyk Bank, LLP")).alias("a"), entities.without_legal_forms(F.lit("Акционерное  общество «Казахтелеком»")).alias("b"),
-        entities.language(F.lit("Қазақтелеком")).alias("c"), entities.tail_segment(F.lit("a, b: c d")).alias("d"), entities.is_only_legal_forms(F.lit("АО и ТОО")).alias("e"),
-        entities.is_only_legal_forms(F.lit("123")).alias("f"), entities.is_generic(F.lit("«Физические  лица»")).alias("g"), entities.language(F.lit("12")).alias("h"),
+        entities.bare_name(F.lit("JSC LLC Halyk Bank, LLP")).alias("a"), entities.bare_name(F.lit("Акционерное  общество «Казахтелеком»")).alias("b"),
+        entities.script_language(F.lit("Қазақтелеком")).alias("c"), entities.anchor_of(F.lit("a, b: c d")).alias("d"), entities.facts(F.lit("АО и ТОО"), F.lit(""))["only_forms"].alias("e"),
+        entities.facts(F.lit("123"), F.lit(""))["only_forms"].alias("f"), entities.facts(F.lit("«Физические  лица»"), F.lit(""))["generic"].alias("g"), entities.script_language(F.lit("12")).alias("h"),
     ).first()
     assert tuple(row) == ("Halyk Bank", "Казахтелеком»", "kk", "c d", True, False, True, "unknown")
 
