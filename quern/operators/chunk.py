@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quern.config import Chunking, CleanRules
 from quern.functions.plan import let, once
 from quern.functions.text import LINE_END, clean, is_blank, occurrences, strip
-from quern.session import durable, small
+from quern.session import durable, small, spread
 
 CHARS_PER_TOKEN = 4
 #: Pages of one numbering block, see :func:`numbered`.
@@ -91,7 +91,7 @@ def chunk_pages(pages: DataFrame, cfg: Chunking, rules: CleanRules = CleanRules(
 
     Pages are cut once and written; only their chunk counts are shuffled, and go back to the pages
     as a broadcast while they are small."""
-    cut = durable(cut_pages(pages, cfg, rules).withColumn("n", F.size("chunks")).withColumn("row", F.monotonically_increasing_id()))
+    cut = durable(cut_pages(spread(pages), cfg, rules).withColumn("n", F.size("chunks")).withColumn("row", F.monotonically_increasing_id()))
     first = durable(numbered(cut.select("row", "doc", "page", "n")))
     each = cut.join(small(first), "row").select("doc", "page", "first", F.posexplode("chunks").alias("place", "x"))
     return each.select("doc", (F.col("first") + F.col("place")).cast("int").alias("chunk_id"), "page", "x.start", "x.end", "x.text")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from quern.session import durable, small
 
 #: Questions that go to a task at once, vectors that it reads at once, and questions of one matrix product.
 MAX_QUERIES, VECTOR_BLOCK, QUERY_BLOCK = 20_000, 16_384, 128
+#: Chunks whose words are compared with the questions' at once.
+WORD_BLOCK = 1024
 #: Digits of a score that decide on a rank; sums over a shuffle may differ in the last ones.
 DIGITS = 9
 
@@ -85,6 +88,63 @@ def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return out.join(small(names), "q").select("qid", "doc", "chunk_id", "dense")
 
 
+def _shared(k: int, names: np.ndarray, terms: pa.Array, owner: np.ndarray, first: np.ndarray, sizes: np.ndarray):
+    """(_n, doc, chunk_id, dense) of a block: of each document and question the ``k`` chunks that hold most of its words.
+
+    Question q has the number ``names[q]`` and ``sizes[q]`` words. Question words are numbered; the questions of word w are ``owner[first[w] : first[w + 1]]``."""
+    def block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        words = rows.column("terms").combine_chunks()
+        row = words.value_parent_indices().to_numpy()
+        number = pc.index_in(words.flatten(), terms).fill_null(-1).to_numpy()
+        row, number = row[number >= 0], number[number >= 0]
+        times = first[number + 1] - first[number]
+        at = np.repeat(first[number] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+        chunk = rows.column("chunk_id").to_numpy()
+        doc = rows.column("doc").combine_chunks()
+        code = doc.dictionary_encode().indices.fill_null(-1).to_numpy()
+        pair, n = np.unique(owner[at].astype(np.int64) * rows.num_rows + np.repeat(row, times), return_counts=True)
+        q, r = pair // rows.num_rows, pair % rows.num_rows
+        dense = n / sizes[q]
+        order = np.lexsort((chunk[r], -dense, code[r], q))
+        group = q[order] * rows.num_rows + code[r][order]
+        top = order[np.arange(len(order)) - np.searchsorted(group, group) < k]
+        yield pa.RecordBatch.from_arrays([pa.array(names[q[top]]), doc.take(pa.array(r[top])), pa.array(chunk[r[top]]), pa.array(dense[top])], ["_n", "doc", "chunk_id", "dense"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, WORD_BLOCK):
+                yield from block(pa.Table.from_batches([batch.slice(at, WORD_BLOCK)]))
+
+    return run
+
+
+def shared_words_top_k(chunks: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """(qid, doc, chunk_id, dense): of each document the ``k`` chunks with the largest share of a question's distinct
+    words, ties to the smaller chunk; chunks without any of them don't count.
+
+    ``chunks`` is (doc, chunk_id, terms), ``questions`` (qid, words), both without repeats in a row. As in
+    :func:`dense_top_k`, MAX_QUERIES questions at most go to the tasks at once; each task scores its blocks of chunks with them
+    and passes on the ``k`` best of a block, document and question, so pairs are neither joined nor shuffled."""
+    asked = durable(questions.filter(F.size("words") > 0).withColumn("_n", F.monotonically_increasing_id()))
+    blocks = max(1, -(-asked.count() // MAX_QUERIES))
+    kinds = {f.name: f.dataType.simpleString() for f in chunks.schema}
+    out = None
+    for b in range(blocks):
+        mine = asked.filter(F.pmod(F.xxhash64("_n"), F.lit(blocks)) == b).select("_n", "words").orderBy("_n").toArrow()
+        words = mine.column("words").combine_chunks()
+        coded = words.flatten().dictionary_encode()
+        order = np.argsort(coded.indices.to_numpy(), kind="stable")
+        number = coded.indices.to_numpy()[order]
+        owner = words.value_parent_indices().to_numpy()[order]
+        first = np.searchsorted(number, np.arange(len(coded.dictionary) + 1))
+        sizes = pc.list_value_length(words).to_numpy()
+        schema = f"_n bigint, doc {kinds['doc']}, chunk_id {kinds['chunk_id']}, dense double"
+        found = chunks.select("doc", "chunk_id", "terms").mapInArrow(_shared(k, mine.column("_n").to_numpy(), coded.dictionary, owner, first, sizes), schema)
+        top = found.withColumn("_r", rank_by(["_n", "doc"], F.desc("dense"), "chunk_id")).filter(F.col("_r") <= k).drop("_r")
+        out = top if out is None else out.unionByName(top)
+    return out.join(small(asked.select("qid", "_n")), "_n").select("qid", "doc", "chunk_id", "dense")
+
+
 def hybrid(candidates: DataFrame, lexical: DataFrame | None, cfg: Hybrid = Hybrid()) -> DataFrame:
     """With ``lex`` and ``score``: lexical scores re-weigh the dense candidates, they add none."""
     if lexical is None or not cfg.enable:

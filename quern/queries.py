@@ -149,19 +149,12 @@ def tfidf_query_cosine(spark, sf_dir):
     return lex.groupBy("qid", "doc").agg(F.count("*").alias("n"), F.round(F.sum("lex"), 5).alias("total"), F.round(F.max("lex"), 6).alias("best"))
 
 
-def _bag(spark, sf_dir):
-    """Dense scores that SQL can give too: share of the question's words in the chunk, as the vector stand-in."""
-    found, counts, vocab = _lexical(spark, sf_dir)
-    q = asked(spark, sf_dir)
-    words = F.array_distinct(T.tokens("question"))
-    words = durable(once(q, "words", words).select("qid", F.size("words").alias("n"), F.explode("words").alias("term")))
-    shared = counts.select("doc", "chunk_id", "term").join(small(words), "term").groupBy("qid", "doc", "chunk_id").agg((F.count("*") / F.first("n")).alias("dense"))
-    return found, counts, vocab, shared
-
-
 def _hybrid_hits(spark, sf_dir, per_doc):
-    found, counts, vocab, scored = _bag(spark, sf_dir)
-    cand = durable(scored.withColumn("_r", retrieve.rank_by(["qid", "doc"], F.desc("dense"), "chunk_id")).filter(F.col("_r") <= per_doc).drop("_r"))
+    """Candidates by dense scores that SQL can give too: the share of the question's words in the chunk stands in for vectors."""
+    found, counts, vocab = _lexical(spark, sf_dir)
+    words = once(asked(spark, sf_dir), "words", F.array_distinct(T.tokens("question"))).select("qid", "words")
+    bags = found.select("doc", "chunk_id", F.array_distinct(T.tokens("text")).alias("terms"))
+    cand = durable(retrieve.shared_words_top_k(bags, words, per_doc))
     lex = index.cosine(index.tfidf(counts, vocab), index.query_weights(asked(spark, sf_dir), vocab), cand)
     hits = retrieve.hybrid(cand, lex)
     return found, hits.withColumn("score", F.round("score", 9))

@@ -53,6 +53,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to more tasks where its scan has fewer than twice the cores, as a single file has; else as it is.
+
+    So only inputs that are small for the cluster are shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back.
 
