@@ -8,12 +8,15 @@ here, on labelled findings."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.plan import let, once
 from quern.llm.tables import durable
 
 #: Characters of a candidate at least; words of the dictionary; labelled findings made for training.
@@ -42,23 +45,64 @@ def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY)
     return [r.w for r in top.collect()]
 
 
+#: Items whose running values are worked out together, see :func:`_running`.
+BLOCK = 256
+
+
+def _running(items: Column, first: Callable[[], Column], add: Callable[[Column, Column], Column]) -> Column:
+    """For each item what ``add`` has made of ``first()`` and the items before it, as an array.
+
+    An array grows by copying, so all at once would cost the square of the items. Here arrays grow within blocks of BLOCK items
+    and over the blocks' results: 100,000 items cost 13 million short copies."""
+    grown = lambda xs, start: F.aggregate(
+        xs, F.struct(start.alias("now"), F.slice(F.array(start), 1, 0).alias("before")),
+        lambda s, x: F.struct(add(s["now"], x).alias("now"), F.array_append(s["before"], s["now"]).alias("before")),
+    )
+
+    def over(blocks: Column) -> Column:
+        starts = F.aggregate(
+            blocks, F.struct(first().alias("now"), F.slice(F.array(first()), 1, 0).alias("before")),
+            lambda s, b: F.struct(F.aggregate(b, s["now"], add).alias("now"), F.array_append(s["before"], s["now"]).alias("before")),
+        )["before"]
+        return let(F.struct(blocks.alias("blocks"), starts.alias("starts")), lambda x: F.flatten(F.transform(x["blocks"], lambda b, i: grown(b, F.get(x["starts"], i))["before"])))
+
+    cut = F.transform(F.sequence(F.lit(0), F.ceil(F.size(items) / BLOCK).cast("int") - 1), lambda i: F.slice(items, i * BLOCK + 1, BLOCK))
+    return F.when(F.size(items) > 0, let(cut, over)).otherwise(F.slice(F.array(first()), 1, 0))
+
+
 def _spans(pattern: str) -> Column:
     """An array of all matches in the text: ``hit``, the characters (``offset``) and runs of blanks
     (``position``) before it, and the text around it back to the last match and up to the next."""
     gaps, hits = F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     blanks = lambda x: F.regexp_count(x, F.lit(r"\s+"))
-    pairs = F.transform(hits, lambda h, k: F.struct(
-        h.alias("hit"), F.get(gaps, k).alias("gap"), F.concat(F.coalesce(F.get(hits, k - 1), F.lit("")), F.get(gaps, k)).alias("lead"),
-        F.concat(F.get(gaps, k + 1), F.coalesce(F.get(hits, k + 1), F.lit(""))).alias("rest"),
-    ))
 
-    def add(s: Column, x: Column) -> Column:
-        offset, position = s["offset"] + F.length(x["gap"]), s["position"] + blanks(x["gap"])
-        span = F.struct(x["hit"].alias("hit"), offset.alias("offset"), position.alias("position"), F.right(x["lead"], F.lit(AROUND)).alias("lead"), F.left(x["rest"], F.lit(AROUND)).alias("rest"))
-        return F.struct((offset + F.length(x["hit"])).alias("offset"), (position + blanks(x["hit"])).alias("position"), F.concat(s["out"], F.array(span)).alias("out"))
+    def pairs(both: Column) -> Column:
+        gap = lambda k: F.coalesce(F.get(both["gaps"], k), F.lit(""))
+        hit = lambda k: F.coalesce(F.get(both["hits"], k), F.lit(""))
+        return F.transform(both["hits"], lambda h, k: F.struct(
+            h.alias("hit"), F.length(gap(k)).alias("skipped"), blanks(gap(k)).alias("blanks"), F.length(h).alias("long"), blanks(h).alias("inner"),
+            F.right(F.concat(hit(k - 1), gap(k)), F.lit(AROUND)).alias("lead"), F.left(F.concat(gap(k + 1), hit(k + 1)), F.lit(AROUND)).alias("rest"),
+        ))
+
+    def placed(found: Column) -> Column:
+        none = lambda: F.struct(F.lit(0).alias("offset"), F.lit(0).alias("position"))
+        add = lambda s, x: F.struct((s["offset"] + x["skipped"] + x["long"]).alias("offset"), (s["position"] + x["blanks"] + x["inner"]).alias("position"))
+        span = lambda x, s: F.struct(x["hit"].alias("hit"), (s["offset"] + x["skipped"]).alias("offset"), (s["position"] + x["blanks"]).alias("position"), x["lead"].alias("lead"), x["rest"].alias("rest"))
+        return F.zip_with(found, _running(found, none, add), span)
+
+    return let(let(F.struct(gaps.alias("gaps"), hits.alias("hits")), pairs), placed)
+
+
+def _outside(runs: Column, values: Column) -> Column:
+    """Runs, and the values that are inside none, by their offsets: one pass over both with the farthest end of a run so far."""
+    marked = lambda xs, kind: F.transform(xs, lambda x: F.struct(x["offset"].alias("offset"), F.lit(kind).alias("kind"), (x["offset"] + F.length(x["hit"])).alias("end"), x.alias("x")))
+
+    def kept(every: Column) -> Column:
+        ends = _running(every, lambda: F.lit(-1), lambda s, x: F.greatest(s, F.when(x["kind"] == 0, x["end"]).otherwise(-1)))
+        both = F.zip_with(every, ends, lambda x, end: F.struct(x["kind"].alias("kind"), (x["end"] > end).alias("out"), x["x"].alias("x")))
+        return F.transform(F.filter(both, lambda b: (b["kind"] == 0) | b["out"]), lambda b: b["x"])
 
-    none = F.array().cast("array<struct<hit:string,offset:int,position:int,lead:string,rest:string>>")
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("offset"), F.lit(0).alias("position"), none.alias("out")), add, lambda s: s["out"])
+    return let(F.array_sort(F.concat(marked(runs, 0), marked(values, 1))), kept)
 
 
 def _value(x: Column) -> Column:
@@ -79,16 +123,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     both from 0; ``word`` is the finding with what stands around it without a blank, ``lead`` and
     ``rest`` (up to the neighbouring runs); ``before``, ``last`` and ``after`` are neighbouring words.
 
-    Null and empty texts have no rows; repeated rows give theirs each; ids may be null; other columns are not read."""
+    Null and empty texts have no rows; repeated rows give theirs each; ids may be null; other columns are not read. The cost is
+    linear in a text's length, and grows with its findings n as n * (BLOCK + n / BLOCK ** 2) short copies."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").rlike(_LIKELY) | F.col("text").rlike(_VALUE))
-    texts = texts.select("id", "text", _spans(_RUN).alias("runs"), F.transform(_spans(_VALUE), _value).alias("values"), F.split("text", r"\s+").alias("words"))
+    texts = once(once(texts, "runs", _spans(_RUN)), "values", F.transform(_spans(_VALUE), _value)).withColumn("words", F.split("text", r"\s+"))
     at = lambda x, d: F.coalesce(F.get("words", x["position"] + d), F.lit(""))
     beside = lambda x, side, k: F.element_at(F.split(x[side], r"\s", -1), k)
     likely = lambda x: x["hit"].rlike("[0-9]") | at(x, -1).rlike(r"[=:]$") | beside(x, "lead", -1).rlike(r"[=:][\"']?$")
-    end = lambda x: x["offset"] + F.length(x["hit"])
-    texts = texts.withColumn("runs", F.filter("runs", likely))
-    alone = F.filter("values", lambda v: ~F.exists("runs", lambda r: (r["offset"] <= v["offset"]) & (end(r) >= end(v))))
-    around = F.transform(F.concat("runs", alone), lambda x: F.struct(
+    texts = once(texts, "found", _outside(F.filter("runs", likely), F.col("values")))
+    around = F.transform("found", lambda x: F.struct(
         x["position"].alias("position"), x["offset"].alias("offset"), x["hit"].alias("finding"), beside(x, "lead", -1).alias("lead"), beside(x, "rest", 1).alias("rest"),
         F.concat_ws(" ", at(x, -3), at(x, -2), at(x, -1)).alias("before"), at(x, -1).alias("last"), at(x, 1).alias("after"),
     ))
@@ -144,10 +187,9 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
         (0, F.concat(F.lit("password: "), word("b5", 8))), (0, F.concat(F.lit("auth = "), q, word("b6", 9), q)), (0, F.concat(F.lit("secret: "), F.initcap(word("b7", 7)), F.lit("."))),
         (0, F.concat(F.lit("access_key = ${"), F.upper(word("b8", 6)), F.lit("_"), F.upper(word("b9", 3)), F.lit("}"))), (0, F.concat(F.lit("password="), q, F.lit("<your-"), word("c2", 5), F.lit(">"), q)),
     ]
-    text, label = F.lit(""), F.lit(0)
-    for k, (y, body) in enumerate(cases):
-        text, label = F.when(kind == k, F.concat(lead, body, tail)).otherwise(text), F.when(kind == k, y).otherwise(label)
-    return spark.range(n).select("id", text.alias("text"), label.cast("double").alias("label"))
+    # an array of all cases, of which each row takes one: nested conditions would make one method too long to compile
+    case = F.element_at(F.array(*[F.struct(F.lit(float(y)).alias("label"), body.alias("body")) for y, body in cases]), (kind + 1).cast("int"))
+    return once(spark.range(n), "case", case).select("id", F.concat(lead, F.col("case.body"), tail).alias("text"), F.col("case.label").alias("label"))
 
 
 def fit(labelled: DataFrame, words: list[str]):

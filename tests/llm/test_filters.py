@@ -1,6 +1,7 @@
 """Line dedup, decontamination, URL rules, secrets, HTML, toxicity and quality."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -267,6 +268,31 @@ def test_nothing_of_the_article_is_cut_off():
     assert html_extract.main_blocks(around % f"<div><section>{body}</section><section><p>{'</p><p>'.join(last)}</p></section></div>") == [*long, *last]
 
 
+def test_html_comments_and_titles():
+    long, says = LONG.strip(), html_extract.main_blocks
+    main = f"<p>{long}</p><p>{long} Again.</p>"
+    want, note = [long, f"{long} Again."], "<p>I disagree with this, said a reader at some length.</p>"
+    for after in (
+        f'<section id="reader-responses">{note}</section>', f"<div><h2>Comments</h2><article>{note}</article></div>", f'<article class="comment">{note}</article>', f"<div><header><h3>Kommentare (2)</h3></header><div>{note}</div></div>",
+        f"<h2>3 Comments</h2><div>{note}</div>", f'<div id="CybotCookiebotDialog">{note}</div>', f"<section><article>{note}</article><article>{note}</article></section>", f"<h4>Leave a reply</h4>{note}",
+    ):
+        for tag in ("article", "main"):
+            if tag == "article" or "<section><article>" not in after:
+                assert says(f"<body><nav>Home</nav><{tag}>{main}{after}</{tag}></body>") == want, (tag, after)
+    assert says(f"<div class=post>{main}</div><div><h3>3 Comments</h3><div>{note}</div></div>") == want
+    assert says(f"<h1>The title</h1><article>{main}</article>") == ["The title", *want]
+    assert says(f"<article>{main}</article><article><p>Short.</p></article>") == [*want, "Short."]
+    assert says(f"<article><article>{main}</article></article>") == want  # the outer one has no text of its own
+    assert says(f"<article>{main}<h2>Discussion</h2><p>Of results.</p><div class='cookie-recipe'><p>Dough.</p></div></article>") == [*want, "Discussion", "Of results.", "Dough."]
+
+
+@pytest.mark.parametrize("page", ["<div class=x>" * 40_000 + "text", "<div class=x>" * 20_000 + "</b></section></p>" * 20_000 + "text", "<ul><li><div>" * 15_000 + "text"])
+def test_html_deep_nesting_is_linear(page):
+    began = time.time()
+    assert html_extract.main_blocks(page) == ["text"]
+    assert time.time() - began < 10
+
+
 def test_html_edges(spark):
     assert html_extract.main_blocks(None) == html_extract.main_blocks("") == html_extract.main_blocks("<nav>x</nav><script>y") == []
     assert html_extract.main_blocks("bare &lt;text&gt;") == ["bare <text>"] and html_extract.main_blocks("<p>a<p>b</div></p>c") == ["a", "b", "c"]
@@ -391,3 +417,33 @@ def test_logistic_regression_fits():
     y = (x[:, 0] - 2 * x[:, 1] > 0).astype(float)
     assert ((predict(x, fit_logistic(x, y)) >= 0.5) == y).mean() > 0.97
     assert predict(x, fit_logistic(x, np.ones(500))).min() > 0.99 and len(fit_logistic(x[:0], y[:0])) == 5
+
+
+@pytest.mark.parametrize("toxic", [11, 51])
+def test_toxicity_of_few_labels(spark, toxic):
+    """With few labels too the texts that share telling words are found, and clean ones left alone."""
+    rng = random.Random(toxic)
+    bad, plain = [f"vile{k}" for k in range(6)], [f"word{k}" for k in range(300)]
+    rows = []
+    for k in range(8 * toxic):
+        words = rng.choices(plain, k=60)
+        is_toxic = k % 8 == 0
+        rows.append((k, " ".join(words + (rng.sample(bad, 3) if is_toxic else [])), int(is_toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    found = toxicity.score(docs, toxicity.fit(docs, docs.select("doc_id", "toxic"))).join(docs.select("doc_id", F.col("toxic").alias("y")), "doc_id").collect()
+    assert sum(r.toxic for r in found if r.y) >= 0.9 * toxic and not any(r.toxic for r in found if not r.y)
+    assert len({r.p_toxic for r in found}) > 2
+
+
+def test_secrets_of_one_text_with_very_many(spark):
+    """100,000 findings in one text, in seconds; each in its place."""
+    import hashlib
+
+    keys = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(100_000)]
+    words = [k if i % 2 else f'token="{k[:9]}!"' for i, k in enumerate(keys)]
+    text = " ".join(words)
+    began = time.time()
+    rows = secret_scan.candidates(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).select("position", "offset", "finding").collect()
+    assert time.time() - began < 60
+    assert len(rows) == len(words) and sorted(r.position for r in rows) == list(range(len(words)))
+    assert all(text[r.offset : r.offset + len(r.finding)] == r.finding and r.finding in words[r.position] for r in rows)
