@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.linear import fit_logistic, logit, out_of_fold, predict
-from quern.llm.tables import pieces, text_bytes
+from quern.llm.tables import durable, pieces, text_bytes
 from quern.llm.words import U64, hashes
 
 #: Clusters of the toxic texts that are categories of their own where there is but one label column.
@@ -28,8 +28,13 @@ KINDS = 2
 MAX_LABELLED, MAX_WORDS = 6_000, 1_500
 #: Besides whole words, their first so many bytes are features, for words that share a stem.
 PREFIXES = (4, 5, 6, 7)
-#: A word is a feature only if its chi-square against the label is over this.
-MIN_CHI2 = 40.0
+#: A word is a feature only if its chi-square against the label would be reached by chance, among all words that are
+#: tested, with this probability at most; but the LEAST_WORDS best words always are.
+CHANCE, LEAST_WORDS = 1e-4, 60
+#: Texts that hold (or lack) a word at least, for it to be tested.
+LEAST_TEXTS = 3
+#: Bytes of word sets that the driver receives at most; of more labelled rows the first by a hash of their words.
+MAX_BYTES = 256 << 20
 #: Rows whose features are held as one dense matrix.
 VIEW_ROWS = 1024
 FOLDS, L2, STEPS = 5, 1e-4, 400
@@ -114,15 +119,20 @@ def _telling(of: np.ndarray, flat: np.ndarray, y: np.ndarray) -> np.ndarray:
     both = np.bincount(code, weights=y[of] if n else None, minlength=len(seen))
     share = pos / max(n, 1)
     spread = df * share * (1 - share) * (1 - df / max(n, 1)) + 1e-9
-    chi2 = (both - df * share) ** 2 / spread * (np.minimum(df, n - df) >= 5)
+    tested = np.minimum(df, n - df) >= LEAST_TEXTS
+    chi2 = (both - df * share) ** 2 / spread * tested
+    # beyond x, chi-square with one degree of freedom has about exp(-x / 2) of its mass, and less
+    cut = 2 * np.log(max(1, tested.sum()) / CHANCE)
     best = np.argsort(-chi2, kind="stable")[:MAX_WORDS]
-    return np.sort(seen[best[chi2[best] >= MIN_CHI2]])
+    good = (chi2[best] >= cut) | ((np.arange(len(best)) < LEAST_WORDS) & (chi2[best] > 0))
+    return np.sort(seen[best[good]])
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_cols: tuple[str, ...] = ("toxic",), max_labelled: int = MAX_LABELLED
 ) -> Chain:
-    """A chain fitted on at most ``max_labelled`` labelled document rows, the first by a hash of the id.
+    """A chain fitted on at most ``max_labelled`` labelled document rows, the first by a hash of the id; on fewer where their
+    word sets have over MAX_BYTES together.
 
     Rows with a null label and labels without a document are left out; repeated labels of an id are
     averaged and rounded; texts with the same words count once. Without a toxic label
@@ -135,7 +145,10 @@ def fit(
     picked = picked.select("_id", F.array(*[f"_y{k}" for k in range(len(label_cols))]).alias("y"))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     joined = source.join(F.broadcast(picked), F.col("id") == F.col("_id")).select("text", "y").mapInArrow(_distinct_words, "words binary, y array<int>")
-    rows = joined.orderBy(F.xxhash64("words"), "y").limit(max_labelled).toArrow()  # as ids may repeat
+    joined = durable(joined)
+    n, size = joined.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
+    most = max_labelled if size <= MAX_BYTES else max(1, int(min(n, max_labelled) * MAX_BYTES / size))
+    rows = joined.orderBy(F.xxhash64("words"), "y").limit(most).toArrow()  # as ids may repeat
     y_of: dict[bytes, list[list[int]]] = {}
     for words, y in zip(rows.column("words").to_pylist(), rows.column("y").to_pylist()):
         y_of.setdefault(words, []).append(y)
