@@ -4,13 +4,17 @@ The events are cut into lines, one for each block of text. Lines inside elements
 never hold the article (menus, footers, forms, adverts ...) are set aside by element
 name, role, or class and id words; inside an article or main element only by names that say nothing else. Each other line has a text-to-tag ratio; the ratios are
 smoothed with a Gaussian over neighbouring lines and cut into two clusters at the
-threshold between their means. The content region is the outermost article or main element
-around nearly all text of the high cluster, or without one the innermost element that holds
-all of that text; every line inside it is kept, so short paragraphs of the article stay."""
+threshold between their means. The content region is all outermost article and main elements, if
+they hold most text of the high cluster, else the innermost element that holds
+all of that text; every line inside it is kept, so short paragraphs of the article stay, and so is a top heading before it.
+
+Reader comments are known by structure: an article inside an article that has paragraphs of its own, and
+what follows a heading that says so, to the end of the element that the heading stands in."""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -32,7 +36,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 BESIDE_WORDS = (
     "nav navbar navigation menu menus breadcrumb breadcrumbs footer bottombar sidebar aside rail ad ads advert advertisement adverts adsense sponsor sponsored "
     "promo promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay subscribe subscription newsletter signup login share sharing social "
-    "related recommended recommendations comment comments commentlist disqus replies reply respond widget toolbar search pagination pager copyright legal disclaimer skip hidden"
+    "related recommended recommendations comment comments commentlist disqus replies reply respond response responses feedback kommentare commentaires comentarios widget toolbar search pagination pager copyright legal disclaimer skip hidden"
 ).split()
 BESIDE = re.compile(r"(?:^|[^a-z])(?:" + "|".join(BESIDE_WORDS) + r")(?:$|[^a-z])")
 #: Words that may stand beside those in the name of a part of the page; other words make it the name of something else.
@@ -44,6 +48,15 @@ PLACE_WORDS = frozenset(
 HOLDERS = frozenset("div section ul ol dl form table details figure center".split())
 #: Those that mark the site's head, unless they are inside the article.
 HEAD = re.compile(r"(?:^|[^a-z])(?:header|masthead|topbar|banner)(?:$|[^a-z])")
+#: A name of one of these and one of those is that of a notice, whatever else it says.
+NOTICE = re.compile(r"cookie|consent|gdpr")
+NOTICE_SHAPE = re.compile(r"dialog|banner|notice|popup|modal|overlay|alert|wall|bar\b|bot")
+#: Headings of reader comments, in the languages of the pages.
+COMMENTS = re.compile(
+    r"(?i)(?:\d+\s+)?(?:(?:reader |user )?comments?|replies|\d+ responses|kommentare?|\d+ antworten|(?:\d+ )?commentaires?|\d+ réponses|comentarios?|\d+ respuestas"
+    r"|(?:leave|add|post|write) a (?:reply|comment)|schreibe? einen kommentar|laisser un commentaire|deja un comentario)(?:\s*\(\d+\))?\s*[:.]?"
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements a start tag closes when they are open inside the nearest of the second set.
 CLOSES = {
     "p": (frozenset({"p"}), frozenset("article section div body td th li blockquote main dd figure details".split())),
@@ -62,8 +75,8 @@ PARTS = frozenset("p span a label h1 h2 h3 h4 h5 h6 li td th tr pre blockquote d
 #: page's text is a frame around the article, if no article or main element, and no more than
 #: the second share of the text, stands outside all such elements.
 FRAME_SHARE, OUTSIDE_SHARE = 0.5, 0.25
-#: Share of the high cluster's text that an article or main element must hold to be the content region.
-REGION_SHARE = 0.9
+#: Article and main elements are the content region if they hold more than this share of the high cluster's text.
+MOST = 0.5
 #: Standard deviation, in lines, of the smoothing.
 SIGMA = 1.5
 
@@ -81,6 +94,7 @@ class Lines(HTMLParser):
         self.parent, self.names, self.marks = [-1], [""], [0]  # marks: 1 never the article's, 2 beside it by class or id
         self.text: list[str] = []
         self.tags = 0
+        self.open: Counter[str] = Counter()  # names on the stack
         self.out: list[tuple[str, int, int]] = []
 
     def cut(self) -> None:
@@ -92,9 +106,9 @@ class Lines(HTMLParser):
     def mark(self, tag: str, attrs: list) -> int:
         if tag in NEVER:
             return 1
-        inside = lambda: any(x[0] in ("article", "main") for x in self.stack)
+        inside = self.open["article"] or self.open["main"]
         if tag == "header":
-            return int(not inside())
+            return int(not inside)
         if tag == "form":
             return 2
         for key, raw in attrs:
@@ -103,17 +117,20 @@ class Lines(HTMLParser):
                 return 1
             if key == "style" and re.search(r"display\s*:\s*none", value):
                 return 1
-            if key not in ("class", "id") or tag in ("html", "body", "article", "main"):
+            if key not in ("class", "id") or tag in ("html", "body", "main") or tag == "article" and not inside:
                 continue
-            if not inside():
+            if not inside:
                 if BESIDE.search(value) or HEAD.search(value):
                     return 2
-            elif (key == "class" or tag in HOLDERS) and any(map(names_a_part, (raw or "").split())):
+            elif (key == "class" or tag in HOLDERS or tag == "article") and any(map(names_a_part, (raw or "").split())):
+                return 2
+            elif tag in HOLDERS and NOTICE.search(value) and NOTICE_SHAPE.search(value):
                 return 2
         return 0
 
     def pop_to(self, at: int) -> None:
         self.cut()
+        self.open.subtract(x[0] for x in self.stack[at:])
         del self.stack[at:]
 
     def within(self, own: list[float]) -> list[float]:
@@ -139,7 +156,41 @@ class Lines(HTMLParser):
         for e in range(1, n):
             frame = not clear and lines[e] > 1 and size[e] > FRAME_SHARE * size[0]
             never[e] = never[e] or never[self.parent[e]] or self.marks[e] == 2 and not frame
-        return [x for x in self.out if x[0] and not never[x[2]]]
+        kept = [x for x in self.out if x[0] and not never[x[2]]]
+        return self.without_comments(kept)
+
+    def without_comments(self, lines: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+        n = len(self.parent)
+        # The nearest article around each element, and articles with a paragraph of their own.
+        article, own = [0] * n, [False] * n
+        for e in range(1, n):
+            article[e] = e if self.names[e] == "article" else article[self.parent[e]]
+        for _, _, e in lines:
+            own[article[e]] = own[article[e]] or self.names[e] == "p"
+        gone = [False] * n
+        for e in range(1, n):
+            around = article[self.parent[e]]
+            gone[e] = gone[self.parent[e]] or self.names[e] == "article" and around > 0 and own[around]
+        lines = [x for x in lines if not gone[x[2]]]
+        said = [0.0] * n
+        for _, _, e in lines:
+            said[e] += 1
+        said = self.within(said)
+        until, out = set(), []  # elements inside which nothing more is kept
+        for text, tags, e in lines:
+            if self.names[e] in HEADINGS and COMMENTS.fullmatch(text):
+                place = self.parent[e]
+                while said[place] == 1 and place > 0:
+                    place = self.parent[place]
+                until.add(place)
+            if not until or not self._inside(e, until):
+                out.append((text, tags, e))
+        return out
+
+    def _inside(self, e: int, marked: set[int]) -> bool:
+        while e >= 0 and e not in marked:
+            e = self.parent[e]
+        return e >= 0
 
     def handle_starttag(self, tag, attrs):
         if tag in INLINE:
@@ -156,7 +207,7 @@ class Lines(HTMLParser):
         closed, until = CLOSES.get(tag, (None, None))
         if closed is None and tag in BLOCK_CLOSES_P:
             closed, until = frozenset({"p"}), CLOSES["p"][1]
-        if closed:
+        if closed and any(self.open[x] for x in closed):
             for i in range(len(self.stack) - 1, 0, -1):
                 name = self.stack[i][0]
                 if name in until:
@@ -171,6 +222,7 @@ class Lines(HTMLParser):
         self.names.append(tag)
         self.marks.append(self.mark(tag, attrs))
         self.stack.append((tag, len(self.parent) - 1))
+        self.open[tag] += 1
 
     def handle_endtag(self, tag):
         if tag in VOID:
@@ -179,7 +231,7 @@ class Lines(HTMLParser):
             self.tags += 1
             if self.stack[-1][0] != tag:
                 return
-        for i in range(len(self.stack) - 1, 0, -1):
+        for i in range(len(self.stack) - 1, 0, -1) if self.open[tag] else ():
             if self.stack[i][0] == tag:
                 self.tags += tag not in INLINE
                 self.pop_to(i)
@@ -234,12 +286,21 @@ def main_blocks(html: str | None) -> list[str]:
     for n, of_article, (_, _, e) in zip(size, high, lines):
         own[e] += n if of_article else 0.0
     around = page.within(own)
-    whole = [e for e in range(len(own)) if around[e] >= REGION_SHARE * around[0] and page.names[e] in ("article", "main")]
-    region = min(whole, default=max((e for e in range(len(own)) if around[e] >= around[0] and page.names[e] not in PARTS), default=0))
-    inside = [False] * len(own)
-    for e in range(len(own)):
-        inside[e] = e == region or e > 0 and inside[page.parent[e]]
-    return [text for text, _, e in lines if inside[e]]
+    holds = lambda e: page.names[e] in ("article", "main")
+    outer, inside = [0] * len(own), [False] * len(own)  # the outermost article or main element around each
+    for e in range(1, len(own)):
+        outer[e] = outer[page.parent[e]] or (e if holds(e) else 0)
+    if sum(n for n, of_article, (_, _, e) in zip(size, high, lines) if of_article and outer[e]) > MOST * around[0]:
+        inside = [o > 0 for o in outer]
+    else:
+        region = max((e for e in range(len(own)) if around[e] >= around[0] and page.names[e] not in PARTS), default=0)
+        for e in range(len(own)):
+            inside[e] = e == region or e > 0 and inside[page.parent[e]]
+    kept = [k for k, (_, _, e) in enumerate(lines) if inside[e]]
+    titles = [k for k in range(kept[0] if kept else 0) if page.names[lines[k][2]] == "h1"]
+    if titles and not any(page.names[lines[k][2]] == "h1" for k in kept):
+        kept = [titles[-1], *kept]
+    return [lines[k][0] for k in kept]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
