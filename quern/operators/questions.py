@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import col, strip
+from quern.session import durable, ship
+
+#: Bytes of names that one automaton may be built from.
+MOST_NAME_BYTES = 24 << 20
 
 # Fixed values.
 QUANTITY_MARKERS = ("всего", "итого", "общее", "общая", "общий", "совокуп", "aggregate", "total")
@@ -55,16 +64,58 @@ def checked(questions: DataFrame) -> DataFrame:
     return questions.select(F.col(f"`{names['id']}`").cast("bigint").alias("qid"), F.col(f"`{names['full_question']}`").alias("question"), F.lower(F.trim(F.col(f"`{names['answer_type']}`"))).alias("answer_type"))
 
 
-def company_mentions(questions: DataFrame, companies: list[str]) -> DataFrame:
+def _one_by_one(text: str) -> str:
+    """Lower case, a character for each character."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
+class Mentions:
+    """Names in texts by one automaton for all of them."""
+
+    def __init__(self, names: list[str]):
+        self.names = sorted(names, key=lambda c: (-len(c), c))
+        self.automaton = ahocorasick.Automaton()
+        for k, name in enumerate(self.names):
+            key = _one_by_one(name)
+            self.automaton.add_word(key, [*self.automaton.get(key, []), k])
+        if self.names:
+            self.automaton.make_automaton()
+
+    def found(self, text: str) -> list[str]:
+        low = _one_by_one(text)
+        # by the order of names, then of places; what a name takes is a gap that no other name spans
+        hits = [] if not self.names else sorted((k, end + 1 - len(self.names[k]), end + 1) for end, ks in self.automaton.iter(low) for k in ks)
+        taken, out = bytearray(len(low)), []
+        for k, start, end in hits:
+            free = end == len(low) or taken[end] or not (low[end].isalnum() or low[end] == "_")
+            if free and not any(taken[start:end]):
+                taken[start:end] = b"\1" * (end - start)
+                if not out or out[-1] != self.names[k]:
+                    out.append(self.names[k])
+        return out
+
+
+def company_mentions(questions: DataFrame, companies: DataFrame) -> DataFrame:
     """(qid, company): names in a question, in any case, before a non-word character or the end.
 
-    Longer names come first and consume their text; ``companies`` is a list of bounded size."""
-    names = sorted({c.strip() for c in companies if c.strip()}, key=lambda c: (-len(c), c))
-    if not names:
-        return questions.select("qid", F.lit(None).cast("string").alias("company")).limit(0)
-    escaped = ["".join(c if c.isalnum() or c == " " else "\\" + c for c in name) for name in names]
-    patterns = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(rf"(?iu){e}(?=[^\p{{L}}\p{{N}}_]|\z)").alias("pattern")) for n, e in zip(names, escaped)])
-    start = F.struct(F.col("question").alias("rest"), F.array().cast("array<string>").alias("found"))
-    step = lambda s, p: F.struct(F.regexp_replace(s["rest"], p["pattern"], F.lit(" ")).alias("rest"), F.when(F.rlike(s["rest"], p["pattern"]), F.array_append(s["found"], p["name"])).otherwise(s["found"]).alias("found"))
-    found = F.aggregate(patterns, start, step)["found"]
-    return questions.select("qid", F.explode(found).alias("company"))
+    Longer names come first and take their text, of equal ones the first in order. ``companies`` is one column of names;
+    blanks around them, blank ones and repeats don't count. All names go to every task, as one automaton, so a text is read
+    once however many there are; beyond MOST_NAME_BYTES of them the call is refused. Null texts mention nothing."""
+    names = companies.select(strip(F.col(f"`{companies.columns[0]}`")).alias("name")).filter("name <> ''").distinct()
+    names = durable(names)
+    if (names.agg(F.sum(F.octet_length("name") + 16)).first()[0] or 0) > MOST_NAME_BYTES:
+        raise ValueError(f"the names have over {MOST_NAME_BYTES} bytes")
+    sent = ship(questions.sparkSession).sparkContext.broadcast(names.toArrow().column("name").to_pylist())
+    held: list[Mentions] = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not held:
+                held.append(Mentions(sent.value))
+            each = [held[0].found(x) if x else [] for x in batch.column("question").to_pylist()]
+            row = np.repeat(np.arange(len(each)), [len(x) for x in each])
+            yield pa.RecordBatch.from_arrays([batch.column("qid").take(pa.array(row)), pa.array([x for found in each for x in found], pa.string())], ["qid", "company"])
+
+    kind = questions.schema["qid"].dataType.simpleString()
+    return questions.select("qid", "question").mapInArrow(run, f"qid {kind}, company string")

@@ -307,4 +307,19 @@ b AS (SELECT g, string_agg(line, {NL} ORDER BY k) AS body FROM c GROUP BY 1)
 SELECT g, CASE WHEN g % 2 = 0 THEN '| 1 | 2 | 3 |' || {NL} || '| --- | --- | --- |' || {NL} || '| Customers of group ' || g || ' |  |  |' || {NL} || '| key | name | segment |'
 ELSE '| key | name | segment |' || {NL} || '| --- | --- | --- |' END || {NL} || body AS markdown FROM b""",
     "object_recovery": "SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 5 < 4 THEN md5(text) END AS answer_md5, CASE WHEN (conv_id + turn) % 5 < 4 THEN 2 END AS support FROM conversations",
+    # a name that is taken ends the part of its word before it, for names whose turn is later
+    "document_mentions": r"""WITH RECURSIVE names AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}{4,}')) AS name FROM benchmark),
+w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS word FROM documents),
+d AS (SELECT DISTINCT word FROM w),
+ends AS (SELECT word, unnest(generate_series(1, length(word))) AS stop FROM d),
+parts AS (SELECT word, stop, name FROM (SELECT word, stop, unnest(list_transform(generate_series(1, stop), lambda i: substring(word, i, stop - i + 1))) AS name FROM ends) JOIN names USING (name)),
+r AS (SELECT word, length(word) AS stop, 1000000 AS n, '' AS name FROM d
+  UNION ALL SELECT word, stop - length(new), length(new), new FROM (
+    SELECT r.word, r.stop, arg_max(p.name, length(p.name)) AS new FROM r JOIN parts p ON p.word = r.word AND p.stop = r.stop
+    WHERE length(p.name) < r.n OR (length(p.name) = r.n AND p.name > r.name) GROUP BY r.word, r.stop)),
+f AS (SELECT DISTINCT doc_id, name FROM w JOIN r USING (word) WHERE name <> '')
+SELECT doc_id, count(*) AS n, md5(string_agg(name, ',' ORDER BY name)) AS names_md5 FROM f GROUP BY 1""",
+    "locate_documents": """WITH f AS (SELECT lower(c_name) || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '_2024' END AS stem, '/in/' || c_name || CASE WHEN c_custkey % 3 = 0 THEN '.pdf' ELSE '_2024.pdf' END AS path FROM customer WHERE c_custkey % 3 < 2),
+a AS (SELECT o_orderkey AS qid, lower(CASE WHEN o_orderkey % 5 = 0 THEN left(c_name, length(c_name) - 1) ELSE c_name END) AS doc FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT qid, arg_min(path, (CASE WHEN stem = doc THEN 0 ELSE 1 END, path)) AS path FROM a JOIN f ON starts_with(stem, doc) GROUP BY 1""",
 }

@@ -353,8 +353,26 @@ def company_mentions(spark, sf_dir):
     q = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
     text = F.concat(F.lit("Revenue of "), F.lower("n_name"), F.lit(" and "), F.col("c_mktsegment"), F.lit("s, or "), F.col("c_mktsegment"), F.lit("?"))
     names = table(spark, sf_dir, "nation").select("n_name").union(table(spark, sf_dir, "region").select("r_name")).union(table(spark, sf_dir, "customer").select("c_mktsegment").distinct())
-    companies = [r[0] for r in names.distinct().limit(parsed.MOST_COMPANIES).collect()]
-    return questions.company_mentions(q.select(F.col("c_custkey").alias("qid"), text.alias("question")), companies)
+    return questions.company_mentions(q.select(F.col("c_custkey").alias("qid"), text.alias("question")), names)
+
+
+@query
+def document_mentions(spark, sf_dir):
+    """Every word of the benchmark of four or more letters as a name, sought in every document."""
+    names = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}"), F.lit(0))).alias("name"))
+    found = questions.company_mentions(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("qid"), F.col("text").alias("question")), names)
+    return found.groupBy(F.col("qid").alias("doc_id")).agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("company")), ",")).alias("names_md5"))
+
+
+@query
+def locate_documents(spark, sf_dir):
+    """Orders cite their customer's document by its name or its beginning; a third of the files are named so, a third longer."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    name = F.when(F.col("c_custkey") % 3 == 0, F.concat("c_name", F.lit(".pdf"))).otherwise(F.concat("c_name", F.lit("_2024.pdf")))
+    held = c.filter("c_custkey % 3 < 2").select(name.alias("name"), F.concat(F.lit("/in/"), name).alias("path"))
+    o = table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
+    doc = F.when(F.col("o_orderkey") % 5 == 0, F.expr("left(c_name, length(c_name) - 1)")).otherwise(F.col("c_name"))
+    return parsed.locate(o.select(F.col("o_orderkey").alias("qid"), F.lit(1).alias("rank"), F.upper(doc).alias("doc")), held)
 
 
 #: Questions with the rewrites of a bilingual model; %s is the customer's key.

@@ -11,10 +11,6 @@ from quern.operators.questions import REQUIRED, checked
 from quern.sources.workbooks import read_table
 
 
-#: Company names that a list holds at most.
-MOST_COMPANIES = 10_000
-
-
 def read_parsed(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Documents of either form, one JSON object a file, or one a line as :func:`write_parsed` writes
     them; broken ones give null rows."""
@@ -55,11 +51,11 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     return checked(rows)
 
 
-def read_companies(spark: SparkSession, path: str, column: str = "company_name", most: int = MOST_COMPANIES) -> list[str]:
-    """Company names of a CSV, ``most`` at most, as :func:`company_mentions` takes them."""
+def read_companies(spark: SparkSession, path: str, column: str = "company_name") -> DataFrame:
+    """Company names of a CSV, as :func:`quern.operators.questions.company_mentions` takes them."""
     rows = spark.read.option("header", True).csv(path)
     name = column if column in rows.columns else rows.columns[0]
-    return [r[0] for r in rows.select(name).filter(F.col(name).isNotNull()).distinct().orderBy(name).limit(most).collect()]
+    return rows.select(F.col(f"`{name}`").alias("company")).filter("company is not null").distinct()
 
 
 def cache_reason(cached: Column | None = None) -> Column:
@@ -96,5 +92,9 @@ def locate(hits: DataFrame, files: DataFrame) -> DataFrame:
     f = files.select(F.lower(F.regexp_replace("name", r"\.[^.]+$", "")).alias("_stem"), "path")
     asked = hits.select("qid", "rank", F.lower(F.regexp_replace("doc", r"\.(?i:pdf|xlsx)$", "")).alias("_doc"))
     exact = asked.join(f, F.col("_doc") == F.col("_stem")).select("qid", "rank", "path", F.lit(0).alias("how"))
-    like = asked.join(f, F.col("_stem").startswith(F.col("_doc")) & (F.col("_stem") != F.col("_doc"))).select("qid", "rank", "path", F.lit(1).alias("how"))
+    # stems that start alike: every file under its beginnings of the few lengths that are asked for
+    lengths = sorted(r[0] for r in asked.select(F.length("_doc")).distinct().collect() if r[0] is not None)
+    shorter = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n < F.length("_stem"))
+    begun = f.select("path", F.explode(F.transform(shorter, lambda n: F.left("_stem", n))).alias("_doc"))
+    like = asked.join(begun, "_doc").select("qid", "rank", "path", F.lit(1).alias("how"))
     return exact.union(like).groupBy("qid").agg(F.min_by("path", F.struct("rank", "how", "path")).alias("path"))

@@ -1,6 +1,7 @@
 """Answer values, votes and merging, with recorded outcomes and a plain Python model."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,7 +111,7 @@ def test_questions(spark):
     v = spark.createDataFrame([("a?", "b?"), ("a?", "b"), ("a", ""), ("a", "x" * 40), ("a", None)], "o string, n string")
     assert [r[0] for r in v.select(questions.validated(F.col("o"), F.col("n"))).collect()] == ["b?", "a?", "a", "a", "a"]
     q = spark.createDataFrame([(1, "Acme Corp and acme!"), (2, "Acmeism"), (3, None)], "qid int, question string")
-    assert sorted(map(tuple, questions.company_mentions(q, ["acme", "Acme Corp"]).collect())) == [(1, "Acme Corp"), (1, "acme")]
+    assert sorted(map(tuple, questions.company_mentions(q, spark.createDataFrame([("acme",), ("Acme Corp ",), ("acme",), (" ",), (None,)], "n string")).collect())) == [(1, "Acme Corp"), (1, "acme")]
     with pytest.raises(ValueError):
         questions.checked(q)
     assert questions.checked(spark.createDataFrame([(1, "x", " INT ")], "ID int, Full_Question string, answer_type string")).first().answer_type == "int"
@@ -123,3 +124,31 @@ def test_repeated_candidates_change_nothing(spark):
     once = {r.qid: plain(r.v) for r in merge.select_best(merge.distinct_candidates(frame(spark, rows))).collect()}
     again = {r.qid: plain(r.v) for r in merge.select_best(merge.distinct_candidates(frame(spark, rows + [(q, k + 10, x) for q, k, x in rows]))).collect()}
     assert once == again
+
+
+def test_mentions_equal_a_plain_search(spark):
+    """The automaton against one search for each name, longest first, each taking what it finds."""
+    rng = random.Random(7)
+    names = sorted({"".join(rng.choice("ab B-é") for _ in range(rng.randrange(1, 5))).strip() for _ in range(60)} - {""})
+    texts = ["".join(rng.choice("abAB -éÉ_1") for _ in range(rng.randrange(40))) for _ in range(200)] + [None, "", "İab İ a"]
+    want = set()
+    for k, text in enumerate(texts):
+        rest = text or ""
+        for name in sorted(names, key=lambda n: (-len(n), n)):
+            new = re.sub(re.escape(name) + r"(?![^\W\x00])", lambda m: "\x00" * len(m[0]), rest, flags=re.I)
+            if new != rest:
+                want.add((k, name))
+            rest = new
+    q = spark.createDataFrame(list(enumerate(texts)), "qid bigint, question string")
+    got = questions.company_mentions(q, spark.createDataFrame([(n,) for n in names], "name string")).collect()
+    assert len(got) == len(set(got)) and {(r.qid, r.company) for r in got} == want
+    assert questions.company_mentions(q, spark.createDataFrame([], "name string")).count() == 0
+
+
+def test_mentions_of_very_many_names(spark, monkeypatch):
+    names = spark.range(100_000).select(F.concat(F.lit("Company "), F.col("id").cast("string")).alias("name"))
+    q = spark.createDataFrame([(1, "company 99999 and COMPANY 12, not company 123456789"), (2, "Companies")], "qid bigint, question string")
+    assert {tuple(r) for r in questions.company_mentions(q, names).collect()} == {(1, "Company 99999"), (1, "Company 12")}
+    monkeypatch.setattr(questions, "MOST_NAME_BYTES", 1000)
+    with pytest.raises(ValueError):
+        questions.company_mentions(q, names)

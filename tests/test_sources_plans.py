@@ -109,6 +109,9 @@ def test_locate(spark):
     hits = spark.createDataFrame([(1, 1, "none"), (1, 2, "Rep.pdf"), (2, 1, "rep")], "qid int, rank int, doc string")
     f = spark.createDataFrame([("rep_long.pdf", "/p/rep_long.pdf"), ("rep.pdf", "/p/rep.pdf")], "name string, path string")
     assert sorted(map(tuple, parsed.locate(hits, f).collect())) == [(1, "/p/rep.pdf"), (2, "/p/rep.pdf")]
+    plan = parsed.locate(hits, f)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert parsed.locate(hits.limit(0), f).count() == 0
 
 
 def test_streaming_ingest(spark, tmp_path):
