@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.plan import once
 from quern.operators import answers as A
 from quern.operators import values as V
-from quern.plugins import Answerer, PageRenderer, extractive_answer
-from quern.session import ship
+from quern.plugins import Answerer, Judge, PageRenderer, extractive_answer, longer_candidate
+from quern.session import durable, ship
 
 # Fixed values.
 CHOICES = ("text", "vision", "synth")
@@ -48,15 +49,38 @@ def parse_verdict(reply: Column) -> Column:
     return F.struct(get("final_answer").alias("final_answer"), chosen.alias("chosen"), F.coalesce(get("reason"), F.lit("")).alias("reason"), reply.alias("raw"))
 
 
-def ensemble(hits: DataFrame, questions: DataFrame, answerer: Answerer = extractive_answer, images: DataFrame | None = None, max_chunks: int = 8) -> DataFrame:
+def judged(candidates: DataFrame, judge: Judge = longer_candidate) -> DataFrame:
+    """(qid, final_answer, chosen, reason, raw) of (qid, question, answer_type, context, text, vision): what a judge makes of two
+    candidates. Each question is asked about once, also if the judge is a costly model; a reply that can't be read, or names
+    neither candidate, leaves the text's, and so does a verdict without an answer."""
+    request = judge_request(F.col("question"), F.col("answer_type"), F.col("context"), F.col("text"), F.col("vision"))
+    replied = once(once(candidates, "_request", request).select("qid", "text", "_request"), "_reply", judge(F.col("_request")))
+    told = once(replied, "_v", parse_verdict(F.col("_reply"))).select("qid", "text", "_v")
+    return told.select("qid", F.coalesce("_v.final_answer", "text").alias("final_answer"), "_v.chosen", "_v.reason", "_v.raw")
+
+
+def ensemble(
+    hits: DataFrame, questions: DataFrame, answerer: Answerer = extractive_answer, images: DataFrame | None = None, max_chunks: int = 8,
+    vision: DataFrame | None = None, judge: Judge = longer_candidate, max_chars: int = 1800,
+) -> DataFrame:
     """(qid, v, chosen, reason, support, candidate, image_used): the text model's answer in the question's type.
 
     Where the model names no hit, the first one that holds the answer supports it, else the first hit.
-    ``images`` (qid, image) says which questions had a page image."""
+    ``images`` (qid, image) says which questions had a page image. With ``vision`` (qid, candidate), the answers of a model that sees
+    the image, a judge decides for the questions that have such an answer; for all others the text's stands."""
     top = hits.filter(F.col("rank") <= max_chunks).groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "text"))).alias("h"))
     none = F.array().cast("array<struct<rank:int,text:string>>")
-    asked = questions.join(top, "qid", "left").withColumn("h", F.coalesce("h", none)).withColumn("r", answerer(F.col("question"), F.col("answer_type"), F.col("h")))
-    asked = asked.withColumn("v", V.coerce_answer(F.col("r.answer"), F.col("answer_type")))
+    asked = questions.join(top, "qid", "left").withColumn("h", F.coalesce("h", none))
+    asked = once(asked, "r", answerer(F.col("question"), F.col("answer_type"), F.col("h")))
+    answer, chosen, reason = F.col("r.answer"), F.lit("text"), F.lit("")
+    if vision is not None:
+        asked = durable(asked)
+        said = asked.select("qid", "question", "answer_type", F.col("r.answer").alias("text"))
+        both = said.join(vision.filter(F.col("candidate").isNotNull()).select("qid", F.col("candidate").alias("vision")), "qid")
+        told = judged(both.join(A.context_block(hits, max_chunks, max_chars), "qid", "left").withColumn("context", F.coalesce("context", F.lit(A.NO_CONTEXT))), judge)
+        asked = asked.join(told.select("qid", F.col("final_answer").alias("_final"), F.col("chosen").alias("_chosen"), F.col("reason").alias("_reason")), "qid", "left")
+        answer, chosen, reason = F.coalesce("_final", answer), F.coalesce("_chosen", chosen), F.coalesce("_reason", reason)
+    asked = once(asked, "v", V.coerce_answer(answer, F.col("answer_type")))
     guessed = F.filter("h", lambda x: F.contains(x["text"], V.as_text(F.col("v"))))
     guess = F.when(F.col("v.kind") != "null", F.get(guessed, F.lit(0))["rank"])
     support = F.coalesce(A.clamp_support(F.col("r.support"), F.size("h"), max_chunks), guess, F.when(F.size("h") > 0, 1))
@@ -64,7 +88,7 @@ def ensemble(hits: DataFrame, questions: DataFrame, answerer: Answerer = extract
     if images is not None:
         asked = asked.join(images.filter(F.col("image").isNotNull()).select("qid", F.lit(True).alias("_seen")), "qid", "left")
         seen = F.coalesce("_seen", F.lit(False))
-    return asked.select("qid", "v", F.lit("text").alias("chosen"), F.lit("").alias("reason"), support.alias("support"), F.col("r.answer").alias("candidate"), seen.alias("image_used"))
+    return asked.select("qid", "v", chosen.alias("chosen"), reason.alias("reason"), support.alias("support"), F.col("r.answer").alias("candidate"), seen.alias("image_used"))
 
 
 def first_pages(hits: DataFrame, files: DataFrame, most: int = IMAGE_HITS) -> DataFrame:

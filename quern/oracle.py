@@ -322,4 +322,9 @@ SELECT doc_id, count(*) AS n, md5(string_agg(name, ',' ORDER BY name)) AS names_
     "locate_documents": """WITH f AS (SELECT lower(c_name) || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '_2024' END AS stem, '/in/' || c_name || CASE WHEN c_custkey % 3 = 0 THEN '.pdf' ELSE '_2024.pdf' END AS path FROM customer WHERE c_custkey % 3 < 2),
 a AS (SELECT o_orderkey AS qid, lower(CASE WHEN o_orderkey % 5 = 0 THEN left(c_name, length(c_name) - 1) ELSE c_name END) AS doc FROM orders JOIN customer ON o_custkey = c_custkey)
 SELECT qid, arg_min(path, (CASE WHEN stem = doc THEN 0 ELSE 1 END, path)) AS path FROM a JOIN f ON starts_with(stem, doc) GROUP BY 1""",
+    "judged_ensemble": f"""WITH q AS (SELECT conv_id, split_part(text, {NL}, 1) AS said FROM conversations WHERE turn = 0),
+s AS (SELECT conv_id, CASE conv_id % 3 WHEN 0 THEN role || ' ' || left(text, 60) WHEN 1 THEN '' END AS seen FROM conversations WHERE turn = 1),
+j AS (SELECT q.conv_id, said, seen, seen IS NOT NULL AND length(said) % 4 > 0 AND length(seen) > length(said) AS takes FROM q LEFT JOIN s USING (conv_id))
+SELECT conv_id AS qid, md5({strip('CASE WHEN takes THEN seen ELSE said END')}) AS answer_md5, CASE WHEN takes THEN 'vision' ELSE 'text' END AS chosen,
+CASE WHEN seen IS NULL THEN '' WHEN length(said) % 4 = 0 THEN 'unsure' ELSE 'longer' END AS reason, md5(said) AS candidate_md5, 1 AS support FROM j""",
 }

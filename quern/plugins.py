@@ -36,7 +36,9 @@ class Answerer(Protocol):
 
 
 class Judge(Protocol):
-    def __call__(self, first: Column, second: Column) -> Column: ...
+    """A reply with ``chosen``, ``final_answer`` and ``reason`` to the JSON of a question and its candidates."""
+
+    def __call__(self, request: Column) -> Column: ...
 
 
 class QuestionRewriter(Protocol):
@@ -98,8 +100,11 @@ def no_ocr(image: Column) -> Column:
     return F.lit("")
 
 
-def first_candidate(first: Column, second: Column) -> Column:
-    return F.coalesce(first, second)
+def longer_candidate(request: Column) -> Column:
+    """Chooses the longer candidate, the text's on ties."""
+    said = lambda k: F.coalesce(F.get_json_object(request, f"$.candidates.{k}"), F.lit(""))
+    vision = F.length(said("vision")) > F.length(said("text"))
+    return F.to_json(F.struct(F.when(vision, "vision").otherwise("text").alias("chosen"), F.when(vision, said("vision")).otherwise(said("text")).alias("final_answer"), F.lit("longer").alias("reason")))
 
 
 def with_retries(call: Callable[[str], str], default: str = "", tries: int = 4, wait: float = 1.0) -> Callable[[str], str]:

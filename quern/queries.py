@@ -18,7 +18,7 @@ from quern.operators import answers as A
 from quern.operators import chunk, ensemble, entities, index, merge, normalize, questions, retrieve
 from quern.operators import values as V
 from quern.plans import corpus
-from quern.plugins import overlap_score
+from quern.plugins import longer_candidate, overlap_score
 from quern.session import durable, ship, small
 from quern.sources import files, parsed, pdf_tables, pdf_write, workbooks
 
@@ -550,6 +550,19 @@ def ensemble_answer(spark, sf_dir):
     return found.select("qid", V.as_text(F.col("v")).alias("answer"), "chosen", "support", "image_used")
 
 
+@query
+def judged_ensemble(spark, sf_dir):
+    """Conversations as questions, their turns as hits: the first line is the text's answer; two of three have another candidate."""
+    turns = table(spark, sf_dir, "conversations")
+    hits = turns.select(F.col("conv_id").alias("qid"), (F.col("turn") + 1).cast("int").alias("rank"), "text")
+    asked = turns.filter("turn = 0").select(F.col("conv_id").alias("qid"), F.col("text").alias("question"), F.lit("str").alias("answer_type"))
+    seen = F.when(F.col("conv_id") % 3 == 0, F.concat("role", F.lit(" "), F.substring("text", 1, 60))).when(F.col("conv_id") % 3 == 1, "")
+    first_line = lambda question, kind, h: F.struct(F.get(F.split(F.get(h, F.lit(0))["text"], "\n"), F.lit(0)).alias("answer"), F.lit(1).alias("support"))
+    unsure = lambda request: F.when(F.length(F.get_json_object(request, "$.candidates.text")) % 4 == 0, F.lit('{"chosen": "neither", "reason": "unsure"}')).otherwise(longer_candidate(request))
+    found = ensemble.ensemble(hits, asked, first_line, vision=turns.filter("turn = 1").select(F.col("conv_id").alias("qid"), seen.alias("candidate")), judge=unsure)
+    return found.select("qid", F.md5(V.as_text(F.col("v"))).alias("answer_md5"), "chosen", "reason", F.md5("candidate").alias("candidate_md5"), "support")
+
+
 @query
 def dialogue_context(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("qid"), (F.col("turn") + 1).alias("rank"), "text")

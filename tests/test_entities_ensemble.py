@@ -152,3 +152,22 @@ def V_text(v) -> str:
 
 def test_values_to_json_and_back(spark):
     assert spark.range(1).select(V.to_variant(V.value("int", i=F.lit(3))).cast("int").alias("x")).first().x == 3
+
+
+def test_judge_between_two_candidates(spark):
+    hits = spark.createDataFrame([(q, 1, f"alpha {q}5 parts") for q in (1, 2, 3, 4, 5)], "qid bigint, rank int, text string")
+    asked = spark.createDataFrame([(q, "How many parts?", "int") for q in (1, 2, 3, 4, 5)], "qid bigint, question string, answer_type string")
+    seen = spark.createDataFrame([(1, "777"), (2, "8"), (3, None), (5, "9")], "qid bigint, candidate string")
+    replies = {1: '{"chosen": "vision", "final_answer": 777, "reason": "clear"}', 2: '{"chosen": "both", "final_answer": "12"}', 5: "no verdict"}
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def judge(request):
+        calls.add(1)
+        said = json.loads(request)
+        assert said["question"] == "How many parts?" and said["context_snippets"].startswith("[1] alpha")
+        return replies[{"777": 1, "8": 2, "9": 5}[said["candidates"]["vision"]]]
+
+    got = {r.qid: (r.v.i, r.chosen, r.reason, r.candidate) for r in ensemble.ensemble(hits, asked, vision=seen, judge=judge).collect()}
+    assert got == {1: (777, "vision", "clear", "15"), 2: (12, "text", "", "25"), 3: (35, "text", "", "35"), 4: (45, "text", "", "45"), 5: (55, "text", "", "55")}
+    assert calls.value == 3  # each once, and only where there are two candidates
