@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ class Build:
     parse_workbooks: bool = True
     index: bool = True
     tables: bool = False  # tables of PDF files as one more page of each
+    again: bool = False  # parse files anew whose parse is up to date
+    files_per_batch: int = 10_000  # files after whose parse the result is written
     glob: str = "*.pdf"
 
 
@@ -37,6 +40,29 @@ def require(spark: SparkSession, *paths: str) -> None:
             raise FileNotFoundError(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def parse_new(spark: SparkSession, source: str, out: str, what: Build = Build(), parser: PageParser = files.parse_document, **parsing) -> list[str]:
+    """Parses the files of a folder that have no good parse in ``out`` yet: new and changed ones, and those whose parse
+    failed, broke off or lacks pages. Results are added batch by batch, so a run that is stopped is gone on with by the
+    next; readers take the newest parse of a file. Gives the paths that were parsed."""
+    listed = durable(parsed.list_files(spark, source, what.glob).select(F.col("path").alias("name"), "changed_at"))
+    wanted = listed if what.again or not exists(spark, out) else parsed.to_parse(listed, parsed.parse_cache(spark, out))
+    paths = sorted(r.name for r in wanted.select("name").collect())
+    for at in range(0, len(paths), what.files_per_batch):
+        escaped = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths[at : at + what.files_per_batch]]
+        contents = files.read_contents(spark, escaped, what.glob)
+        documents = files.as_v2(files.parse_contents(contents, parser, **parsing))
+        if what.tables:
+            found = pdf_tables.tables_by_file(contents, parsing.get("max_pages"))
+            documents = normalize.append_tables(documents, found.select(stem("path").alias("stem"), "markdown"))
+        sinks.write_parsed(documents, out, more=True)
+    return paths
+
+
 def build(
     spark: SparkSession, source: str, out: str, what: Build = Build(), parser: PageParser = files.parse_document, chunking: Chunking = AUTO,
     rules: CleanRules = CleanRules(), embed: Embedder | None = None, hybrid: Hybrid = Hybrid(), **parsing,
@@ -44,15 +70,11 @@ def build(
     """Parses ``source`` to ``out``/parsed, indexes that to ``out``/index, and gives the index."""
     require(spark, source)
     if what.parse_files:
-        documents = files.as_v2(files.parse_files(spark, source, parser, what.glob, **parsing))
-        if what.tables:
-            found = pdf_tables.tables_by_file(files.read_contents(spark, source, what.glob), parsing.get("max_pages"))
-            documents = normalize.append_tables(documents, found.select(stem("path").alias("stem"), "markdown"))
-        sinks.write_parsed(documents, f"{out}/parsed/files")
+        parse_new(spark, source, f"{out}/parsed/files", what, parser, **parsing)
     if what.parse_workbooks:
         sinks.write_parsed(files.as_v2(workbooks.parse_workbooks(spark, source)), f"{out}/parsed/workbooks")
     if what.index:
-        documents = parsed.read_parsed(spark, f"{out}/parsed/*", lines=True)
+        documents = parsed.latest_parsed(spark, f"{out}/parsed/*")
         sinks.save_index(corpus.build_index(documents, chunking, rules, embed, hybrid), f"{out}/index")
     return sinks.load_index(spark, f"{out}/index")
 

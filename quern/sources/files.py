@@ -44,7 +44,7 @@ def parse_files(
     return parse_contents(read_contents(spark, path, glob), parser, backend, max_pages, render, ocr, cfg)
 
 
-def read_contents(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
+def read_contents(spark: SparkSession, path: str | list[str], glob: str = "*.pdf") -> DataFrame:
     """(path, content) of files. Spark's reader leaves out files of no bytes."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "content")
 

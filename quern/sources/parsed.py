@@ -17,6 +17,20 @@ def read_parsed(spark: SparkSession, path: str, lines: bool = False) -> DataFram
     return spark.read.schema(schema.PARSED_ANY).option("multiLine", not lines).option("mode", "PERMISSIVE").json(path)
 
 
+def latest_parsed(spark: SparkSession, path: str) -> DataFrame:
+    """Of documents in several runs' files (one a line) the newest of each source, with the time of its file as ``cached_at``."""
+    rows = spark.read.schema(schema.PARSED_ANY).option("mode", "PERMISSIVE").json(path).select("*", F.col("_metadata.file_modification_time").alias("cached_at"))
+    key = F.coalesce("source_path", "metainfo.source_path")
+    newest = rows.groupBy(key.alias("_of")).agg(F.max("cached_at").alias("_newest"))
+    return rows.withColumn("_source", key).join(newest, F.col("_source").eqNullSafe(F.col("_of")) & (F.col("cached_at") == F.col("_newest"))).drop("_source", "_of", "_newest")
+
+
+def parse_cache(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`cache_decisions` asks of parsed documents, by source path."""
+    rows = latest_parsed(spark, path).filter("source_path is not null")
+    return rows.select(F.col("source_path").alias("name"), "cached_at", "error", "interrupted", "num_pages", F.size("content").alias("n_content"), F.lit(True).alias("readable"))
+
+
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
     """(qid, relevant_chunks, v) of a file with a JSON array of answer records, or of a folder
     with one a line as :func:`write_answers` writes them."""

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from quern.operators import values as V
 
 
-def write_parsed(docs: DataFrame, path: str) -> None:
-    docs.write.mode("overwrite").json(path)
+def write_parsed(docs: DataFrame, path: str, more: bool = False) -> None:
+    """One document a line; with ``more`` beside those that are there."""
+    docs.write.mode("append" if more else "overwrite").json(path)
 
 
 def write_index(df: DataFrame, path: str) -> None:

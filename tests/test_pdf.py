@@ -1,6 +1,8 @@
 """PDF pages and tables against the texts and cells that files were made from."""
 
 import base64
+import os
+import time
 import zlib
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quern.config import Ocr
 from quern.plans import entry
-from quern.sources import files, pdf, pdf_tables, pdf_write
+from quern.sources import files, parsed, pdf, pdf_tables, pdf_write
 
 
 def by_hand(bodies, trailer=b"/Root 1 0 R", broken=False):
@@ -137,6 +139,39 @@ def test_scan_errors_limits_ocr_and_tables(spark, tmp_path):
     found = {r.path.rsplit("/", 1)[-1]: r.markdown for r in pdf_tables.tables_by_file(files.read_contents(spark, source)).collect()}
     assert found == {"good.pdf": "| k | v |\n| --- | --- |\n| 1 | 2 |", "none.pdf": pdf_tables.NONE_FOUND, "bad.pdf": pdf_tables.NONE_FOUND}
     index = entry.build(spark, source, str(tmp_path / "out"), entry.Build(parse_workbooks=False, tables=True))
-    parsed = spark.read.json(str(tmp_path / "out" / "parsed" / "files"))
-    assert {(r.doc_name, r.num_pages) for r in parsed.collect()} == {("good.pdf", 4), ("none.pdf", 1), ("bad.pdf", 0)}
+    rows = spark.read.json(str(tmp_path / "out" / "parsed" / "files"))
+    assert {(r.doc_name, r.num_pages) for r in rows.collect()} == {("good.pdf", 4), ("none.pdf", 1), ("bad.pdf", 0)}
     assert index["chunks"].filter(F.contains("text", F.lit("---"))).count() == 1
+
+
+def test_second_build_parses_only_what_is_due(spark, tmp_path):
+    """New, changed and failed files are parsed by the next build, others not; a stopped one is gone on with."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    put = lambda name, text: (source / name).write_bytes(pdf_write.write_pdf(pdf_write.text_sheets(text)))
+    names = ["a.pdf", "b [1]{x}*.pdf", "c d.pdf"]
+    for name in names:
+        put(name, f"text of {name}")
+    (source / "bad.pdf").write_bytes(b"%PDF-1.4 broken")
+    what = entry.Build(parse_workbooks=False, files_per_batch=2)
+    parse = lambda **more: [p.rsplit("/", 1)[-1] for p in entry.parse_new(spark, str(source), out, what, **more)]
+    held = lambda: {r.doc_name: (r.content[0].text if r.content else r.error) for r in parsed.latest_parsed(spark, out).collect()}
+
+    def stopped(path, content):  # the worker dies in the second batch
+        if path.endswith("c d.pdf"):
+            os._exit(1)
+        return files.parse_document(path, content)
+
+    with pytest.raises(Exception, match="(?s).*"):
+        parse(parser=stopped)
+    assert set(held()) == {"a.pdf", "b [1]{x}*.pdf"}
+    assert parse() == ["bad.pdf", "c d.pdf"]
+    assert parse() == ["bad.pdf"]  # what failed is tried again
+    time.sleep(1.1)
+    put("a.pdf", "changed")
+    put("bad.pdf", "mended")
+    put("new.pdf", "new")
+    assert parse() == ["a.pdf", "bad.pdf", "new.pdf"]
+    assert parse() == []
+    assert held() == {"a.pdf": "changed", "bad.pdf": "mended", "new.pdf": "new"} | {n: f"text of {n}" for n in names[1:]}
+    assert len(entry.parse_new(spark, str(source), out, entry.Build(again=True))) == 5
