@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from quern.config import AUTO, Chunking, Ocr, Rerank, Retriever
 from quern.functions import text as T
@@ -286,12 +287,12 @@ def html_tables(spark, sf_dir):
     return workbooks.html_tables(c.select(F.col("c_custkey").alias("page_id"), html.alias("html")))
 
 
-@F.udf("binary")
+@F.udf(BinaryType())
 def _text_pdf(text, packed):
     return pdf_write.write_pdf(pdf_write.text_sheets(text or "", 20), packed)
 
 
-@F.udf("binary")
+@F.udf(BinaryType())
 def _table_pdf(title, rows, packed):
     """A table of three columns; with a title it has rules, and the title spans the first row."""
     xs, top = (40.0, 120.0, 330.0, 520.0), 740.0

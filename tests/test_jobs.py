@@ -121,3 +121,8 @@ def test_command_lines(spark, tmp_path):
 def test_registered(spark, name):
     found = jobs.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert found.count() > 0 and name in jobs.SQL
+
+
+def test_entry_imports_without_a_session():
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
