@@ -67,8 +67,8 @@ STAGES = [
     ("byte-level BPE", tokens),
 ]
 
-#: The classifier, the signatures and the tokenizer cannot be said in SQL; tests hold every
-#: stage against a brute-force version instead.
+#: The classifier, the signatures and the tokenizer cannot be said in SQL. Tests hold the stages against the operators, which
+#: have tests of their own; the quality stage against the labels of made documents.
 ORACLE_SQL = None
 
 
