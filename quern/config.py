@@ -41,7 +41,7 @@ class Hybrid:
     enable: bool = True
     dense: float = 0.7
     lexical: float = 0.3
-    max_features: int = 200_000
+    max_features: int | None = None  # terms of a document's vocabulary; None keeps all
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from quern.config import Hybrid
 from quern.operators import index, retrieve
 
 
@@ -27,6 +28,13 @@ def test_vocabulary_cut(spark, most):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_vocabulary_is_whole_by_default(spark):
+    counts = spark.range(200_003).select(F.lit("d").alias("doc"), F.lit(0).alias("chunk_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("term"), F.lit(1).alias("tf"))
+    chunks = spark.createDataFrame([("d", 0)], "doc string, chunk_id int")
+    assert index.vocabulary(counts, chunks).count() == 200_003
+    assert Hybrid().max_features is None
+
+
 def test_vocabulary_cut_sorts_no_whole_document(spark):
     """The terms of one document at the edge are put in order by several tasks."""
     df = spark.range(5000).select(F.lit("d").alias("doc"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("term"), F.lit(1).alias("df"), F.when(F.col("id") < 10, 2).otherwise(1).alias("total"))
