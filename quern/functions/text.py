@@ -37,10 +37,11 @@ def strip_control(x: Column | str) -> Column:
 
 
 def normalize_blanks(x: Column | str) -> Column:
-    out = F.regexp_replace(col(x), r"[ \t]+", " ")
-    out = F.regexp_replace(out, r"\x{A0}", " ")  # after runs are collapsed, so runs of these stay runs
-    out = F.regexp_replace(out, BLANK + r"+\n", "\n")
-    return strip(F.regexp_replace(out, r"\n{3,}", "\n\n"))
+    out = F.regexp_replace(col(x), r"[ \t]{2,}|\t", " ")  # single blanks stay as they are
+    out = F.replace(out, F.lit("\xa0"), F.lit(" "))  # after runs are collapsed, so runs of these stay runs
+    # blanks before a line feed go, and with them empty lines
+    lines = F.filter(F.transform(F.split(out, "\n"), lambda line: F.rtrim(line, F.lit(BLANKS))), lambda line: line != "")
+    return strip(F.array_join(lines, "\n"))
 
 
 def clean(x: Column | str, rules: CleanRules = CleanRules()) -> Column:

@@ -23,7 +23,7 @@ def build_index(parsed: DataFrame, cfg: Chunking = AUTO, rules: CleanRules = Cle
 
 def index_pages(pages: DataFrame, cfg: Chunking = AUTO, rules: CleanRules = CleanRules(), embed: Embedder | None = None, hybrid: Hybrid = Hybrid()) -> dict[str, DataFrame]:
     chunks = durable(chunk_pages(pages, cfg, rules))
-    counts = durable(index.term_counts(chunks))
+    counts = index.term_counts(chunks)
     vocab = index.vocabulary(counts, chunks, hybrid.max_features)
     vectors = once(chunks, "vector", (embed or hashed_embedding())(F.col("text"))).select("doc", "chunk_id", "vector")
     return {"chunks": chunks, "vectors": vectors, "vocabulary": vocab, "weights": index.tfidf(counts, vocab), "info": chunks.groupBy("doc").agg(F.count("*").alias("chunks"))}
@@ -35,7 +35,10 @@ def search(tables: dict[str, DataFrame], questions: DataFrame, cfg: Retriever =
     asked = once(questions, "vector", (embed or hashed_embedding())(F.col("question"))).select("qid", "vector")
     dense = retrieve.dense_top_k(tables["vectors"], asked, depth)
     dense = durable(dense) if cfg.hybrid.enable else dense
-    lexical = index.cosine(tables["weights"], index.query_weights(questions, tables["vocabulary"]), dense) if cfg.hybrid.enable else None
+    lexical = None
+    if cfg.hybrid.enable:  # an index without weights has them worked out for the candidates' chunks
+        weights = tables["weights"] if "weights" in tables else index.tfidf_of(tables["chunks"], dense, tables["vocabulary"])
+        lexical = index.cosine(weights, index.query_weights(questions, tables["vocabulary"]), dense)
     hits = retrieve.hybrid(dense, lexical, cfg.hybrid)
     hits = retrieve.top_k(hits, depth).drop("rank")
     full = hits.join(tables["chunks"].select("doc", "chunk_id", "page", "text"), ["doc", "chunk_id"]).join(questions.select("qid", "question"), "qid")

@@ -65,3 +65,33 @@ def test_shared_words_of_empty_tables(spark):
     asked = spark.createDataFrame([(1, ["a"]), (2, [])], "qid bigint, words array<string>")
     assert retrieve.shared_words_top_k(chunks, asked, 3).count() == 0
     assert retrieve.shared_words_top_k(spark.createDataFrame([("d", 1, ["a"])], chunks.schema), asked.limit(0), 3).count() == 0
+
+
+def test_tasks_pass_on_their_best_chunks_once(spark):
+    """However many blocks of chunks a task reads, it passes on ``k`` rows of a question and document."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_pydict({"doc": ["a", "b", None, "a"] * 250, "chunk_id": list(range(1000)), "terms": [["x"] if c % 3 else ["x", "y"] for c in range(1000)]})
+    run = retrieve._shared(2, np.array([7]), pa.array(["x", "y"]), np.array([0, 0]), np.array([0, 1, 2]), np.array([2]))
+    old, retrieve.VECTOR_BLOCK = retrieve.VECTOR_BLOCK, 100
+    try:
+        got = [r for b in run(iter([rows.slice(at, 50) for at in range(0, 1000, 50)])) for r in b.to_pylist()]
+    finally:
+        retrieve.VECTOR_BLOCK = old
+    best = {d: sorted((-1.0 if c % 3 == 0 else -0.5, c) for c in range(1000) if ("a", "b", None, "a")[c % 4] == d)[:2] for d in ("a", "b", None)}
+    assert sorted((str(r["doc"]), -r["dense"], r["chunk_id"]) for r in got) == sorted((str(d), *x) for d, xs in best.items() for x in xs)
+
+
+def test_cosine_totals_equal_the_sums_of_pairs(spark, monkeypatch):
+    rows = texts(3)
+    chunks = spark.createDataFrame([(d, c, " ".join(w)) for d, c, w in rows], "doc string, chunk_id int, text string").repartition(3)
+    asked = spark.createDataFrame([(q, " ".join(f"w{(q * k) % 70}" for k in range(q + 1))) for q in range(6)], "qid bigint, question string")
+    counts = index.term_counts(chunks)
+    vocab = index.vocabulary(counts, chunks)
+    q = index.query_weights(asked, vocab)
+    pairs = index.cosine(index.tfidf(counts, vocab), q).groupBy("qid", "doc").agg(F.count("*").alias("n"), F.sum("lex").alias("total"), F.max("lex").alias("best"))
+    want = {(r.qid, r.doc): (r.n, round(r.total, 9), round(r.best, 9)) for r in pairs.collect()}
+    monkeypatch.setattr(index, "TOTAL_ROWS", 16)
+    got = {(r.qid, r.doc): (r.n, round(r.total, 9), round(r.best, 9)) for r in index.cosine_totals(counts, vocab, q).collect()}
+    assert got == want and len(got) > 10
