@@ -41,17 +41,26 @@ def looks_like_refusal(reply: Column) -> Column:
     return F.greatest(*[F.contains(low, F.lit(x)) for x in REFUSALS])
 
 
-def parse_reply(reply: Column) -> Column:
-    """(answer, support) from a reply's JSON object, from its first brace to its last; where that is no JSON,
-    from the first object that can be read from the reply."""
+def plain_object(reply: Column) -> Column:
+    """A reply's JSON object, from its first brace to its last; null where that is no JSON."""
     whole = F.try_parse_json(strip(reply))
     part = F.try_parse_json(F.nullif(F.regexp_extract(reply, r"(?s)\{.*\}", 0), F.lit("")))
-    plain = F.when(F.schema_of_variant(whole).startswith("OBJECT"), whole).otherwise(part)
-    usable = F.coalesce(plain, F.try_parse_json(json_object(F.when(plain.isNull() & F.contains(reply, F.lit("{")), reply))))
+    return F.when(F.schema_of_variant(whole).startswith("OBJECT"), whole).otherwise(part)
+
+
+def reply_fields(usable: Column) -> Column:
+    """(answer, support) of an object."""
     support = F.try_variant_get(usable, "$.support", "string")
     return F.struct(F.try_variant_get(usable, "$.answer", "string").alias("answer"), F.when(support.rlike(r"\A[0-9]+\z"), support.try_cast("int")).alias("support"))
 
 
+def parse_reply(reply: Column) -> Column:
+    """(answer, support) from a reply's JSON object, from its first brace to its last; where that is no JSON,
+    from the first object that can be read from the reply."""
+    plain = plain_object(reply)
+    return reply_fields(F.coalesce(plain, F.try_parse_json(json_object(F.when(plain.isNull() & F.contains(reply, F.lit("{")), reply)))))
+
+
 def clamp_support(support: Column, n_hits: Column, max_chunks: int = 8) -> Column:
     return F.when(support.between(F.lit(1), F.least(n_hits, F.lit(max_chunks))), support)
 

@@ -26,7 +26,8 @@ def first_good_reply(*replies: Column) -> Column:
 
     The replies are those of the model, of its fallback, and of the fallback without the image, in this order."""
     def usable(raw: Column) -> Column:
-        parsed = A.parse_reply(raw)
+        # as it holds an object that is JSON, none has to be recovered
+        parsed = A.reply_fields(A.plain_object(raw))
         holds = F.try_parse_json(F.nullif(F.regexp_extract(raw, r"(?s)\{.*\}", 0), F.lit(""))).isNotNull()
         good = raw.isNotNull() & ~A.looks_like_refusal(raw) & holds
         return F.when(good, F.struct(parsed["answer"].alias("answer"), parsed["support"].alias("support"), raw.alias("raw")))

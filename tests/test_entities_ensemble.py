@@ -171,3 +171,11 @@ def test_judge_between_two_candidates(spark):
     got = {r.qid: (r.v.i, r.chosen, r.reason, r.candidate) for r in ensemble.ensemble(hits, asked, vision=seen, judge=judge).collect()}
     assert got == {1: (777, "vision", "clear", "15"), 2: (12, "text", "", "25"), 3: (35, "text", "", "35"), 4: (45, "text", "", "45"), 5: (55, "text", "", "55")}
     assert calls.value == 3  # each once, and only where there are two candidates
+
+
+def test_good_replies_need_no_python(spark):
+    from quern.operators import ensemble
+
+    df = spark.createDataFrame([('{"answer": "a", "support": 2}',), ("I\'m sorry {}",), ("none",)], "x string").select(ensemble.first_good_reply(F.col("x")).alias("r"))
+    assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.r and (r.r.answer, r.r.support) for r in df.collect()] == [("a", 2), None, None]
