@@ -17,6 +17,10 @@ from quern.sources import pdf
 PAGES = "doc_name string, source_path string, num_pages int, backend string, page_number int, text string, ocr_used boolean, error string"
 
 
+#: Characters of pages that a task holds before it passes them on, beyond one file's.
+FRAME_CHARS = 1 << 20
+
+
 def plain_text(path: str, content: bytes) -> list[dict]:
     """The parser for plain files: form feeds end pages."""
     return [{"page_number": k, "text": x} for k, x in enumerate(content.decode("utf-8", "replace").split("\f"), 1)]
@@ -65,17 +69,27 @@ def parse_contents(
             return page["page_number"], page["text"], None
         return page["page_number"], *read_again(content, page, render, ocr, cfg)
 
+    names = [x.split()[0] for x in PAGES.split(", ")]
+
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=names).astype({"page_number": "Int64", "ocr_used": "boolean"})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size = [], 0  # pages of several files go on together, as a frame takes longer to make than a short file to read
         for batch in batches:
             for p, content in zip(batch["path"], batch["content"]):
                 name = p.rsplit("/", 1)[-1]
                 try:
                     pages = [page_row(content, x) for x in islice(parser(p, content), most)]
-                    rows = [(name, p, len(pages), backend, *x, None) for x in pages]
+                    rows += [(name, p, len(pages), backend, *x, None) for x in pages]
+                    size += sum(len(x[1] or "") + 100 for x in pages)
                 except Exception as e:  # noqa: BLE001 - one bad file must not end the scan
-                    rows = [(name, p, 0, backend, None, None, None, f"{type(e).__name__}: {e}")]
-                columns = [x.split()[0] for x in PAGES.split(", ")]
-                yield pd.DataFrame(rows, columns=columns).astype({"page_number": "Int64", "ocr_used": "boolean"})
+                    rows.append((name, p, 0, backend, None, None, None, f"{type(e).__name__}: {e}"))
+                if size > FRAME_CHARS or len(rows) > 4096:
+                    yield frame(rows)
+                    rows, size = [], 0
+        if rows:
+            yield frame(rows)
 
     return files.select("path", "content").mapInPandas(run, PAGES)
 

@@ -175,3 +175,42 @@ def test_second_build_parses_only_what_is_due(spark, tmp_path):
     assert parse() == []
     assert held() == {"a.pdf": "changed", "bad.pdf": "mended", "new.pdf": "new"} | {n: f"text of {n}" for n in names[1:]}
     assert len(entry.parse_new(spark, str(source), out, entry.Build(again=True))) == 5
+
+
+def test_reading_a_plain_page_is_quick_and_files_share_frames(spark):
+    """Characters of one width are read line by line, not one by one, and a short file is no frame of its own; texts and places are as before."""
+    line = "Ein Satz über Größe, привет, 中文 und so fort " * 40
+    sheets = pdf_write.text_sheets("\n".join(line + str(k) for k in range(400)), 20)
+    data = pdf_write.write_pdf(sheets)
+    began = time.process_time()
+    found = list(pdf.read_pages(data))
+    took = time.process_time() - began
+    assert [pdf.page_text(p) for p in found] == ["\n".join(x[2].strip() for x in texts) for texts, _ in sheets]
+    slow = pdf.Font.fixed
+    pdf.Font.fixed = lambda self, data: None
+    try:
+        began = time.process_time()
+        assert list(pdf.read_pages(data)) == found
+        assert 1.5 * took < time.process_time() - began
+    finally:
+        pdf.Font.fixed = slow
+    made = pdf_write.write_pdf(pdf_write.text_sheets("one\ntwo"))
+    rows = spark.createDataFrame([(f"/in/{k}.pdf", made) for k in range(30)], "path string, content binary").coalesce(1)
+    frames = []
+    taken = type(rows).mapInPandas
+
+    class Caught(Exception):
+        pass
+
+    def caught(self, run, schema):
+        batch = rows.toPandas()
+        frames.extend(run(iter([batch.iloc[:10], batch.iloc[10:]])))
+        raise Caught
+
+    type(rows).mapInPandas = caught
+    try:
+        with pytest.raises(Caught):
+            files.parse_contents(rows)
+    finally:
+        type(rows).mapInPandas = taken
+    assert [len(x) for x in frames] == [30] and set(frames[0]["text"]) == {"one\ntwo"}
