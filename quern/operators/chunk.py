@@ -40,12 +40,13 @@ def spans(text: Column, size: Column, overlap: Column) -> Column:
 
     The text is cut once into pieces of one step; a window is its piece and what it needs of the next
     ones. So the cost is linear in the text, which taking each window from the whole text is not."""
-    wide, step, n = size * CHARS_PER_TOKEN, (size - overlap) * CHARS_PER_TOKEN, F.length(text)
-    last = F.greatest(F.lit(0), F.ceil((n - wide) / step)).cast("int")
+    wide, step = size * CHARS_PER_TOKEN, (size - overlap) * CHARS_PER_TOKEN
+    last = lambda n: F.greatest(F.lit(0), F.ceil((n - wide) / step)).cast("int")
     pieces = F.regexp_extract_all(text, F.concat(F.lit("(?s).{1,"), step.cast("string"), F.lit("}")), F.lit(0))
     window = lambda p, k: F.substring(F.array_join(F.slice(p, k + 1, F.ceil(wide / step).cast("int")), ""), F.lit(1), wide)
-    each = lambda p: F.transform(F.sequence(F.lit(0), last), lambda k: F.struct((k * step).alias("start"), F.least(n, k * step + wide).alias("end"), window(p, k).alias("text")))
-    return F.when(~is_blank(text), let(pieces, each))
+    each = lambda p, n: F.transform(F.sequence(F.lit(0), last(n)), lambda k: F.struct((k * step).alias("start"), F.least(n, k * step + wide).alias("end"), window(p, k).alias("text")))
+    # the length is worked out once, not for each window
+    return F.when(~is_blank(text), let(F.length(text), lambda n: let(pieces, lambda p: each(p, n))))
 
 
 def split_pages(pages: DataFrame, cfg: Chunking, rules: CleanRules = CleanRules()) -> DataFrame:

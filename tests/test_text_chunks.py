@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quern.session import durable
 from quern.config import AUTO, Chunking, CleanRules, env_truthy
 from quern.functions import text as T
 from quern.operators import chunk
@@ -97,3 +98,16 @@ def test_rules_and_counts(spark):
     df = spark.createDataFrame([(" a\tb ", "abcde", "dir/a.b.pdf")], "t string, n string, f string")
     r = df.select(T.clean("t", CleanRules(False, True)), T.clean("t", CleanRules(True, False)), T.approx_tokens("n"), T.approx_tokens(F.lit("")), T.stem("f"), T.low_text("t", 4), T.printable("t")).first()
     assert tuple(r) == ("a b", " ab ", 2, 0, "a.b", True, 2)
+
+
+def test_cutting_a_long_text_is_linear(spark):
+    """The length of the text is not worked out again for each window: 1.2 million characters took over 20 seconds."""
+    import time
+
+    text = durable(spark.range(1).select(F.repeat(F.lit("déf ghi jkl "), 100_000).alias("t")))
+    began = time.time()
+    found = text.select(F.explode(chunk.spans(F.col("t"), F.lit(130), F.lit(26))).alias("x")).select("x.*").collect()
+    assert time.time() - began < 8
+    plain = "déf ghi jkl " * 100_000
+    assert [(r.start, r.end) for r in found] == [(k, min(len(plain), k + 520)) for k in range(0, len(plain) - 520 + 416, 416)]
+    assert all(r.text == plain[r.start : r.end] for r in found)
