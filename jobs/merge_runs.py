@@ -50,7 +50,6 @@ def merge_runs(spark: SparkSession, source: str, out: str, config: dict, since:
     later = given.join(base.select("qid", "first"), "qid").filter(F.col("ord") > F.col("first")).select("qid", F.col("ord").alias("run"), "v")
     base = base.select("qid", "v")
     result, changes = merge.merge(base, later)
-    result, changes = durable(result), durable(changes)
     why = changes.select("qid", F.lit(True).alias("changed"), F.coalesce("reason", "combination").alias("reason"), F.size("candidates").alias("n_candidates"), V.as_text(F.col("original")).alias("original"))
     v = F.col("v")
     number = F.when(v.kind == "int", v.i.cast("double")).when(v.kind == "float", v.d)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quern.functions.plan import once
 from quern.functions.text import strip
 from quern.operators import values as V
+from quern.session import durable
 
 _SPLIT = r"(?iu)[;,/]|(?U:\s+\-\s+)|(?U:\s+и\s+)|(?U:\s+and\s+)"
 
@@ -142,14 +143,14 @@ def select_best(candidates: DataFrame, combine_lists: bool = True, prefer_max: b
 def merge(base: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(merged, changes) of base (qid, v) and the runs' answers (qid, run, v), run from 1.
 
-    The base answer is the first candidate. ``merged`` is base with selected answers in the
+    The base answer is the first candidate. Answers are judged once, for both tables, and kept. ``merged`` is base with selected answers in the
     kind of the original; ``changes`` has the questions whose answer differs."""
     asked = runs.join(base.select("qid"), "qid", "left_semi").select("qid", F.col("run").alias("ord"), "v")
     candidates = base.select("qid", F.lit(0).alias("ord"), "v").unionByName(asked)
     best = select_best(distinct_candidates(candidates)).withColumnRenamed("v", "selected")
     joined = base.join(best, "qid", "left").withColumn("original_type", F.when(F.col("v.kind") != "null", F.col("v.kind")))
     new = F.when(F.col("selected").isNotNull(), V.coerce_to(F.col("selected"), F.col("original_type"))).otherwise(F.col("v"))
-    joined = once(joined, "new", new)
+    joined = durable(once(joined, "new", new))  # both results come from it
     changed = joined.filter(F.col("selected").isNotNull() & ~V.same(F.col("new"), F.col("v")))
     changes = changed.select(
         "qid", F.col("v").alias("original"), "candidates", F.col("new").alias("selected"), "reason", "frequency", "combination", "unique_count",

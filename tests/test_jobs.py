@@ -100,6 +100,19 @@ def test_merge_by_period(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_answers_are_judged_once_a_run(spark, tmp_path, monkeypatch):
+    """What was merged and what changed come from one table of judged answers; it was worked out for each of them."""
+    from quern.operators import merge
+
+    source, kept = str(tmp_path / "said"), []
+    said(spark, ("d1", "d2", "d3")).write.parquet(source)
+    for module in (merge, merge_runs):
+        monkeypatch.setattr(module, "durable", lambda df, f=module.durable: kept.append("said" in df._jdf.queryExecution().optimizedPlan().toString() and "max_by" in df._jdf.queryExecution().optimizedPlan().toString()) or f(df))
+    merge_runs.merge_runs(spark, source, str(tmp_path / "out"), CONFIG)
+    assert kept.count(True) == 1
+    assert {(r.period, r.question): (r.kind, r.answer, r.changed, r.reason) for r in merge_runs.merged(spark, str(tmp_path / "out")).collect()} == WANT
+
+
 def test_command_lines(spark, tmp_path):
     source, said_at = str(tmp_path / "pages"), str(tmp_path / "said")
     pages(spark, range(12)).write.parquet(source)
